@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.functions.columns import pick
 from voxloom.functions.labels import label_key
 
 #: Milliseconds beyond this are not exact in a double of seconds, so no time of a recording.
@@ -18,7 +19,7 @@ LARGEST_MS = 2**52
 def turn_intervals(turns: DataFrame) -> DataFrame:
     """Valid turns as ``(video_id, speaker, start_ms, end_ms)``: both times, a label, and an end after the start in whole ms."""
     ms = lambda c: F.when(F.abs(F.col(c)) < LARGEST_MS / 1000, F.round(F.col(c) * 1000).cast("long"))  # noqa: E731 - false for NaN and infinity
-    picked = turns.select("video_id", label_key(F.col("speaker"), upper=True).alias("speaker"), ms("start").alias("start_ms"), ms("end").alias("end_ms"))
+    picked = pick(turns, "video_id", "speaker", "start", "end").select("video_id", label_key(F.col("speaker"), upper=True).alias("speaker"), ms("start").alias("start_ms"), ms("end").alias("end_ms"))
     return picked.filter(F.col("video_id").isNotNull() & F.col("speaker").isNotNull() & (F.col("end_ms") > F.col("start_ms")))
 
 

@@ -1,15 +1,27 @@
-"""Catalog of the core queries with their SQL."""
+"""Catalog of the core queries; each takes a session and a folder of tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voxloom.functions.labels import WHITE_SPACE
-from voxloom.operators import coverage
+from voxloom import inference
+from voxloom.config import Config, MusicConfig
+from voxloom.functions import sources as U
+from voxloom.functions import text as T
+from voxloom.functions import vectors as V
+from voxloom.functions.labels import label_key
+from voxloom.operators import coverage, gates, intervals, sequence, speakers, tables
+from voxloom.plans.sql import oracle_sql
+from voxloom.sources import readers
+from voxloom.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
+CONFIG = Config()
+HOSTS = CONFIG.source.hosts, CONFIG.source.short_hosts
+__all__ = ["oracle_sql", "queries"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,24 +29,274 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def queries() -> dict[str, Query]:
-    """Name to query."""
-    return {"p1_found": lambda s, d: coverage.speaking_periods(table(s, d, "turns"))}
+def millis(spark: SparkSession, folder: str) -> DataFrame:
+    """Valid turns as intervals in whole milliseconds, each once: sums and cuts are exact in any engine."""
+    return coverage.turn_intervals(table(spark, folder, "turns")).select("video_id", F.col("start_ms").alias("start"), F.col("end_ms").alias("end"), "speaker").distinct()
+
+
+def chunk_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks as intervals in whole milliseconds."""
+    return table(spark, folder, "chunks").select("video_id", "chunk_index", coverage.clock(F.col("start")).alias("start"), coverage.clock(F.col("end")).alias("end"))
+
+
+def stream_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Caption words, one per video and position, times in whole milliseconds."""
+    w = table(spark, folder, "sub_words").groupBy("video_id", "pos").agg(F.min("text").alias("text"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("kind").alias("kind"))
+    return w.select("video_id", "pos", "text", coverage.clock(F.col("start")).alias("start"), coverage.clock(F.coalesce(F.nanvl("end", "start"), F.col("start"))).alias("end"), "kind")
+
+
+def disjoint(spark: SparkSession, folder: str) -> DataFrame:
+    """Speaking periods per speaker as pieces."""
+    return coverage.speaking_periods(table(spark, folder, "turns")).filter("kind = 'period'").select("video_id", F.col("start_ms").alias("start"), F.col("end_ms").alias("end"), "speaker")
+
+
+def embedded(spark: SparkSession, folder: str) -> DataFrame:
+    """Embeddings as clips of a recording."""
+    return table(spark, folder, "embeddings").select("vec_id", (F.col("vec_id") % 5).alias("recording"), "label", "embedding")
+
+
+def unique_clips(spark: SparkSession, folder: str) -> DataFrame:
+    """Last emitted row of each clip."""
+    m = table(spark, folder, "metadata").drop("asr_confidence_alt")
+    return tables.last_wins(m.filter("audio_file IS NOT NULL"), ["audio_file"], ["emitted_at"])
+
+
+def _gate_reasons(s: SparkSession, d: str) -> DataFrame:
+    return gates.apply_counts(gates.text_gates(table(s, d, "chunks")))
+
+
+def _resolve(s: SparkSession, d: str) -> DataFrame:
+    raw = table(s, d, "chunks").drop("reject_code", "reject_value")
+    return gates.resolve_text(raw).select("video_id", "chunk_index", "text", "text_source", "cer_yt_vs_cohere", "reject_code")
+
+
+def _error_rates(s: SparkSession, d: str) -> DataFrame:
+    pairs = table(s, d, "chunks").select("video_id", "chunk_index", T.normalize(F.col("text_yt")).alias("a"), T.normalize(F.col("text_cohere")).alias("b"))
+    return pairs.select("video_id", "chunk_index", T.cer_of_normal(F.col("a"), F.col("b")).alias("cer"), T.wer_of_normal(F.col("a"), F.col("b")).alias("wer"), T.cer_within(F.col("a"), F.col("b"), 0.35).alias("agrees"))
+
+
+def _dominant(s: SparkSession, d: str) -> DataFrame:
+    return intervals.dominant_speaker(chunk_spans(s, d), millis(s, d), width=60_000)
+
+
+def _own_words(s: SparkSession, d: str) -> DataFrame:
+    return intervals.own_words(chunk_spans(s, d), stream_words(s, d), jitter=20, width=60_000).drop("score", "start", "end")
+
+
+def _build(s: SparkSession, d: str) -> DataFrame:
+    seconds = lambda df, *more: df.select("video_id", (F.col("start") / 1000).alias("start"), (F.col("end") / 1000).alias("end"), *more)
+    turns = seconds(millis(s, d), "speaker")
+    return intervals.build_chunks(intervals.islands(turns, ["video_id"], 0.2), turns)
+
+
+def _votes(s: SparkSession, d: str) -> DataFrame:
+    clips = table(s, d, "metadata").withColumn("dialect", F.coalesce("asr_language", F.lit("unclear")))
+    return tables.votes(clips, ["video_id", "speaker"], "dialect", "audio_file")
+
+
+def _flags(s: SparkSession, d: str) -> DataFrame:
+    clips = unique_clips(s, d).withColumn("dialect", F.coalesce("asr_language", F.lit("unclear"))).withColumn("sure", F.nanvl("asr_confidence", F.lit(0.0)))
+    return tables.flag_labels(clips, tables.votes(clips, ["video_id", "speaker"], "dialect", "audio_file"), ["video_id", "speaker"], "dialect", "sure", ["ar", "unclear"]).select("audio_file", "flag_label", "flag_confidence", "flag_basis")
+
+
+def _link(s: SparkSession, d: str) -> DataFrame:
+    voices = speakers.robust_centroids(embedded(s, d), ["label", "recording"], "embedding", ["vec_id"])
+    counts = embedded(s, d).groupBy("label", "recording").agg(F.count("*").cast("double").alias("seconds"))
+    named = voices.join(counts, ["label", "recording"]).select(F.concat_ws("_", F.lit("v"), "recording", "label").alias("speaker"), "centroid", "seconds")
+    return speakers.drop_thin(speakers.link_speakers(named, 0.35), named, 10.0)
+
+
+def _purity(s: SparkSession, d: str) -> DataFrame:
+    return speakers.purity(embedded(s, d), ["label"], "embedding", ["vec_id"]).select("vec_id", "off_speaker")
 
 
-_PERIODS = f"""
-WITH t AS (
-  SELECT video_id, nullif(upper(trim(speaker, '{WHITE_SPACE}')), '') AS speaker, CAST(round(start * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e
-  FROM turns WHERE isfinite(start) AND isfinite("end") AND abs(start) < 4e12 AND abs("end") < 4e12),
-m AS (SELECT *, max(e) OVER (PARTITION BY video_id, speaker ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM t WHERE e > s AND speaker IS NOT NULL AND video_id IS NOT NULL),
-i AS (SELECT *, sum(CASE WHEN reach >= s THEN 0 ELSE 1 END) OVER (PARTITION BY video_id, speaker ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM m),
-p AS (SELECT video_id, speaker, min(s) AS s, max(e) AS e FROM i GROUP BY video_id, speaker, island)
-SELECT video_id, speaker, 'period' AS kind, s AS start_ms, e AS end_ms FROM p
-UNION ALL
-SELECT * FROM (SELECT video_id, speaker, 'gap' AS kind, lag(e) OVER (PARTITION BY video_id, speaker ORDER BY s) AS start_ms, s AS end_ms FROM p) WHERE start_ms IS NOT NULL
-"""
+def _centroids(s: SparkSession, d: str) -> DataFrame:
+    c = speakers.mean_vectors(embedded(s, d), ["label"], "embedding")
+    return c.select("label", F.size("centroid").alias("dimensions"), F.round(V.norm(F.col("centroid")), 6).alias("length"))
 
 
-def oracle_sql() -> dict[str, str]:
-    """Name to SQL."""
-    return {"p1_found": _PERIODS}
+def _records(s: SparkSession, d: str) -> DataFrame:
+    out = tables.record(table(s, d, "chunks").withColumn("text_source", F.coalesce("text_source", F.lit("none"))), table(s, d, "videos"))
+    return out.select("audio_file", "video_id", "chunk_index", "channel", "upload_date", "language", "sample_rate", "text_source")
+
+
+def _manifest(s: SparkSession, d: str) -> DataFrame:
+    clips = unique_clips(s, d).filter(F.col("duration").between(1, 30)).withColumn("voice", F.coalesce(label_key(F.col("speaker")), "video_id"))
+    refs = tables.drop_short_refs(sequence.assign_references(clips, F.col("voice"), [F.col("audio_file")]), 2.0)
+    return tables.manifest_rows(refs, "audio/", T.clean_text(tables.pick_text("cohere")))
+
+
+def _references(s: SparkSession, d: str) -> DataFrame:
+    clips = unique_clips(s, d).filter(F.col("duration").between(0, 1000)).withColumn("voice", F.coalesce(label_key(F.col("speaker")), "video_id"))
+    return sequence.assign_references(clips, F.col("voice"), [F.col("audio_file")]).select("audio_file", "ref_audio", "ref_duration")
+
+
+def _train_validation(s: SparkSession, d: str) -> DataFrame:
+    clips = unique_clips(s, d).withColumn("voice", F.coalesce(label_key(F.col("speaker")), "video_id"))
+    return sequence.train_validation(clips, F.col("voice"), "audio_file", 0.1).select("audio_file", "split")
+
+
+def _cues(s: SparkSession, d: str) -> DataFrame:
+    stamp = lambda c: F.format_string("%02d:%02d:%02d.%03d", F.floor(c / 3_600_000), F.floor(c / 60_000) % 60, F.floor(c / 1000) % 60, c % 1000)
+    spans = table(s, d, "chunks").select("video_id", "chunk_index", "text", coverage.clock(F.col("start")).alias("a"), coverage.clock(F.col("end")).alias("b"))
+    content = F.concat(F.lit("WEBVTT\n\n"), stamp(F.col("a")), F.lit(" --> "), stamp(F.col("b")), F.lit("\n"), F.col("text"), F.lit("\n\n"))
+    words = readers.caption_cues(spans.select(F.concat_ws("#", "video_id", "chunk_index").alias("video_id"), content.alias("content")))
+    return words.groupBy("video_id").agg(F.count("*").alias("words"), F.max("pos").alias("last_pos"), coverage.clock(F.min("start")).alias("start_ms"), F.max("text").alias("last_text"))
+
+
+def _events(s: SparkSession, d: str) -> DataFrame:
+    spans = table(s, d, "chunks").select("video_id", "chunk_index", "text", coverage.clock(F.col("start")).alias("a"), coverage.clock(F.col("end")).alias("b"))
+    seg = F.array(F.struct(F.col("text").alias("utf8"), F.lit(0).cast("long").alias("tOffsetMs")))
+    event = F.array(F.struct(F.col("a").alias("tStartMs"), (F.col("b") - F.col("a")).alias("dDurationMs"), seg.alias("segs")))
+    words = readers.caption_events(spans.select(F.concat_ws("#", "video_id", "chunk_index").alias("video_id"), F.to_json(F.struct(event.alias("events"))).alias("content")))
+    return words.groupBy("video_id").agg(F.count("*").alias("words"), F.max("pos").alias("last_pos"), coverage.clock(F.min("start")).alias("start_ms"), coverage.clock(F.max("end")).alias("end_ms"))
+
+
+def _predictions(s: SparkSession, d: str) -> DataFrame:
+    clips = unique_clips(s, d).select("audio_file", F.coalesce("text", F.lit("")).alias("text"), F.col("chunk_index").alias("k"))
+    uri = F.concat(F.lit("store://bucket/"), U.path_code(F.col("audio_file"), "clips"))
+    answer = F.when(F.col("k") % 11 == 0, "[{\"i\":5,\"text\":\"x\"}]").when(F.col("k") % 7 == 0, "no json").otherwise(F.to_json(F.array(F.struct(F.lit(1).alias("i"), F.col("text").alias("text")))))
+    request = F.struct(F.array(F.struct(F.array(F.struct(F.struct(uri.alias("fileUri")).alias("fileData"))).alias("parts"))).alias("contents"))
+    response = F.struct(F.array(F.struct(F.struct(F.array(F.struct(answer.alias("text"))).alias("parts")).alias("content"))).alias("candidates"))
+    lines = clips.select(F.to_json(F.struct(request.alias("request"), F.when(F.col("k") % 13 == 0, "quota").otherwise("").alias("status"), response.alias("response"))).alias("value"))
+    return gates.batch_entries(readers.prediction_batches(lines, "clips")).select("audio_file", "status")
+
+
+def _state(s: SparkSession, d: str) -> DataFrame:
+    clips = unique_clips(s, d).withColumn("d", F.when((F.col("duration") > 0) & (F.col("duration") < 1000), F.col("duration")).otherwise(0.0))
+    states = clips.groupBy("video_id").agg(F.count("*").alias("kept"), F.lit(0).cast("long").alias("rejected"), F.sum(F.col("d").cast("decimal(20,6)")).cast("double").alias("seconds_kept"), F.lit(True).alias("complete"))
+    found = table(s, d, "videos").select(F.col("video_id").alias("source_id"))
+    return readers.run_state(states, found)
+
+
+def _outstanding(s: SparkSession, d: str) -> DataFrame:
+    cache = table(s, d, "metadata").select("audio_file", F.when(F.col("squim_mos") >= 3, "ok").otherwise("low").alias("status"))
+    return tables.outstanding(unique_clips(s, d).select("audio_file", "video_id"), cache)
+
+
+def _diffs(s: SparkSession, d: str) -> DataFrame:
+    clips = unique_clips(s, d)
+    return tables.text_diffs(clips, clips.select("audio_file", F.col("text_cohere").alias("text"), F.when(F.col("text_cohere") != "", "ok").otherwise("empty").alias("status")))
+
+
+def _overlay(s: SparkSession, d: str) -> DataFrame:
+    clips = unique_clips(s, d)
+    cache = clips.filter("chunk_index % 3 > 0").select("audio_file", F.col("text_cohere").alias("text"), F.when(F.col("text_cohere") != "", "ok").otherwise("empty").alias("status"))
+    return tables.overlay_text(clips, cache).groupBy("gate_status").agg(F.count("*").alias("rows"), F.count_if(F.col("text") == "").alias("empty"))
+
+
+def _diacritized(s: SparkSession, d: str) -> DataFrame:
+    clips = table(s, d, "chunks").select("video_id", "chunk_index", F.coalesce("text", F.lit("")).alias("text"), "text_cohere")
+    return clips.select("video_id", "chunk_index", gates.diacritized_status(F.col("text"), F.col("text_cohere"), F.lit(None).cast("string"))["status"].alias("status"))
+
+
+def _recognized(s: SparkSession, d: str) -> DataFrame:
+    clips = table(s, d, "chunks").select("video_id", "chunk_index", "text", (F.col("end") - F.col("start")).alias("duration"))
+    return inference.recognize(clips, "cohere").groupBy("result.status").agg(F.count("*").alias("rows"), F.count_if(F.col("result.value") == F.col("text")).alias("same"))
+
+
+def _stand_ins(s: SparkSession, d: str) -> DataFrame:
+    clips = unique_clips(s, d).select("audio_file", "video_id", "speaker", F.when((F.col("duration") > 0) & (F.col("duration") < 1000), F.col("duration")).otherwise(0.0).alias("duration"))
+    scored = clips.select("*", inference.stand_in_embedding("audio_file", "duration").alias("v"), inference.stand_in_scores("audio_file").alias("m"))
+    return scored.select("audio_file", V.is_zero(F.col("v")).alias("too_short"), F.round(V.norm(F.col("v")), 6).alias("length"), "m.squim_mos")
+
+
+def _stream(s: SparkSession, d: str, build: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    events = streams.increments(s, f"{d}/events.parquet*", table(s, d, "events").schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    out = streams.collected(build(events), name, "complete")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c, kind in out.dtypes if kind == "timestamp"})
+
+
+def queries() -> dict[str, Query]:
+    """Name to query."""
+    t = table
+    return {
+        "p1_found": lambda s, d: coverage.speaking_periods(t(s, d, "turns")),
+        # gates
+        "q_gate_reasons": _gate_reasons,
+        "q_resolve_text": _resolve,
+        "q_row_gates": lambda s, d: gates.row_gates(unique_clips(s, d)).select("audio_file", "reject_code"),
+        "q_quality_gates": lambda s, d: gates.apply(unique_clips(s, d), gates.quality_cascade()).select("audio_file", "reject_code", "reject_value"),
+        "q_music_gates": lambda s, d: gates.apply(unique_clips(s, d), gates.music_cascade(MusicConfig(reject=True))).select("audio_file", "reject_code"),
+        "q_export_rows": lambda s, d: gates.summarize(gates.apply(unique_clips(s, d).withColumn("duration", F.nanvl("duration", F.lit(None))), gates.export_cascade(T.squeeze(T.present(F.col("text")))))),
+        "q_rejection_summary": lambda s, d: tables.with_share(gates.summarize(t(s, d, "chunks")), "rows"),
+        "q_diacritized_status": _diacritized,
+        "q_prediction_entries": _predictions,
+        # text
+        "q_script_ratios": lambda s, d: t(s, d, "chunks").select("video_id", "chunk_index", T.arabic_ratio(F.col("text")).alias("arabic"), T.latin_ratio(F.col("text")).alias("latin"), T.script_ratio(F.col("text"), F.coalesce("asr_language", F.lit("ar"))).alias("script")),
+        "q_clean_output": lambda s, d: t(s, d, "chunks").select("video_id", "chunk_index", T.clean_for_output(F.col("text_yt")).alias("clean")),
+        "q_clean_text": lambda s, d: t(s, d, "documents").select("doc_id", T.clean_text(F.col("text")).alias("clean")),
+        "q_normalize": lambda s, d: t(s, d, "documents").select("doc_id", T.normalize(F.col("text")).alias("normal")),
+        "q_vowel_marks": lambda s, d: t(s, d, "documents").select("doc_id", T.has_marks(F.col("text")).alias("has"), T.marks_ratio(F.col("text")).alias("ratio"), F.char_length(T.strip_marks(F.col("text"))).alias("bare_chars"), F.char_length(T.strip_final_marks(F.col("text"))).alias("final_chars")),
+        "q_error_rates": _error_rates,
+        "q_alignment_words": lambda s, d: t(s, d, "chunks").select("video_id", "chunk_index", F.size(T.alignment_words(F.col("text_yt"))).alias("words")),
+        "q_markers": lambda s, d: t(s, d, "chunks").select("video_id", "chunk_index", F.array_join(T.lexical_markers(F.lower(F.col("text")), ["studio", "signal", "archive", "clip", "guest"]), " ").alias("markers")),
+        "q_markup": lambda s, d: t(s, d, "documents").select("doc_id", F.char_length(T.strip_tags(T.present(F.col("text")))).alias("chars")),
+        "q_prompts": lambda s, d: t(s, d, "videos").select("video_id", T.fill_template("Transcribe {title} ({lang}).", title=F.coalesce("title", F.lit("?")), lang=F.coalesce("language", F.lit("ar"))).alias("prompt")),
+        # sources
+        "q_url_ids": lambda s, d: t(s, d, "videos").select("video_id", U.source_id(F.col("video_url"), *HOSTS).alias("source_id"), U.is_local(F.col("video_url")).alias("is_local")),
+        "q_source_table": lambda s, d: readers.source_table(readers.source_specs(t(s, d, "videos").filter("video_url IS NOT NULL").select(F.col("video_url").alias("value"), F.col("video_id").alias("ordinal"))), *HOSTS),
+        "q_natural_order": lambda s, d: t(s, d, "part").select("p_partkey", U.natural_key(F.col("p_name")).alias("key")),
+        "q_path_codes": lambda s, d: t(s, d, "metadata").select(F.col("audio_file"), U.path_code(F.col("audio_file"), "clips").alias("code"), U.path_decode(U.path_code(F.col("audio_file"), "clips"), "clips").alias("back")),
+        "q_permanent_errors": lambda s, d: t(s, d, "videos").groupBy(U.is_permanent_error(F.col("error")).alias("permanent"), F.col("error").isNull().alias("fine")).agg(F.count("*").alias("videos")),
+        "q_locales": lambda s, d: t(s, d, "documents").groupBy(U.short_locale(F.coalesce("lang", F.lit("und"))).alias("language")).agg(F.count("*").alias("documents")),
+        "q_caption_cues": _cues,
+        "q_caption_events": _events,
+        "q_run_state": _state,
+        "q_pending_sources": lambda s, d: readers.pending_sources(t(s, d, "metadata").select("video_id").distinct().withColumn("complete", F.lit(True)), t(s, d, "videos").select(F.col("video_id").alias("source_id"))),
+        # intervals and words
+        "q_merge_gap": lambda s, d: intervals.merge_same_speaker(disjoint(s, d), 300),
+        "q_overlap_sweep": lambda s, d: intervals.overlapped_speech(millis(s, d), 1, 0, 60_000),
+        "q_subtract": lambda s, d: intervals.subtract(chunk_spans(s, d), millis(s, d).filter("speaker = 'SPK01'"), 60_000),
+        "q_clip_to": lambda s, d: intervals.clip_to(chunk_spans(s, d), F.lit(60_000), F.lit(600_000)),
+        "q_cut_at_turns": lambda s, d: intervals.cut_at_turns(chunk_spans(s, d), millis(s, d), 0.5, 60_000),
+        "q_dominant_speaker": _dominant,
+        "q_assign_speakers": lambda s, d: intervals.assign_speakers(chunk_spans(s, d), millis(s, d), width=60_000).select("video_id", "start", "end", "speaker"),
+        "q_own_words": _own_words,
+        "q_plan_windows": lambda s, d: intervals.plan_windows(t(s, d, "sub_words"), 30.0),
+        "q_fill_ends": lambda s, d: intervals.fill_ends(stream_words(s, d)),
+        "q_pad_filter": lambda s, d: intervals.pad_and_filter(chunk_spans(s, d).drop("chunk_index"), 200, 2000, 12000),
+        "q_build_chunks": _build,
+        "q_collapse_dominant": lambda s, d: intervals.collapse_dominant(millis(s, d), 0.6).groupBy("video_id", "speaker").agg(F.count("*").alias("turns")),
+        "q_dedupe_time": lambda s, d: sequence.dedupe_by_time(stream_words(s, d), 60),
+        "q_dedupe_rolling": lambda s, d: sequence.dedupe_rolling(stream_words(s, d)),
+        "q_dedupe_track": lambda s, d: sequence.dedupe_track(stream_words(s, d).withColumn("word_timed", F.col("kind") == "yt_auto"), 60),
+        # voices
+        "q_centroids": _centroids,
+        "q_purity": _purity,
+        "q_link_speakers": _link,
+        "q_votes": lambda s, d: _votes(s, d).drop("tally"),
+        "q_flags": _flags,
+        "q_namespaced": lambda s, d: millis(s, d).select(intervals.namespaced(F.col("video_id"), F.col("speaker")).alias("speaker")).distinct(),
+        # records, caches, reports, exports
+        "q_cache_last_wins": lambda s, d: unique_clips(s, d).select("audio_file", "video_id", "chunk_index", "text", "emitted_at"),
+        "q_first_seen": lambda s, d: tables.first_seen(t(s, d, "metadata"), "speaker", "audio_file"),
+        "q_outstanding": _outstanding,
+        "q_live": lambda s, d: tables.live(t(s, d, "chunks").select("video_id", "chunk_index"), t(s, d, "metadata").select("video_id").distinct(), "video_id"),
+        "q_orphans": lambda s, d: tables.orphans(t(s, d, "documents").select("doc_id", "video_id"), t(s, d, "videos"), "video_id"),
+        "q_text_diffs": _diffs,
+        "q_overlay": _overlay,
+        "q_records": _records,
+        "q_merge_rejections": lambda s, d: tables.merge_rejections(t(s, d, "chunks").filter("reject_code IS NOT NULL").select("video_id", "chunk_index", "reject_code"), t(s, d, "chunks").filter("text_yt = ''").select("video_id", "chunk_index", F.lit("text:empty").alias("reject_code"))),
+        "q_drop_videos": lambda s, d: tables.delete_keys(t(s, d, "chunks"), t(s, d, "videos").filter("error IS NOT NULL"), "video_id").groupBy("video_id").agg(F.count("*").alias("chunks")),
+        "q_speaker_seconds": lambda s, d: tables.seconds_by(unique_clips(s, d).filter("duration < 1000"), "speaker"),
+        "q_source_share": lambda s, d: tables.with_share(unique_clips(s, d).groupBy("text_source").agg(F.count("*").alias("clips")), "clips"),
+        "q_totals": lambda s, d: tables.totals(unique_clips(s, d).filter("duration < 1000"), t(s, d, "chunks").filter("reject_code IS NOT NULL")),
+        "q_top_speakers": lambda s, d: tables.top_with_rest(tables.seconds_by(unique_clips(s, d).filter("duration < 1000 AND speaker IS NOT NULL"), "speaker"), "speaker", "seconds", 15),
+        "q_speaker_summary": lambda s, d: tables.speaker_summary(unique_clips(s, d).filter("duration < 1000 AND squim_mos BETWEEN 0 AND 1000").withColumn("voice", label_key(F.col("speaker"))).filter("voice IS NOT NULL"), "voice"),
+        "q_billable": lambda s, d: unique_clips(s, d).filter("duration > 0 AND duration < 1000").agg(F.sum(tables.billable_seconds(F.col("duration")).cast("long")).alias("billable"), tables.estimated_cost(F.sum(F.col("duration").cast("decimal(20,6)")).cast("double"), 0.016).alias("cost")),
+        "q_references": _references,
+        "q_train_validation": _train_validation,
+        "q_manifest": _manifest,
+        "q_regrouped_paths": lambda s, d: t(s, d, "metadata").select("audio_file", tables.regrouped_path(F.col("speaker"), F.col("audio_file")).alias("path")).distinct(),
+        "q_shards": lambda s, d: sequence.shards_after_reach(t(s, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("long").alias("bytes")), ["l_returnflag"], ["l_orderkey", "l_linenumber"], "bytes", 5_000_000).groupBy("l_returnflag", "shard").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("rows")),
+        "q_batches": lambda s, d: sequence.batches_before_exceed(chunk_spans(s, d).select("video_id", "chunk_index", (F.col("end") - F.col("start")).alias("ms")), ["video_id"], ["chunk_index"], "ms", 20_000, 4),
+        "q_fixed_batches": lambda s, d: sequence.fixed_batches(t(s, d, "chunks").select("video_id", "chunk_index"), ["video_id"], [F.col("chunk_index")], 8),
+        "q_slice_rows": lambda s, d: tables.slice_rows(t(s, d, "documents").select("doc_id"), "doc_id", 100, 5000),
+        # models
+        "q_recognized": _recognized,
+        "q_stand_ins": _stand_ins,
+        # streams
+        "q_stream_sessions": lambda s, d: _stream(s, d, lambda e: streams.gap_sessions(e, "user_id", "ts", "6 hours"), "sessions"),
+        "q_stream_windows": lambda s, d: _stream(s, d, lambda e: streams.tumbling(e, ["event_type"], "ts", "15 minutes"), "windows"),
+    }
