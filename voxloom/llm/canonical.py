@@ -10,6 +10,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from voxloom.functions.columns import pick
+
 #: Letters of other scripts that look like Latin ones, in Unicode order, with those.
 LOOK_ALIKES = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
@@ -151,10 +153,9 @@ def canonical_texts(table: DataFrame, columns: list[str], suffix: str = "_canoni
     """``table`` with the consistent form of each of ``columns`` as ``column + suffix``.
 
     Null stays null and an empty or invisible text becomes empty.  Texts of any length are processed whole; rows,
-    repeated ones included, stay as they are.  ``table`` must not have the new columns yet.  No shuffle.
+    repeated ones included, stay as they are; columns that have the new names already are replaced.  No shuffle.
     """
-    if clash := {c + suffix for c in columns} & set(table.columns):
-        raise ValueError(f"columns exist: {sorted(clash)}")
+    table = table.drop(*(c + suffix for c in columns))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema.fields)
     return table.mapInArrow(_canonical_mapper(columns, suffix), fields + "".join(f", `{c}{suffix}` string" for c in columns))
 
@@ -171,6 +172,6 @@ def look_alike_fields(chunks: DataFrame, fields: tuple[str, ...] = ("text_yt", "
     differs = wanted[0]
     for w in wanted[1:]:
         differs = F.coalesce(differs, F.lit(False)) | F.coalesce(w, F.lit(False))
-    forms = canonical_texts(chunks.select("video_id", "chunk_index", "text", *fields).filter(differs), ["text", *fields])
+    forms = canonical_texts(pick(chunks, "video_id", "chunk_index", "text", *fields).filter(differs), ["text", *fields])
     case = [F.when((F.col(f) != "") & (F.col(f) != F.col("text")) & (F.col(f"{f}_canonical") == F.col("text_canonical")), F.lit(f)) for f in fields]
     return forms.select("video_id", "chunk_index", F.explode(F.array_compact(F.array(*case))).alias("field"))

@@ -15,14 +15,14 @@ def cap_contributors(records: DataFrame, contributor: str, order: list[Column],
 
     ``order`` must end in a unique column, else ties are kept or dropped as they come.  Rows without contributor are
     always kept.  With ``share``, a contributor keeps at most that share of all its rows as well (rounded up).
-    An empty table stays empty; columns named ``__salt`` and the like are not disturbed in the result.
+    An empty table stays empty; of the other columns only one named ``kept`` is replaced.
 
     First rank: within contributor and salt, so a contributor with a third of all rows is spread over ``salts`` tasks.
     Rows behind the cap there are behind it in all; only the at most ``cap * salts`` others of a contributor are ranked
     again together.
     """
     salts = salts or max(64, shuffle_width(records.sparkSession))
-    names = records.columns
+    names = [c for c in records.columns if c != "kept"]
     held = records.select(F.struct(*names).alias("record"), F.col(contributor).alias("c"), *[o.alias(f"o{i}") if isinstance(o, Column) else o for i, (o, _) in enumerate(order)])
     ordering = [getattr(F.col(f"o{i}"), how)() for i, (_, how) in enumerate(order)]
     # rows without contributor only travel along

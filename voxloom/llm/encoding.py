@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from voxloom.functions.columns import pick
+
 #: Where the vocabulary files lie unless a path is given.
 TOKENIZERS = os.environ.get("VOXLOOM_TOKENIZERS", "/opt/tokenizers")
 #: Fixed value: the public pattern that splits text before the merges of the byte-level BPE.
@@ -143,7 +145,7 @@ def encode_documents(documents: DataFrame, path: str | None = None, leaf: int =
     """
     ranks = read_vocabulary(path)
     shared = _Shared(documents.sparkSession.sparkContext.broadcast(ranks))
-    return documents.select("doc_id", "text").mapInArrow(_encoder_mapper(shared, leaf), "doc_id long, ids array<int>")
+    return pick(documents, "doc_id", "text").mapInArrow(_encoder_mapper(shared, leaf), "doc_id long, ids array<int>")
 
 
 def decode_ids(ids: list[int], vocabulary: dict[bytes, int]) -> str:

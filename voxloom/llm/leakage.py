@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.functions.columns import pick
 from voxloom.llm.words import APOSTROPHES, CLOCKS, hash_words, plain_texts, shingle_hashes, split_words, text_slices
 
 
@@ -184,7 +185,7 @@ def leaked_items(documents: DataFrame, items: DataFrame, config: LeakConfig = Le
     words, each block's index (some tens of bytes a word) being broadcast; the number of passes follows the items only.
     """
     spark = items.sparkSession
-    known = items.filter(F.col("item_id").isNotNull() & (F.length("text") > 0)).select("item_id", "text")
+    known = pick(items, "item_id", "text").filter(F.col("item_id").isNotNull() & (F.length("text") > 0))
     size = known.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-size // (4 * config.block_words)))
     parts = []
@@ -193,5 +194,5 @@ def leaked_items(documents: DataFrame, items: DataFrame, config: LeakConfig = Le
         words, ends = normal_words(pa.array([r["text"] for r in rows], pa.string()))
         hashes, _, _ = hash_words(words)
         index = ItemIndex([r["item_id"] for r in rows], np.split(hashes, ends[:-1]) if rows else [], config)
-        parts.append(documents.select("doc_id", "text").mapInArrow(_search_mapper(spark.sparkContext.broadcast(index)), "doc_id long, item_id long"))
+        parts.append(pick(documents, "doc_id", "text").mapInArrow(_search_mapper(spark.sparkContext.broadcast(index)), "doc_id long, item_id long"))
     return reduce(DataFrame.unionByName, parts)

@@ -13,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.functions.columns import pick
 from voxloom.llm.words import APOSTROPHES, CLOCKS, hash_words, mix, plain_texts, shingle_hashes, text_slices
 from voxloom.storage import shuffle_width, write_table
 
@@ -269,7 +270,7 @@ def stuffing_scores(documents: DataFrame, config: SpamConfig = SpamConfig(), ran
     spark = documents.sparkSession
     ranges = ranges or shuffle_width(spark)
     blobs = ", ".join(f"b{i} binary" for i in range(6))
-    packed, _ = write_table(documents.select("doc_id", "text").mapInArrow(_pack_mapper(config, ranges), f"pack long, piece int, {blobs}, keys binary, own binary"), "packs")
+    packed, _ = write_table(pick(documents, "doc_id", "text").mapInArrow(_pack_mapper(config, ranges), f"pack long, piece int, {blobs}, keys binary, own binary"), "packs")
     requests = packed.filter("piece >= 0").select("pack", "piece", "keys", "own").repartition(ranges, "piece")
     replies = requests.groupBy("piece").applyInArrow(_sum_piece, "pack long, piece int, total binary")
     packs = packed.filter("piece < 0").drop("piece", "keys", "own")

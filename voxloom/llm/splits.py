@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from voxloom.functions.columns import pick
 from voxloom.functions.labels import label_key
 from voxloom.llm.clips import current_clips
 from voxloom.storage import delete_path, new_path, write_table
@@ -30,7 +31,7 @@ class SplitConfig:
 
 def pair_edges(metadata: DataFrame) -> DataFrame:
     """Distinct ``(video_id, label)`` of all rows; label is null where a video has a row without one."""
-    pairs = metadata.filter(F.col("video_id").isNotNull()).select("video_id", label_key(F.col("speaker")).alias("label"))
+    pairs = pick(metadata, "video_id", "speaker").filter(F.col("video_id").isNotNull()).select("video_id", label_key(F.col("speaker")).alias("label"))
     return pairs.groupBy("video_id", "label").agg(F.count("*").alias("rows"))
 
 
@@ -255,7 +256,7 @@ class SplitStore:
         both = keyed.join(of("video", "video_id"), "video_id", "left").join(of("label", "split_label_key"), "split_label_key", "left")
         one = F.coalesce("split_video", "split_label", F.lit(QUARANTINE))
         split = F.when(F.col("split_video") != F.col("split_label"), QUARANTINE).otherwise(one)
-        return both.select(*clips.columns, split.alias("split"))
+        return both.select(*[c for c in clips.columns if c != "split"], split.alias("split"))
 
 
 def split_clips(metadata: DataFrame, path: str | None = None, config: SplitConfig = SplitConfig()) -> DataFrame:

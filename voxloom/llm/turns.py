@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.functions.columns import pick
+
 #: Fixed value: a clock time, of hours (optional), minutes and seconds.
 CLOCK = r"(?:(?:(\d{1,3}):)?(\d{1,2}):(\d{2})(?:[.,](\d{1,3}))?)"
 #: A time that stands for itself or in brackets, with the end of its cue if that is given.
@@ -238,7 +240,7 @@ def _block_mapper(aliases: dict[str, str], fillers: list[str], size: int):
 
 def small_table(df: DataFrame, column: str, value: str | None = None, most: int = 100_000) -> list:
     """Rows of a lookup table whose size is checked: more than ``most`` raise."""
-    rows = df.select(column, *([value] if value else [])).filter(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
+    rows = pick(df, column, *([value] if value else [])).filter(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
     if len(rows) > most:
         raise ValueError(f"more than {most} rows of {column}")
     return [(r[column], r[value]) if value else r[column] for r in rows]
@@ -249,7 +251,7 @@ def chunk_turns(chunks: DataFrame, aliases: dict[str, str], fillers: list[str])
 
     Null and empty texts and texts without label have no turns.  Words ahead of the first label have a null speaker.
     """
-    return chunks.select("video_id", "chunk_index", "text_yt").filter(F.length("text_yt") > 0).mapInArrow(_chunk_mapper(aliases, fillers), "video_id string, chunk_index int, turn_index int, speaker string, clean_text string")
+    return pick(chunks, "video_id", "chunk_index", "text_yt").filter(F.length("text_yt") > 0).mapInArrow(_chunk_mapper(aliases, fillers), "video_id string, chunk_index int, turn_index int, speaker string, clean_text string")
 
 
 def stream_turns(words: DataFrame, aliases: dict[str, str], fillers: list[str], size: int = 4096) -> DataFrame:
@@ -260,7 +262,7 @@ def stream_turns(words: DataFrame, aliases: dict[str, str], fillers: list[str],
     side, so a video with a third of all words is parsed by many tasks; repeated words unite ahead of the shuffle.
     What a block's first words belong to is then read from the blocks before, whose turns only are ordered per video.
     """
-    known = words.filter(F.col("video_id").isNotNull() & F.col("pos").isNotNull() & F.col("text").isNotNull()).select("video_id", F.col("pos").cast("long").alias("pos"), "text")
+    known = pick(words, "video_id", "pos", "text").filter(F.col("video_id").isNotNull() & F.col("pos").isNotNull() & F.col("text").isNotNull()).select("video_id", F.col("pos").cast("long").alias("pos"), "text")
     number = lambda shift: F.floor((F.col("pos") + shift) / size).cast("long")
     seen = known.select("video_id", "pos", "text", F.explode(F.array_distinct(F.array(number(0), number(-CONTEXT_WORDS), number(CONTEXT_WORDS)))).alias("block")).filter("block >= 0 OR pos < 0")
     blocks = seen.groupBy("video_id", "block").agg(F.sort_array(F.collect_set(F.struct("pos", "text"))).alias("words"))

@@ -14,9 +14,9 @@ APOSTROPHES = r"['’ʼ`´]+"
 
 
 def plain_texts(texts: pa.Array) -> pa.Array:
-    """Lower case, composed, without invisible characters; null becomes empty."""
+    """Lower case, canonically decomposed, without invisible characters; null becomes empty."""
     texts = pc.utf8_lower(pc.fill_null(texts, ""))
-    return pc.replace_substring_regex(pc.utf8_normalize(texts, form="NFC"), pattern=INVISIBLE, replacement="")
+    return pc.replace_substring_regex(pc.utf8_normalize(texts, form="NFD"), pattern=INVISIBLE, replacement="")
 
 
 def split_words(texts: pa.Array, pattern: str = r"[^\p{L}\p{N}\p{M}]+") -> tuple[pa.Array, np.ndarray]:
