@@ -151,7 +151,7 @@ SELECT video_url AS spec, {_SOURCE} AS source_id, {_LOCAL} AS is_local, CAST(row
 FROM (SELECT *, {words('text')} AS w FROM chunks) WHERE len(w) > 0 AND start IS NOT NULL AND "end" IS NOT NULL""",
         "q_caption_events": f"""SELECT video_id || '#' || chunk_index AS video_id, len(w) AS words, CAST(len(w) - 1 AS INTEGER) AS last_pos, CAST(round(start * 1000) AS BIGINT) AS start_ms, greatest(CAST(round(start * 1000) AS BIGINT), CAST(round("end" * 1000) AS BIGINT)) AS end_ms
 FROM (SELECT *, {words('text')} AS w FROM chunks) WHERE len(w) > 0 AND start IS NOT NULL AND "end" IS NOT NULL""",
-        "q_run_state": f"""WITH {CLIPS}, st AS (SELECT video_id, count(*) AS kept, CAST(sum(CAST(CASE WHEN duration > 0 AND duration < 1000 THEN duration ELSE 0 END AS DECIMAL(20,6))) AS DOUBLE) AS seconds_kept FROM clips GROUP BY 1)
+        "q_run_state": f"""WITH {CLIPS}, st AS (SELECT video_id, count(*) AS kept, CAST(sum(CASE WHEN NOT isnan(duration) AND duration > 0 AND duration < 1000 THEN TRY_CAST(duration AS DECIMAL(20,6)) ELSE 0 END) AS DOUBLE) AS seconds_kept FROM clips GROUP BY 1)
 SELECT v.video_id AS source_id, st.video_id IS NOT NULL AS complete, coalesce(kept, 0) AS kept, CAST(0 AS BIGINT) AS rejected, coalesce(seconds_kept, 0) AS seconds_kept FROM videos v LEFT JOIN st USING (video_id)""",
         "q_pending_sources": "SELECT video_id AS source_id FROM videos v WHERE NOT EXISTS (SELECT 1 FROM metadata m WHERE m.video_id = v.video_id)",
         "q_merge_gap": f"""{_PERIODS}, o AS (SELECT *, CASE WHEN speaker = lag(speaker) OVER w AND s - lag(e) OVER w <= 300 THEN 0 ELSE 1 END AS opens FROM p WINDOW w AS (PARTITION BY video_id ORDER BY s, e, speaker)),
@@ -205,16 +205,16 @@ SELECT coalesce(st, 'not_sent') AS gate_status, count(*) AS rows, count(*) FILTE
         "q_records": f"""SELECT coalesce(c.speaker, '_unassigned') || '/' || c.video_id || '_' || printf('%04d', chunk_index) || '.wav' AS audio_file, c.video_id, chunk_index, channel, upload_date, {LANG} AS language, 24000 AS sample_rate, coalesce(text_source, 'none') AS text_source FROM chunks c LEFT JOIN videos v USING (video_id)""",
         "q_merge_rejections": "SELECT video_id, chunk_index, reject_code FROM chunks WHERE reject_code IS NOT NULL AND reject_code NOT LIKE 'text:%' UNION ALL SELECT video_id, chunk_index, 'text:empty' AS reject_code FROM chunks WHERE text_yt = ''",
         "q_drop_videos": "SELECT video_id, count(*) AS chunks FROM chunks WHERE video_id NOT IN (SELECT video_id FROM videos WHERE error IS NOT NULL AND video_id IS NOT NULL) GROUP BY 1",
-        "q_speaker_seconds": f"WITH {CLIPS} SELECT speaker, {SECONDS} AS seconds, count(*) AS clips FROM clips WHERE duration < 1000 GROUP BY speaker",
+        "q_speaker_seconds": f"WITH {CLIPS} SELECT speaker, {SECONDS} AS seconds, count(*) AS clips FROM clips WHERE NOT isnan(duration) AND duration < 1000 GROUP BY speaker",
         "q_source_share": f"WITH {CLIPS} SELECT text_source, clips, clips / greatest(sum(clips) OVER (), 1) AS share FROM (SELECT text_source, count(*) AS clips FROM clips GROUP BY 1)",
-        "q_totals": f"WITH {CLIPS} SELECT count(DISTINCT video_id) AS videos, count(*) AS kept, (SELECT count(*) FROM chunks WHERE reject_code IS NOT NULL) AS rejected, coalesce({SECONDS}, 0) / 3600 AS hours FROM clips WHERE duration < 1000",
-        "q_top_speakers": f"""WITH {CLIPS}, s AS (SELECT speaker, {SECONDS} AS seconds FROM clips WHERE duration < 1000 AND speaker IS NOT NULL GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY seconds DESC, speaker) AS p FROM s)
+        "q_totals": f"WITH {CLIPS} SELECT count(DISTINCT video_id) AS videos, count(*) AS kept, (SELECT count(*) FROM chunks WHERE reject_code IS NOT NULL) AS rejected, coalesce({SECONDS}, 0) / 3600 AS hours FROM clips WHERE NOT isnan(duration) AND duration < 1000",
+        "q_top_speakers": f"""WITH {CLIPS}, s AS (SELECT speaker, {SECONDS} AS seconds FROM clips WHERE NOT isnan(duration) AND duration < 1000 AND speaker IS NOT NULL GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY seconds DESC, speaker) AS p FROM s)
 SELECT CASE WHEN p <= 15 THEN speaker ELSE '(rest)' END AS speaker, CAST(least(p, 16) AS INTEGER) AS place, CAST(sum(CAST(seconds AS DECIMAL(30,6))) AS DOUBLE) AS seconds FROM r GROUP BY 1, 2""",
-        "q_speaker_summary": f"""WITH {CLIPS}, c AS (SELECT *, {KEY} AS voice FROM clips WHERE duration < 1000 AND squim_mos BETWEEN 0 AND 1000)
+        "q_speaker_summary": f"""WITH {CLIPS}, c AS (SELECT *, {KEY} AS voice FROM clips WHERE NOT isnan(duration) AND duration < 1000 AND NOT isnan(squim_mos) AND squim_mos BETWEEN 0 AND 1000)
 SELECT voice, {SECONDS} AS seconds, count(*) AS clips, count(DISTINCT video_id) AS episodes, CAST(sum(TRY_CAST(squim_mos AS DECIMAL(20,6))) AS DOUBLE) / count(squim_mos) AS mean_mos, list_slice(list(audio_file ORDER BY audio_file), 1, 5) AS samples, {SECONDS} / 3600 AS hours
 FROM c WHERE voice IS NOT NULL GROUP BY voice""",
-        "q_billable": f"WITH {CLIPS} SELECT CAST(sum(CAST(greatest(15, ceil(duration / 15) * 15) AS BIGINT)) AS BIGINT) AS billable, CAST(sum(CAST(duration AS DECIMAL(20,6))) AS DOUBLE) / 60 * 0.016 AS cost FROM clips WHERE duration > 0 AND duration < 1000",
-        "q_references": f"""WITH {CLIPS}, c AS (SELECT audio_file, duration, coalesce({KEY}, video_id) AS voice, coalesce(CASE WHEN isnan(squim_mos) THEN 0 ELSE squim_mos END, 0) AS mos, duration BETWEEN 3 AND 10 AS fits FROM clips WHERE duration BETWEEN 0 AND 1000),
+        "q_billable": f"WITH {CLIPS} SELECT CAST(sum(CAST(greatest(15, ceil(duration / 15) * 15) AS BIGINT)) AS BIGINT) AS billable, CAST(sum(CAST(duration AS DECIMAL(20,6))) AS DOUBLE) / 60 * 0.016 AS cost FROM clips WHERE NOT isnan(duration) AND duration > 0 AND duration < 1000",
+        "q_references": f"""WITH {CLIPS}, c AS (SELECT audio_file, duration, coalesce({KEY}, video_id) AS voice, coalesce(CASE WHEN isnan(squim_mos) THEN 0 ELSE squim_mos END, 0) AS mos, duration BETWEEN 3 AND 10 AS fits FROM clips WHERE NOT isnan(duration) AND duration BETWEEN 0 AND 1000),
 r AS (SELECT *, row_number() OVER (PARTITION BY voice, fits ORDER BY mos DESC, audio_file) AS k, max(fits) OVER (PARTITION BY voice) AS any_fit, row_number() OVER (PARTITION BY voice ORDER BY audio_file) - 1 AS i FROM c),
 pool AS (SELECT voice, audio_file, duration, k FROM r WHERE fits = any_fit AND k <= 12),
 o AS (SELECT r.audio_file, i, p.audio_file AS ref, p.duration AS rd, row_number() OVER (PARTITION BY r.audio_file ORDER BY p.k) - 1 AS j, count(*) OVER (PARTITION BY r.audio_file) AS n FROM r JOIN pool p ON p.voice = r.voice AND p.audio_file <> r.audio_file)
