@@ -12,6 +12,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.storage import cut_lineage
+
 
 def buckets(start: Column, end: Column, width: float) -> Column:
     """Numbers of the time buckets that ``[start, end]`` touches."""
@@ -225,9 +227,14 @@ def split_long(pieces: DataFrame, regions: DataFrame, longest: float = 12.0, lea
 
 
 def build_chunks(regions: DataFrame, turns: DataFrame, durations: DataFrame | None = None, drop_overlap: bool = True, max_gap: float = 0.3, pad: float = 0.2, shortest: float = 2.0, longest: float = 12.0) -> DataFrame:
-    """Chunks of one speaker each, from speech regions and turns: overlap out, speakers, merge, split, pad, number."""
-    speech = subtract(regions, overlapped_speech(turns)) if drop_overlap else regions.select("video_id", "start", "end")
-    pieces = split_long(merge_same_speaker(assign_speakers(speech, turns), max_gap), speech, longest)
+    """Chunks of one speaker each, from speech regions and turns: overlap out, speakers, merge, split, pad, number.
+
+    Turns and speech are read several times over, so each is written once to shared storage in between.
+    """
+    turns = cut_lineage(turns.select("video_id", "start", "end", "speaker"), "turns")
+    speech = cut_lineage(subtract(regions, overlapped_speech(turns)) if drop_overlap else regions.select("video_id", "start", "end"), "speech")
+    merged = cut_lineage(merge_same_speaker(assign_speakers(speech, turns), max_gap), "merged")
+    pieces = split_long(merged, speech, longest)
     if durations is None:
         return pad_and_filter(pieces, pad, shortest, longest)
     return pad_and_filter(pieces.join(durations.select("video_id", "duration"), "video_id", "left"), pad, shortest, longest, "duration").drop("duration")
