@@ -121,6 +121,8 @@ def make_canonical():
                 text = word.sub(latin, text)
             if arabic.search(text):
                 text = arabic.sub(shape, text)
+            if not unicodedata.is_normalized("NFC", text):  # a letter that was resolved may compose with its marks
+                text = unicodedata.normalize("NFC", text)
         elif re.search(r"[\x00-\x08\x0e-\x1b\x7f]", text):
             text = segment.sub(settle, text)
         return blanks.sub(" ", text).strip()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import heapq
 from collections.abc import Iterator
 
@@ -23,38 +24,46 @@ def attention_cost(size: np.ndarray, linear: float = 1.0, quadratic: float = 1.0
     return linear * size + quadratic * size * size
 
 
-def _fill(order: np.ndarray, sizes: np.ndarray, costs: np.ndarray, capacity: int, bins: int) -> tuple[np.ndarray, int]:
-    """Assign items in ``order`` to ``bins`` containers, opening more when none has room.
+def _fill(order: np.ndarray, sizes: np.ndarray, costs: np.ndarray, capacity: int, bins: int, small: int) -> tuple[np.ndarray, int]:
+    """Assign items in descending ``order`` to ``bins`` containers, opening more when none has room.
 
-    Containers wait in a heap by cost.  The cheapest with room gets the item; those without room are put aside until
-    a smaller item comes, and whoever can't take even the smallest item leaves.
+    Containers wait in a heap by cost.  The cheapest with room gets the item; one without room is put aside until a
+    smaller item comes.  Items up to ``small``, the last ones, close gaps instead: each goes where it leaves least
+    room, as spreading them by cost would leave every container a little short.
     """
     place = np.empty(len(sizes), np.int64)
     heap = [(0.0, b, 0) for b in range(bins)]
-    smallest = int(sizes[order[-1]]) if len(order) else 0
     aside: list[tuple[int, float, int]] = []  # by free room, largest first
-    for i in order.tolist():
+    split = int(np.searchsorted(-sizes[order], -small, "left"))
+    for i in order[:split].tolist():
         size = int(sizes[i])
         while aside and -aside[0][0] >= size:
             room, cost, b = heapq.heappop(aside)
             heapq.heappush(heap, (cost, b, capacity + room))
         while heap and heap[0][2] + size > capacity:
             cost, b, used = heapq.heappop(heap)
-            if capacity - used >= smallest:
-                heapq.heappush(aside, (used - capacity, cost, b))
+            heapq.heappush(aside, (used - capacity, cost, b))
         cost, b, used = heapq.heappop(heap) if heap else (0.0, bins, 0)
         bins += b == bins
         place[i] = b
-        if used + size + smallest <= capacity:
-            heapq.heappush(heap, (cost + float(costs[i]), b, used + size))
+        heapq.heappush(heap, (cost + float(costs[i]), b, used + size))
+    rooms = sorted([(capacity - used, b) for _, b, used in heap] + [(-room, b) for room, _, b in aside])
+    for i in order[split:].tolist():
+        size = int(sizes[i])
+        at = bisect.bisect_left(rooms, (size, -1))
+        room, b = rooms.pop(at) if at < len(rooms) else (capacity, bins)
+        bins += b == bins
+        place[i] = b
+        if room > size:
+            bisect.insort(rooms, (room - size, b))
     return place, bins
 
 
-def pack_sizes(sizes: np.ndarray, capacity: int, tries: int = 6) -> tuple[np.ndarray, int]:
+def pack_sizes(sizes: np.ndarray, capacity: int, tries: int = 6, small: float = 1 / 4) -> tuple[np.ndarray, int]:
     """Container of each item (sizes from 1 to ``capacity``) and the number of containers.
 
-    Starts from the fewest containers that could hold all and keeps the attempt that opens fewest; starting with too
-    few leaves the later items room to open their own, starting with more spreads the large ones.
+    Starts from the fewest containers that could hold all and keeps the attempt that ends with fewest; starting with
+    more of them spreads the large items further.  ``small`` is the share of a container up to which items close gaps.
     """
     if not len(sizes):
         return np.empty(0, np.int64), 0
@@ -64,10 +73,12 @@ def pack_sizes(sizes: np.ndarray, capacity: int, tries: int = 6) -> tuple[np.nda
     best: tuple[np.ndarray, int] | None = None
     start = least
     for _ in range(tries):
-        place, bins = _fill(order, sizes, costs, capacity, start)
+        place, bins = _fill(order, sizes, costs, capacity, start, int(capacity * small))
+        used, place = np.unique(place, return_inverse=True)  # a container that stayed empty isn't opened
+        bins = len(used)
         if best is None or bins < best[1]:
             best = place, bins
-        if bins == start:
+        if bins <= start:
             break
         start = min(best[1] - 1, max(start + 1, (start + bins) // 2))
     return best
