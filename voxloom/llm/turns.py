@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.functions.columns import pick
+from voxloom.storage import write_table
 
 #: Fixed value: a clock time, of hours (optional), minutes and seconds.
 CLOCK = r"(?:(?:(\d{1,3}):)?(\d{1,2}):(\d{2})(?:[.,](\d{1,3}))?)"
@@ -221,6 +222,9 @@ def _chunk_mapper(aliases: dict[str, str], fillers: list[str]):
     return mapper
 
 
+_BLOCK = pa.schema([("video_id", pa.string()), ("block", pa.int64()), ("lead", pa.string()), ("carry", pa.string()), ("turns", pa.list_(pa.struct([("speaker", pa.string()), ("said", pa.string())])))])
+
+
 def _block_mapper(aliases: dict[str, str], fillers: list[str], size: int):
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, block, _ = make_parser(aliases, fillers)
@@ -230,10 +234,17 @@ def _block_mapper(aliases: dict[str, str], fillers: list[str], size: int):
                 unique: dict[int, str] = {}
                 for w in words:
                     unique.setdefault(w["pos"], w["text"])
-                rows += [(video, number, k, who, said) for k, (who, said) in enumerate(block(sorted(unique.items()), number * size, (number + 1) * size))]
-            columns = list(zip(*rows)) or [[]] * 5
-            kinds = (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["video_id", "block", "k", "speaker", "said"])
+                opened = block(sorted(unique.items()), number * size, (number + 1) * size)
+                lead = " ".join(said for who, said in opened if who is None and said)
+                labelled = [(who, said) for who, said in opened if who is not None]
+                joined: list[dict] = []
+                for who, said in labelled:
+                    if said and joined and joined[-1]["speaker"] == who:
+                        joined[-1]["said"] += " " + said
+                    elif said:
+                        joined.append({"speaker": who, "said": said})
+                rows.append({"video_id": video, "block": number, "lead": lead, "carry": labelled[-1][0] if labelled else None, "turns": joined})
+            yield pa.RecordBatch.from_pylist(rows, _BLOCK)
 
     return mapper
 
@@ -260,20 +271,36 @@ def stream_turns(words: DataFrame, aliases: dict[str, str], fillers: list[str],
     Repeated rows count once; of different texts at one ``pos`` the first by code point counts; null texts, positions
     and videos are left out.  A stream is cut into blocks of ``size`` positions that see ``CONTEXT_WORDS`` on either
     side, so a video with a third of all words is parsed by many tasks; repeated words unite ahead of the shuffle.
-    What a block's first words belong to is then read from the blocks before, whose turns only are ordered per video.
+    What a block's first words belong to, whether its first turn goes on with one of an earlier block, and how many
+    turns lie ahead of it follow from one small row per block, so only those rows are ordered per video.
     """
     known = pick(words, "video_id", "pos", "text").filter(F.col("video_id").isNotNull() & F.col("pos").isNotNull() & F.col("text").isNotNull()).select("video_id", F.col("pos").cast("long").alias("pos"), "text")
     number = lambda shift: F.floor((F.col("pos") + shift) / size).cast("long")
     seen = known.select("video_id", "pos", "text", F.explode(F.array_distinct(F.array(number(0), number(-CONTEXT_WORDS), number(CONTEXT_WORDS)))).alias("block")).filter("block >= 0 OR pos < 0")
     blocks = seen.groupBy("video_id", "block").agg(F.sort_array(F.collect_set(F.struct("pos", "text"))).alias("words"))
-    parsed = blocks.mapInArrow(_block_mapper(aliases, fillers, size), "video_id string, block long, k int, speaker string, said string")
-    order = Window.partitionBy("video_id").orderBy("block", "k")
-    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    owned = parsed.withColumn("speaker", F.last("speaker", ignorenulls=True).over(so_far)).filter(F.length("said") > 0)
-    opens = owned.withColumn("opens", F.when(F.lag("speaker", 1).over(order).eqNullSafe(F.col("speaker")) & F.lag("block").over(order).isNotNull(), 0).otherwise(1))
-    turn = opens.withColumn("turn", F.sum("opens").over(so_far))
-    joined = turn.groupBy("video_id", "turn").agg(F.first("speaker").alias("speaker"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "k", "said"))), lambda x: x["said"]), " ").alias("clean_text"))
-    return joined.select("video_id", F.lit(-1).alias("chunk_index"), (F.col("turn") - 1).cast("int").alias("turn_index"), "speaker", "clean_text")
+    kind = "video_id string, block long, lead string, carry string, turns array<struct<speaker:string,said:string>>"
+    parsed, _ = write_table(blocks.mapInArrow(_block_mapper(aliases, fillers, size), kind), "blocks")
+
+    order = Window.partitionBy("video_id").orderBy("block")
+    n, first, last = F.size("turns"), F.get("turns", 0)["speaker"], F.get("turns", F.size("turns") - 1)["speaker"]
+    small = parsed.select("video_id", "block", (F.col("lead") != "").alias("led"), "carry", n.alias("n"), first.alias("first"), last.alias("last"))
+    carried = small.withColumn("owner", F.last("carry", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    # with the words ahead of its labels, a block's turns begin with their owner, who may be its first speaker as well
+    same = F.col("led") & (F.col("n") > 0) & F.col("owner").eqNullSafe(F.col("first"))
+    whole = carried.select("video_id", "block", "owner", "led", same.alias("same"), (F.col("n") + F.when(F.col("led") & ~same, 1).otherwise(0)).alias("n"), F.when(F.col("led"), F.col("owner")).otherwise(F.col("first")).alias("first"), F.when(F.col("n") > 0, F.col("last")).otherwise(F.col("owner")).alias("last"))
+    spoken = whole.filter("n > 0")
+    goes_on = (F.row_number().over(order) > 1) & F.lag("last").over(order).eqNullSafe(F.col("first"))
+    linked = spoken.withColumn("goes_on", F.when(goes_on, 1).otherwise(0))
+    ahead = F.sum(F.col("n") - F.col("goes_on")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    placed = linked.select("video_id", "block", "owner", "led", "same", ahead.alias("ahead"))
+
+    lead = F.when(F.col("led"), F.array(F.struct(F.col("owner").alias("speaker"), F.col("lead").alias("said")))).otherwise(F.array().cast("array<struct<speaker:string,said:string>>"))
+    shift = F.when(F.col("led") & F.col("same"), 1).otherwise(0)
+    turn = lambda k: F.col("ahead") + k - F.when(k > 0, shift).otherwise(0)
+    rows = parsed.join(placed, ["video_id", "block"]).select("video_id", "block", "ahead", "led", "same", F.posexplode(F.concat(lead, F.col("turns"))).alias("k", "t"))
+    numbered = rows.select("video_id", turn(F.col("k")).alias("turn"), "block", "k", "t.speaker", "t.said")
+    joined = numbered.groupBy("video_id", "turn").agg(F.first("speaker").alias("speaker"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "k", "said"))), lambda x: x["said"]), " ").alias("clean_text"))
+    return joined.select("video_id", F.lit(-1).alias("chunk_index"), F.col("turn").cast("int").alias("turn_index"), "speaker", "clean_text")
 
 
 def clean_turns(chunks: DataFrame, words: DataFrame, label_aliases: DataFrame, filler_terms: DataFrame) -> DataFrame:
