@@ -70,10 +70,10 @@ def test_feed(spark, rows, tmp_path):
 
 def test_predictions(spark, rows):
     def line(uri, answer, status=""):
-        return json.dumps({"request": {"contents": [{"parts": [{"text": "p"}, {"fileData": {"fileUri": f"store://b/clips/{uri}"}}]}]}, "status": status, "response": {"candidates": [{"content": {"parts": [{"text": answer}]}}]} if answer is not None else None})
+        return json.dumps({"request": {"contents": [{"parts": [{"text": "p"}, {"fileData": {"fileUri": f"store://b/batch/clips/{uri}.flac"}}]}]}, "status": status, "response": {"candidates": [{"content": {"parts": [{"text": answer}]}}]} if answer is not None else None})
 
-    lines = spark.createDataFrame([(line("a_sb_uc", '[{"i":1,"text":"x"}]'),), (line("d", "no"),), (line("e", None),), (line("f", "[]", "quota"),), ("{}",)], "value string")
-    assert rows(gates.batch_entries(R.prediction_batches(lines, "clips")), "audio_file", "status") == [("a/b_c", "ok"), ("d", "unparseable"), ("e", "no_response"), ("f", "batch:quota")]
+    lines = spark.createDataFrame([(line("a/b_c", '[{"i":1,"text":"x"}]'),), (line("d", "no"),), (line("e", None),), (line("f", "[]", "quota"),), ("{}",)], "value string")
+    assert rows(gates.batch_entries(R.prediction_batches(lines, "batch")), "audio_file", "status") == [("a/b_c.wav", "ok"), ("d.wav", "unparseable"), ("e.wav", "no_response"), ("f.wav", "batch:quota")]
 
 
 def test_tracks_and_files(spark):

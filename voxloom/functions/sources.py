@@ -5,9 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Suffixes of audio files; substrings of messages after which trying again is no use.
-AUDIO_SUFFIXES = (".mp3", ".wav", ".flac", ".m4a", ".ogg", ".opus", ".aac", ".wma", ".webm", ".mp4", ".mkv")
-PERMANENT = ("private video", "video unavailable", "has been removed", "account has been terminated", "copyright", "not available in your country", "members-only", "sign in to confirm your age", "this live event", "premieres in")
+#: Suffixes of audio files.
+AUDIO_SUFFIXES = (".m4a", ".webm", ".opus", ".ogg", ".oga", ".mp3", ".aac", ".flac", ".wav", ".mp4", ".mka")
+#: Titles, in lower case, of listing entries that hold no video.
+DEAD_TITLES = ("[private video]", "[deleted video]", "[unavailable video]")
+#: Substrings, in lower case, of messages after which trying again is no use.
+PERMANENT = (
+    "private video",
+    "members-only",
+    "members only",
+    "join this channel",
+    "removed by the user",
+    "removed by the uploader",
+    "has been terminated",
+    "video has been removed",
+    "violat",
+    "not available in your country",
+    "blocked it on copyright grounds",
+    "this live event will begin",
+    "premieres in",
+    "unable to extract video id",
+    "is not a valid url",
+    "unsupported url",
+)
 
 
 def url_id(url: Column, hosts: tuple[str, ...], short_hosts: tuple[str, ...]) -> Column:
@@ -63,15 +83,18 @@ def short_locale(locale: Column) -> Column:
     return F.lower(F.substring_index(F.replace(locale, F.lit("_"), F.lit("-")), "-", 1))
 
 
+def _stem(path: Column) -> Column:
+    return F.regexp_replace(path, r"\.[^.]*$", "")
+
+
 def path_code(path: Column, prefix: str) -> Column:
-    """Flat object name of a clip path; ``path_decode`` undoes it."""
-    return F.concat(F.lit(prefix.rstrip("/") + "/"), F.replace(F.replace(path, F.lit("_"), F.lit("_u")), F.lit("/"), F.lit("_s")))
+    """Object name of a clip, as FLAC below ``prefix``; ``path_decode`` undoes it."""
+    return F.concat(F.lit(f"{prefix}/clips/"), _stem(path), F.lit(".flac"))
 
 
 def path_decode(code: Column, prefix: str) -> Column:
-    """Clip path of a flat object name."""
-    name = F.substr(code, F.lit(len(prefix.rstrip("/")) + 2))
-    return F.replace(F.replace(name, F.lit("_s"), F.lit("/")), F.lit("_u"), F.lit("_"))
+    """Clip path, as WAV, of an object name."""
+    return F.concat(_stem(F.substr(code, F.lit(len(f"{prefix}/clips/") + 1))), F.lit(".wav"))
 
 
 def preferred_language(available: Column, patterns: list[str]) -> Column:

@@ -147,7 +147,7 @@ def halving(size: int, least: int = 2) -> list[int]:
 
 def is_out_of_memory(message: str) -> bool:
     """Whether a failure calls for a smaller batch."""
-    return any(m in message.lower() for m in ("out of memory", "cuda error: out of", "cannot allocate"))
+    return any(m in message.lower() for m in ("memoryerror", "out of memory", "batch_size"))
 
 
 def checked_isolation(durations: DataFrame, most: float = 0.25) -> DataFrame:

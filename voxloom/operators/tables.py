@@ -117,6 +117,12 @@ def speaker_summary(clips: DataFrame, key: str = "speaker", samples: int = 5) ->
     return grouped.withColumn("hours", F.col("seconds") / 3600)
 
 
+def export_stats(clips: DataFrame) -> DataFrame:
+    """One row on an export: clips, seconds, shortest, longest and mean duration, voices, recordings."""
+    seconds = F.sum(F.col("duration").cast("decimal(20,6)")).cast("double")
+    return clips.agg(F.count("*").alias("clips"), seconds.alias("seconds"), F.min("duration").alias("shortest"), F.max("duration").alias("longest"), (seconds / F.count("duration")).alias("mean"), F.count_distinct("speaker").alias("voices"), F.count_distinct("video_id").alias("recordings"))
+
+
 def top_with_rest(table: DataFrame, key: str, value: str, n: int) -> DataFrame:
     """The first ``n`` rows by value, and one of the others' sum under the key ``(rest)`` if there are any."""
     ranked = table.withColumn("place", F.row_number().over(Window.orderBy(F.desc(value), key)))

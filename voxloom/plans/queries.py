@@ -12,6 +12,7 @@ from voxloom.config import Config, MusicConfig
 from voxloom.functions import sources as U
 from voxloom.functions import text as T
 from voxloom.functions import vectors as V
+from voxloom.functions.audio import signal_stats_udf
 from voxloom.functions.labels import label_key
 from voxloom.operators import coverage, gates, intervals, sequence, speakers, tables
 from voxloom.plans.sql import oracle_sql
@@ -154,12 +155,12 @@ def _events(s: SparkSession, d: str) -> DataFrame:
 
 def _predictions(s: SparkSession, d: str) -> DataFrame:
     clips = unique_clips(s, d).select("audio_file", F.coalesce("text", F.lit("")).alias("text"), F.col("chunk_index").alias("k"))
-    uri = F.concat(F.lit("store://bucket/"), U.path_code(F.col("audio_file"), "clips"))
+    uri = F.concat(F.lit("store://bucket/"), U.path_code(F.col("audio_file"), "batch"))
     answer = F.when(F.col("k") % 11 == 0, "[{\"i\":5,\"text\":\"x\"}]").when(F.col("k") % 7 == 0, "no json").otherwise(F.to_json(F.array(F.struct(F.lit(1).alias("i"), F.col("text").alias("text")))))
     request = F.struct(F.array(F.struct(F.array(F.struct(F.struct(uri.alias("fileUri")).alias("fileData"))).alias("parts"))).alias("contents"))
     response = F.struct(F.array(F.struct(F.struct(F.array(F.struct(answer.alias("text"))).alias("parts")).alias("content"))).alias("candidates"))
     lines = clips.select(F.to_json(F.struct(request.alias("request"), F.when(F.col("k") % 13 == 0, "quota").otherwise("").alias("status"), response.alias("response"))).alias("value"))
-    return gates.batch_entries(readers.prediction_batches(lines, "clips")).select("audio_file", "status")
+    return gates.batch_entries(readers.prediction_batches(lines, "batch")).select("audio_file", "status")
 
 
 def _state(s: SparkSession, d: str) -> DataFrame:
@@ -237,7 +238,7 @@ def queries() -> dict[str, Query]:
         "q_url_ids": lambda s, d: t(s, d, "videos").select("video_id", U.source_id(F.col("video_url"), *HOSTS).alias("source_id"), U.is_local(F.col("video_url")).alias("is_local")),
         "q_source_table": lambda s, d: readers.source_table(readers.source_specs(t(s, d, "videos").filter("video_url IS NOT NULL").select(F.col("video_url").alias("value"), F.col("video_id").alias("ordinal"))), *HOSTS),
         "q_natural_order": lambda s, d: t(s, d, "part").select("p_partkey", U.natural_key(F.col("p_name")).alias("key")),
-        "q_path_codes": lambda s, d: t(s, d, "metadata").select(F.col("audio_file"), U.path_code(F.col("audio_file"), "clips").alias("code"), U.path_decode(U.path_code(F.col("audio_file"), "clips"), "clips").alias("back")),
+        "q_path_codes": lambda s, d: t(s, d, "metadata").select(F.col("audio_file"), U.path_code(F.col("audio_file"), "batch").alias("code"), U.path_decode(U.path_code(F.col("audio_file"), "batch"), "batch").alias("back")),
         "q_permanent_errors": lambda s, d: t(s, d, "videos").groupBy(U.is_permanent_error(F.col("error")).alias("permanent"), F.col("error").isNull().alias("fine")).agg(F.count("*").alias("videos")),
         "q_locales": lambda s, d: t(s, d, "documents").groupBy(U.short_locale(F.coalesce("lang", F.lit("und"))).alias("language")).agg(F.count("*").alias("documents")),
         "q_caption_cues": _cues,
@@ -285,6 +286,7 @@ def queries() -> dict[str, Query]:
         "q_top_speakers": lambda s, d: tables.top_with_rest(tables.seconds_by(unique_clips(s, d).filter("duration < 1000 AND speaker IS NOT NULL"), "speaker"), "speaker", "seconds", 15),
         "q_speaker_summary": lambda s, d: tables.speaker_summary(unique_clips(s, d).filter("duration < 1000 AND squim_mos BETWEEN 0 AND 1000").withColumn("voice", label_key(F.col("speaker"))).filter("voice IS NOT NULL"), "voice"),
         "q_billable": lambda s, d: unique_clips(s, d).filter("duration > 0 AND duration < 1000").agg(F.sum(tables.billable_seconds(F.col("duration")).cast("long")).alias("billable"), tables.estimated_cost(F.sum(F.col("duration").cast("decimal(20,6)")).cast("double"), 0.016).alias("cost")),
+        "q_export_stats": lambda s, d: tables.export_stats(unique_clips(s, d).filter("duration > 0 AND duration < 1000")),
         "q_references": _references,
         "q_train_validation": _train_validation,
         "q_manifest": _manifest,
@@ -296,7 +298,12 @@ def queries() -> dict[str, Query]:
         # models
         "q_recognized": _recognized,
         "q_stand_ins": _stand_ins,
+        "q_reference_clips": lambda s, d: inference.reference_clip(unique_clips(s, d)),
+        "q_single_speaker": lambda s, d: inference.diarized_or_single(millis(s, d), t(s, d, "videos").select("video_id", F.lit(1000).alias("duration"))).groupBy("video_id").agg(F.count("*").alias("turns"), F.count_if(F.col("speaker") == "SPEAKER_00").alias("given")),
+        "q_signal_stats": lambda s, d: t(s, d, "embeddings").select("vec_id", signal_stats_udf(F.transform("embedding", lambda x: x.cast("double"))).alias("s")).select("vec_id", F.round("s.peak_dbfs", 6).alias("peak_dbfs"), "s.clipping_ratio"),
+        "q_best_label": lambda s, d: unique_clips(s, d).select("audio_file", V.best(F.array(F.struct(F.lit("music").alias("label"), "music_score"), F.struct(F.lit("speech").alias("label"), F.col("speech_score").alias("music_score"))), lambda x: F.coalesce(F.nanvl(x["music_score"], F.lit(-1.0)), F.lit(-1.0)))["label"].alias("label")),
         # streams
         "q_stream_sessions": lambda s, d: _stream(s, d, lambda e: streams.gap_sessions(e, "user_id", "ts", "6 hours"), "sessions"),
+        "q_stream_dedupe": lambda s, d: streams.collected(streams.dedupe_stream(streams.increments(s, f"{d}/events.parquet*", t(s, d, "events").schema).select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("at")).withWatermark("ts", "10 minutes"), ["user_id", "event_type"], "at", "ts", 3.6e9), "kept").select("event_id", "user_id"),
         "q_stream_windows": lambda s, d: _stream(s, d, lambda e: streams.tumbling(e, ["event_type"], "ts", "15 minutes"), "windows"),
     }

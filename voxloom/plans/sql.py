@@ -144,7 +144,7 @@ SELECT CASE WHEN len({words('x')}) < 2 THEN 'text_too_short' WHEN NOT regexp_mat
 SELECT video_url AS spec, {_SOURCE} AS source_id, {_LOCAL} AS is_local, CAST(row_number() OVER (ORDER BY NOT {_LOCAL}, o) - 1 AS INTEGER) AS ordinal FROM first WHERE video_url <> '' AND video_url NOT LIKE '#%'""",
         "q_natural_order": r"""SELECT p_partkey, array_to_string(list_transform(regexp_extract_all(lower(p_name), '\d+|\D+'), lambda p: CASE WHEN regexp_matches(p, '^\d')
   THEN lpad(CAST(length(regexp_replace(p, '^0+(\d)', '\1')) AS VARCHAR), 6, '0') || regexp_replace(p, '^0+(\d)', '\1') ELSE p END), chr(1)) AS key FROM part""",
-        "q_path_codes": "SELECT audio_file, 'clips/' || replace(replace(audio_file, '_', '_u'), '/', '_s') AS code, audio_file AS back FROM metadata",
+        "q_path_codes": "SELECT audio_file, 'batch/clips/' || regexp_replace(audio_file, '\\.[^.]*$', '') || '.flac' AS code, regexp_replace(audio_file, '\\.[^.]*$', '') || '.wav' AS back FROM metadata",
         "q_permanent_errors": f"SELECT coalesce(regexp_matches(lower(error), '{'|'.join(U.PERMANENT)}'), false) AS permanent, error IS NULL AS fine, count(*) AS videos FROM videos GROUP BY ALL",
         "q_locales": "SELECT lower(split_part(replace(coalesce(lang, 'und'), '_', '-'), '-', 1)) AS language, count(*) AS documents FROM documents GROUP BY 1",
         "q_caption_cues": f"""SELECT video_id || '#' || chunk_index AS video_id, len(w) AS words, CAST(len(w) - 1 AS INTEGER) AS last_pos, CAST(round(start * 1000) AS BIGINT) AS start_ms, list_max(w) AS last_text
@@ -221,6 +221,13 @@ o AS (SELECT r.audio_file, i, p.audio_file AS ref, p.duration AS rd, row_number(
 SELECT r.audio_file, o.ref AS ref_audio, o.rd AS ref_duration FROM r LEFT JOIN o ON o.audio_file = r.audio_file AND o.j = o.i % o.n""",
         "q_train_validation": f"""WITH {CLIPS}, c AS (SELECT audio_file, coalesce({KEY}, video_id) AS voice FROM clips), r AS (SELECT audio_file, row_number() OVER (PARTITION BY voice ORDER BY md5('0' || chr(1) || audio_file), audio_file) AS k, count(*) OVER (PARTITION BY voice) AS n FROM c)
 SELECT audio_file, CASE WHEN k <= least(round_even(n * CAST(0.1 AS DOUBLE), 0), n - 1) THEN 'validation' ELSE 'train' END AS split FROM r""",
+        "q_export_stats": f"""WITH {CLIPS}, c AS (SELECT *, CAST(sum(TRY_CAST(duration AS DECIMAL(20,6))) OVER () AS DOUBLE) AS total FROM clips WHERE NOT isnan(duration) AND duration > 0 AND duration < 1000)
+SELECT count(*) AS clips, max(total) AS seconds, min(duration) AS shortest, max(duration) AS longest, max(total) / count(duration) AS mean, count(DISTINCT speaker) AS voices, count(DISTINCT video_id) AS recordings FROM c""",
+        "q_reference_clips": f"""WITH {CLIPS}, r AS (SELECT video_id, audio_file, row_number() OVER (PARTITION BY video_id ORDER BY squim_stoi DESC, audio_file DESC) AS k FROM clips WHERE squim_stoi IS NOT NULL AND NOT isnan(squim_stoi))
+SELECT video_id, audio_file AS reference FROM r WHERE k = 1""",
+        "q_single_speaker": f"WITH {MS}, x AS (SELECT video_id, speaker FROM ms UNION ALL SELECT video_id, 'SPEAKER_00' FROM videos v WHERE NOT EXISTS (SELECT 1 FROM ms WHERE ms.video_id = v.video_id)) SELECT video_id, count(*) AS turns, count(*) FILTER (speaker = 'SPEAKER_00') AS given FROM x GROUP BY 1",
+        "q_best_label": f"""WITH {CLIPS}, x AS (SELECT audio_file, coalesce(CASE WHEN isnan(music_score) THEN -1 ELSE music_score END, -1) AS m, coalesce(CASE WHEN isnan(speech_score) THEN -1 ELSE speech_score END, -1) AS s FROM clips)
+SELECT audio_file, CASE WHEN s > m THEN 'speech' ELSE 'music' END AS label FROM x""",
         "q_regrouped_paths": "SELECT DISTINCT audio_file, coalesce(speaker, '_unassigned') || '/' || string_split(audio_file, '/')[-1] AS path FROM metadata",
         "q_fixed_batches": "SELECT video_id, chunk_index, CAST((row_number() OVER (PARTITION BY video_id ORDER BY chunk_index) - 1) // 8 AS BIGINT) AS batch FROM chunks",
         "q_slice_rows": "SELECT doc_id FROM documents WHERE doc_id >= 100 AND doc_id < 5000",

@@ -46,7 +46,7 @@ def expand_listing(spark: SparkSession, specs: DataFrame, listing: DataFrame, ma
     ``listing`` has ``parent``, ``child``, ``position``, ``is_video``, ``title`` and ``live_status``; entries without
     child, placeholders and live or coming streams don't count.  Each level is one join, so cycles end with the depth.
     """
-    usable = listing.filter(F.col("child").isNotNull() & ~F.coalesce(F.col("live_status"), F.lit("")).isin("is_live", "is_upcoming") & ~F.coalesce(F.col("title"), F.lit("")).isin("[Private video]", "[Deleted video]"))
+    usable = listing.filter(F.col("child").isNotNull() & ~F.coalesce(F.col("live_status"), F.lit("")).isin("is_live", "is_upcoming") & ~F.lower(F.trim(F.coalesce(F.col("title"), F.lit("")))).isin(*U.DEAD_TITLES))
     level = specs.select("spec", F.array(F.col("ordinal").cast("long")).alias("path"), F.lit(0).alias("depth"))
     containers = usable.select(F.col("parent").alias("spec")).distinct().withColumn("holds", F.lit(True))
     found = []
