@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -29,6 +28,11 @@ class SplitConfig:
     buckets: int = 4096
 
 
+def _meet(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Join by sorted partitions: written tables look small by their compressed files, which is no bound to broadcast."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def pair_edges(metadata: DataFrame) -> DataFrame:
     """Distinct ``(video_id, label)`` of all rows; label is null where a video has a row without one."""
     pairs = pick(metadata, "video_id", "speaker").filter(F.col("video_id").isNotNull()).select("video_id", label_key(F.col("speaker")).alias("label"))
@@ -43,7 +47,7 @@ def star_edges(pairs: DataFrame) -> DataFrame:
     """
     known = pairs.filter(F.col("label").isNotNull())
     least = known.groupBy("label").agg(F.min("video_id").alias("b"))
-    return known.join(least, "label").filter(F.col("video_id") != F.col("b")).select(F.col("video_id").alias("a"), "b").distinct()
+    return _meet(known, least, "label").filter(F.col("video_id") != F.col("b")).select(F.col("video_id").alias("a"), "b").distinct()
 
 
 def connected(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
@@ -66,7 +70,7 @@ def connected(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         moving = step.filter(F.col("node") != F.col("to"))
         while True:  # pointer jumping: each pass halves the height of the trees
             onward = moving.select(F.col("node").alias("to"), F.col("to").alias("next"))
-            jumped = step.join(onward, "to", "left").select("node", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved"))
+            jumped = _meet(step, onward, "to", "left").select("node", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved"))
             jumped, jumped_path = write_table(jumped, "pointers")
             delete_path(spark, step_path)
             step, step_path = jumped.select("node", "to"), jumped_path
@@ -75,7 +79,7 @@ def connected(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
             moving = step.filter(F.col("node") != F.col("to"))
         levels.append(step)
         moved = step.filter(F.col("node") != F.col("to"))
-        relabel = lambda df, c: df.join(moved.withColumnRenamed("node", c), c, "left").withColumn(c, F.coalesce("to", c)).drop("to")  # noqa: E731, B023
+        relabel = lambda df, c: _meet(df, moved.withColumnRenamed("node", c), c, "left").withColumn(c, F.coalesce("to", c)).drop("to")  # noqa: E731, B023
         rest, rest_path = write_table(relabel(relabel(live, "a"), "b").filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
         delete_path(spark, live_path)
         live, live_path = rest, rest_path
@@ -86,7 +90,7 @@ def connected(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     roots = levels[0].withColumnRenamed("to", "root")
     for step in levels[1:]:  # a root of one level may have moved in the next
         moved = step.filter(F.col("node") != F.col("to")).withColumnRenamed("node", "root")
-        roots = roots.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+        roots = _meet(roots, moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
     return roots
 
 
@@ -98,7 +102,7 @@ def video_groups(metadata: DataFrame) -> DataFrame:
     pairs, _ = write_table(pair_edges(metadata), "pairs")
     roots = connected(star_edges(pairs))
     videos = pairs.select("video_id").distinct()
-    return videos.join(roots.withColumnRenamed("node", "video_id"), "video_id", "left").select("video_id", F.coalesce("root", "video_id").alias("group_video_id"))
+    return _meet(videos, roots.withColumnRenamed("node", "video_id"), "video_id", "left").select("video_id", F.coalesce("root", "video_id").alias("group_video_id"))
 
 
 def _largest_deficit(held: dict[str, float], shares: dict[str, float], total: float) -> str:
@@ -187,44 +191,44 @@ class SplitStore:
         pairs, _ = write_table(pairs.select("video_id", "label", "rows"), "batch")
         nodes, components = self.tables()
         old = lambda kind, c: nodes.filter(F.col("kind") == kind).select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
-        tied = pairs.join(old("video", "video_id"), "video_id", "left").join(old("label", "label"), "label", "left")
+        tied = _meet(_meet(pairs, old("video", "video_id"), "video_id", "left"), old("label", "label"), "label", "left")
         # super nodes: existing components under their name, newcomers under theirs; labels sort behind all videos
         mark = lambda kind, c: F.concat(F.lit({"video": "n:", "label": "z:"}[kind]), F.col(c))
         tied = tied.select("video_id", "label", "rows", F.coalesce(F.concat(F.lit("c:"), "of_video_id"), mark("video", "video_id")).alias("v"), F.coalesce(F.concat(F.lit("c:"), "of_label"), mark("label", "label")).alias("l"))
         tied, _ = write_table(tied, "tied")
         roots, _ = write_table(connected(tied.filter("l IS NOT NULL AND v != l").select(F.greatest("v", "l").alias("a"), F.least("v", "l").alias("b")).distinct()), "roots")
-        members = tied.select(F.explode(F.array("v", "l")).alias("node")).filter("node IS NOT NULL").distinct().join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+        members = _meet(tied.select(F.explode(F.array("v", "l")).alias("node")).filter("node IS NOT NULL").distinct(), roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
         members, _ = write_table(members, "members")
-        of_old = members.filter(F.col("node").startswith("c:")).select("root", F.substring("node", 3, 1 << 20).alias("component")).join(components, "component")
+        of_old = _meet(members.filter(F.col("node").startswith("c:")).select("root", F.substring("node", 3, 1 << 20).alias("component")), components, "component")
         merged = of_old.groupBy("root").agg(F.min("component").alias("keep"), F.min("split").alias("low"), F.max("split").alias("high"))
         merged, _ = write_table(merged, "merged")
         clash = F.col("low") != F.col("high")
         # every super node's component: merged ones take the smallest name, clashing ones stay, newcomers get a new one
         newcomers = members.filter(~F.col("node").startswith("c:"))
         first_new = newcomers.groupBy("root").agg(F.min(F.substring("node", 3, 1 << 20)).alias("fresh"))
-        named = members.join(merged, "root", "left").join(first_new, "root", "left")
+        named = _meet(_meet(members, merged, "root", "left"), first_new, "root", "left")
         isold = F.col("node").startswith("c:")
         component = F.when(isold & clash, F.substring("node", 3, 1 << 20)).when(F.col("keep").isNotNull() & ~clash, F.col("keep")).otherwise(F.col("fresh"))
         split = F.when(~isold & clash, F.lit(QUARANTINE)).when(F.col("low").isNotNull() & ~clash, F.col("low"))
         named, _ = write_table(named.select("node", component.alias("component"), split.alias("split")), "named")
 
         lookup = named.select("node", "component")
-        kept = nodes.join(lookup.filter(F.col("node").startswith("c:")).select(F.substring("node", 3, 1 << 20).alias("component"), F.col("component").alias("now")), "component", "left").select("kind", "node", F.coalesce("now", "component").alias("component"))
+        kept = _meet(nodes, lookup.filter(F.col("node").startswith("c:")).select(F.substring("node", 3, 1 << 20).alias("component"), F.col("component").alias("now")), "component", "left").select("kind", "node", F.coalesce("now", "component").alias("component"))
         fresh = named.filter(~F.col("node").startswith("c:")).select(F.when(F.col("node").startswith("n:"), "video").otherwise("label").alias("kind"), F.substring("node", 3, 1 << 20).alias("node"), "component")
         version = self.version() + 1
         where = f"{self.path}/v{version}"
         kept.unionByName(fresh).write.mode("overwrite").parquet(f"{where}/nodes")
 
-        grown = tied.join(named.withColumnRenamed("node", "v"), "v").groupBy("component").agg(F.sum("rows").alias("size"))
-        renamed = components.join(named.filter(F.col("node").startswith("c:")).select(F.substring("node", 3, 1 << 20).alias("component"), F.col("component").alias("now")), "component", "left")
+        grown = _meet(tied, named.withColumnRenamed("node", "v"), "v").groupBy("component").agg(F.sum("rows").alias("size"))
+        renamed = _meet(components, named.filter(F.col("node").startswith("c:")).select(F.substring("node", 3, 1 << 20).alias("component"), F.col("component").alias("now")), "component", "left")
         olds = renamed.groupBy(F.coalesce("now", "component").alias("component")).agg(F.min("split").alias("split"), F.sum("size").alias("size"))
         decided = named.filter(~F.col("node").startswith("c:")).groupBy("component").agg(F.max("split").alias("given"))
-        sized = olds.join(grown.withColumnRenamed("size", "more"), "component", "full").join(decided, "component", "full")
+        sized = _meet(_meet(olds, grown.withColumnRenamed("size", "more"), "component", "full"), decided, "component", "full")
         sized = sized.select("component", F.coalesce("split", "given").alias("split"), (F.coalesce("size", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("size"))
         sized, _ = write_table(sized, "sized")
         held = {r["split"]: r["n"] for r in sized.filter("split IS NOT NULL").groupBy("split").agg(F.sum("size").alias("n")).collect() if r["split"] != QUARANTINE}
         placed = place_components(sized.filter("split IS NULL").select("component", "size"), held, self.config)
-        sized.join(placed.withColumnRenamed("split", "placed"), "component", "left").select("component", F.coalesce("split", "placed").alias("split"), "size").write.mode("overwrite").parquet(f"{where}/components")
+        _meet(sized, placed.withColumnRenamed("split", "placed"), "component", "left").select("component", F.coalesce("split", "placed").alias("split"), "size").write.mode("overwrite").parquet(f"{where}/components")
         self._publish(version)
 
     def _publish(self, version: int) -> None:
@@ -241,7 +245,7 @@ class SplitStore:
         nodes, _ = self.tables()
         videos = nodes.filter("kind = 'video'")
         least = videos.groupBy("component").agg(F.min("node").alias("group_video_id"))
-        return videos.join(least, "component").select(F.col("node").alias("video_id"), "group_video_id")
+        return _meet(videos, least, "component").select(F.col("node").alias("video_id"), "group_video_id")
 
     def assign(self, clips: DataFrame) -> DataFrame:
         """``clips`` (``video_id``, ``speaker`` and more) with their ``split``.
@@ -250,10 +254,10 @@ class SplitStore:
         whose label is unknown.
         """
         nodes, components = self.tables()
-        split_of = nodes.join(components, "component").select("kind", "node", "split")
+        split_of = _meet(nodes, components, "component").select("kind", "node", "split")
         of = lambda kind, c: split_of.filter(F.col("kind") == kind).select(F.col("node").alias(c), F.col("split").alias(f"split_{kind}"))
         keyed = clips.withColumn("split_label_key", label_key(F.col("speaker")))
-        both = keyed.join(of("video", "video_id"), "video_id", "left").join(of("label", "split_label_key"), "split_label_key", "left")
+        both = _meet(_meet(keyed, of("video", "video_id"), "video_id", "left"), of("label", "split_label_key"), "split_label_key", "left")
         one = F.coalesce("split_video", "split_label", F.lit(QUARANTINE))
         split = F.when(F.col("split_video") != F.col("split_label"), QUARANTINE).otherwise(one)
         return both.select(*[c for c in clips.columns if c != "split"], split.alias("split"))
@@ -272,7 +276,3 @@ def grouped_videos(metadata: DataFrame, path: str | None = None) -> DataFrame:
     store.update(pair_edges(metadata))
     return store.groups()
 
-
-def describe(config: SplitConfig) -> str:
-    """The configuration as JSON, for a store's log."""
-    return json.dumps({"shares": dict(config.shares), "large": config.large, "buckets": config.buckets})
