@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.functions import text as T
+from voxloom.operators.ranking import range_ranked
 
 
 def fold_sorted(table: DataFrame, keys: list[str], order: list[str], make: Callable[[], Callable[[dict], object]], column: str, kind: str) -> DataFrame:
@@ -184,14 +185,12 @@ def seeded(seed: int, *columns: str) -> Column:
 def train_validation(table: DataFrame, group: Column, key: str, fraction: float = 0.05, seed: int = 0) -> DataFrame:
     """Adds ``split``: a share of each group's rows, rounded half to even, is for validation, never all of them.
 
-    Rows are ranked by a seeded hash.  Groups are the table's own; a very large one is ranked by one task.
+    Rows are ranked by a seeded hash, a group of any size being spread over tasks.
     """
-    named = table.withColumn("group_", group)
-    of_group = Window.partitionBy("group_")
-    count = F.count("*").over(of_group)
-    wanted = F.least(F.bround(count * F.lit(fraction)).cast("long"), count - 1)
-    ranked = named.withColumn("rank_", F.row_number().over(of_group.orderBy(seeded(seed, key), key))).withColumn("wanted_", wanted)
-    return ranked.withColumn("split", F.when(F.col("rank_") <= F.col("wanted_"), "validation").otherwise("train")).drop("group_", "rank_", "wanted_")
+    named = table.withColumns({"group_": group, "hash_": seeded(seed, key)})
+    ranked = range_ranked(named, ["group_"], [F.col("hash_"), F.col(key)], "rank_", "size_")
+    wanted = F.least(F.bround(F.col("size_") * F.lit(fraction)).cast("long"), F.col("size_") - 1)
+    return ranked.withColumn("split", F.when(F.col("rank_") <= wanted, "validation").otherwise("train")).drop("group_", "hash_", "rank_", "size_")
 
 
 def reference_pool(table: DataFrame, group: Column, order: list[Column], low: float = 3.0, high: float = 10.0, size: int = 12) -> DataFrame:
@@ -213,7 +212,7 @@ def assign_references(table: DataFrame, group: Column, order: list[Column], **pa
     A row whose pool has no other clip has none.
     """
     pools = reference_pool(table, group, order, **params)
-    numbered = table.withColumn("group", group).withColumn("i_", F.row_number().over(Window.partitionBy("group").orderBy(*order)) - 1)
+    numbered = range_ranked(table.withColumn("group", group), ["group"], order, "i_").withColumn("i_", F.col("i_") - 1)
     others = F.filter("pool", lambda x: x["audio_file"] != F.col("audio_file"))
     joined = numbered.join(pools, "group", "left").withColumn("others_", others)
     ref = F.when(F.size("others_") > 0, F.get("others_", (F.col("i_") % F.size("others_")).cast("int")))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.functions import vectors as V
+from voxloom.operators.ranking import range_ranked
 
 
 def mean_vectors(table: DataFrame, keys: list[str], vector: str, out: str = "centroid") -> DataFrame:
@@ -21,13 +22,12 @@ def mean_vectors(table: DataFrame, keys: list[str], vector: str, out: str = "cen
 def robust_centroids(table: DataFrame, keys: list[str], vector: str, order: list[str]) -> DataFrame:
     """Per key the mean of all vectors, or from 4 on of the half (at least 2) nearest to it. Zero vectors don't count.
 
-    ``order`` breaks ties.  The half is found by a rank per key: a key's rows are sorted by one task, narrow as they are.
+    ``order`` breaks ties.  The half is found by ranks over range partitions, so a voice of any size spreads over tasks.
     """
     used = table.filter(~V.is_zero(F.col(vector)))
     first = mean_vectors(used, keys, vector, "provisional")
-    w = Window.partitionBy(*keys)
     near = used.join(first, keys).withColumn("distance", V.cosine_distance(F.col(vector), F.col("provisional")))
-    ranked = near.withColumn("rank", F.row_number().over(w.orderBy("distance", *order))).withColumn("n", F.count("*").over(w))
+    ranked = range_ranked(near.select(*keys, *order, vector, "distance"), keys, [F.col("distance"), *map(F.col, order)], "rank", "n")
     kept = ranked.filter((F.col("n") < 4) | (F.col("rank") <= F.greatest(F.lit(2), F.floor(F.col("n") / 2))))
     return mean_vectors(kept, keys, vector)
 

@@ -103,18 +103,21 @@ def with_share(counts: DataFrame, value: str) -> DataFrame:
 
 
 def speaker_summary(clips: DataFrame, key: str = "speaker", samples: int = 5) -> DataFrame:
-    """Per voice: seconds, hours, clips, episodes, mean score (nulls and NaN skipped), videos, first sample files."""
+    """Per voice: seconds, hours, clips, episodes, mean score (nulls and NaN skipped), first sample files.
+
+    Samples come from a top-k of their own, which Spark limits per task ahead of its shuffle; null voices have none.
+    """
     score = F.when(~F.isnan("squim_mos"), F.col("squim_mos"))
     seconds = F.sum(F.coalesce(F.nanvl("duration", F.lit(0.0)), F.lit(0.0)).cast("decimal(20,6)")).cast("double")
-    ranked = clips.withColumn("at_", F.row_number().over(Window.partitionBy(key).orderBy("audio_file")))
-    grouped = ranked.groupBy(key).agg(
+    at = F.row_number().over(Window.partitionBy(key).orderBy("audio_file"))
+    first = clips.select(key, "audio_file", at.alias("at_")).filter(F.col("at_") <= samples).groupBy(key).agg(F.sort_array(F.collect_list("audio_file")).alias("samples"))
+    grouped = clips.groupBy(key).agg(
         seconds.alias("seconds"),
         F.count("*").alias("clips"),
         F.count_distinct("video_id").alias("episodes"),
         (F.sum(score.cast("decimal(20,6)")).cast("double") / F.count(score)).alias("mean_mos"),
-        F.sort_array(F.collect_list(F.when(F.col("at_") <= samples, F.col("audio_file")))).alias("samples"),
     )
-    return grouped.withColumn("hours", F.col("seconds") / 3600)
+    return grouped.join(first, key, "left").withColumn("hours", F.col("seconds") / 3600)
 
 
 def export_stats(clips: DataFrame) -> DataFrame:
@@ -125,9 +128,10 @@ def export_stats(clips: DataFrame) -> DataFrame:
 
 def top_with_rest(table: DataFrame, key: str, value: str, n: int) -> DataFrame:
     """The first ``n`` rows by value, and one of the others' sum under the key ``(rest)`` if there are any."""
-    ranked = table.withColumn("place", F.row_number().over(Window.orderBy(F.desc(value), key)))
-    named = ranked.select(F.when(F.col("place") <= n, F.col(key)).otherwise("(rest)").alias(key), value, F.least("place", F.lit(n + 1)).alias("place"))
-    return named.groupBy(key, "place").agg(F.sum(F.col(value).cast("decimal(30,6)")).cast("double").alias(value))
+    first = table.select(key, value).orderBy(F.desc(value), key).limit(n)
+    numbered = first.withColumn("place", F.row_number().over(Window.orderBy(F.desc(value), key)))  # of n rows
+    rest = table.select(key, value).join(first.select(key), key, "left_anti").agg(F.sum(F.col(value).cast("decimal(30,6)")).cast("double").alias(value))
+    return numbered.unionByName(rest.filter(F.col(value).isNotNull()).select(F.lit("(rest)").alias(key), value, F.lit(n + 1).alias("place")))
 
 
 def billable_seconds(duration: Column, step: float = 15.0) -> Column:

@@ -141,7 +141,7 @@ SELECT CASE WHEN len({words('x')}) < 2 THEN 'text_too_short' WHEN NOT regexp_mat
         "q_prompts": "SELECT video_id, 'Transcribe ' || coalesce(title, '?') || ' (' || coalesce(language, 'ar') || ').' AS prompt FROM videos",
         "q_url_ids": f"SELECT video_id, {_SOURCE} AS source_id, {_LOCAL} AS is_local FROM videos",
         "q_source_table": f"""WITH first AS (SELECT {squeeze('video_url')} AS video_url, min(video_id) AS o FROM videos WHERE video_url IS NOT NULL GROUP BY 1)
-SELECT video_url AS spec, {_SOURCE} AS source_id, {_LOCAL} AS is_local, CAST(row_number() OVER (ORDER BY NOT {_LOCAL}, o) - 1 AS INTEGER) AS ordinal FROM first WHERE video_url <> '' AND video_url NOT LIKE '#%'""",
+SELECT video_url AS spec, {_SOURCE} AS source_id, {_LOCAL} AS is_local, row_number() OVER (ORDER BY NOT {_LOCAL}, o) - 1 AS ordinal FROM first WHERE video_url <> '' AND video_url NOT LIKE '#%'""",
         "q_natural_order": r"""SELECT p_partkey, array_to_string(list_transform(regexp_extract_all(lower(p_name), '\d+|\D+'), lambda p: CASE WHEN regexp_matches(p, '^\d')
   THEN lpad(CAST(length(regexp_replace(p, '^0+(\d)', '\1')) AS VARCHAR), 6, '0') || regexp_replace(p, '^0+(\d)', '\1') ELSE p END), chr(1)) AS key FROM part""",
         "q_path_codes": "SELECT audio_file, 'batch/clips/' || regexp_replace(audio_file, '\\.[^.]*$', '') || '.flac' AS code, regexp_replace(audio_file, '\\.[^.]*$', '') || '.wav' AS back FROM metadata",

@@ -11,6 +11,7 @@ from pyspark.sql import types as S
 
 from voxloom.functions import sources as U
 from voxloom.functions import text as T
+from voxloom.operators.ranking import range_ranked
 from voxloom.operators.tables import last_wins
 
 CUE_EVENTS = "struct<events:array<struct<tStartMs:bigint,dDurationMs:bigint,segs:array<struct<utf8:string,tOffsetMs:bigint>>>>>"
@@ -36,8 +37,8 @@ def read_specs(spark: SparkSession, path: str) -> DataFrame:
 def source_table(specs: DataFrame, hosts: tuple[str, ...], short_hosts: tuple[str, ...]) -> DataFrame:
     """``(spec, source_id, is_local, ordinal)``, places numbered with local sources ahead of remote ones."""
     local = U.is_local(F.col("spec"))
-    place = F.row_number().over(Window.orderBy((~local).cast("int"), "ordinal")) - 1
-    return specs.select("spec", U.source_id(F.col("spec"), hosts, short_hosts).alias("source_id"), local.alias("is_local"), place.alias("ordinal"))
+    named = specs.select("spec", U.source_id(F.col("spec"), hosts, short_hosts).alias("source_id"), local.alias("is_local"), F.col("ordinal").alias("line"))
+    return range_ranked(named, [], [(~F.col("is_local")).cast("int"), F.col("line")], "ordinal").select("spec", "source_id", "is_local", (F.col("ordinal") - 1).alias("ordinal"))
 
 
 def expand_listing(spark: SparkSession, specs: DataFrame, listing: DataFrame, max_depth: int = 2) -> DataFrame:
