@@ -154,12 +154,12 @@ def _events(s: SparkSession, d: str) -> DataFrame:
 
 
 def _predictions(s: SparkSession, d: str) -> DataFrame:
-    clips = unique_clips(s, d).select("audio_file", F.coalesce("text", F.lit("")).alias("text"), F.col("chunk_index").alias("k"))
+    clips = unique_clips(s, d).select("audio_file", F.coalesce("text", F.lit("")).alias("text"), "text_source", "boundary_clipped", "asr_language")
     uri = F.concat(F.lit("store://bucket/"), U.path_code(F.col("audio_file"), "batch"))
-    answer = F.when(F.col("k") % 11 == 0, "[{\"i\":5,\"text\":\"x\"}]").when(F.col("k") % 7 == 0, "no json").otherwise(F.to_json(F.array(F.struct(F.lit(1).alias("i"), F.col("text").alias("text")))))
+    answer = F.when(F.col("boundary_clipped"), "[{\"i\":5,\"text\":\"x\"}]").when(F.col("text_source") == "google", "no json").otherwise(F.to_json(F.array(F.struct(F.lit(1).alias("i"), F.col("text").alias("text")))))
     request = F.struct(F.array(F.struct(F.array(F.struct(F.struct(uri.alias("fileUri")).alias("fileData"))).alias("parts"))).alias("contents"))
     response = F.struct(F.array(F.struct(F.struct(F.array(F.struct(answer.alias("text"))).alias("parts")).alias("content"))).alias("candidates"))
-    lines = clips.select(F.to_json(F.struct(request.alias("request"), F.when(F.col("k") % 13 == 0, "quota").otherwise("").alias("status"), response.alias("response"))).alias("value"))
+    lines = clips.select(F.to_json(F.struct(request.alias("request"), F.when(F.col("asr_language") == "fr", "quota").otherwise("").alias("status"), response.alias("response"))).alias("value"))
     return gates.batch_entries(readers.prediction_batches(lines, "batch")).select("audio_file", "status")
 
 
@@ -182,7 +182,7 @@ def _diffs(s: SparkSession, d: str) -> DataFrame:
 
 def _overlay(s: SparkSession, d: str) -> DataFrame:
     clips = unique_clips(s, d)
-    cache = clips.filter("chunk_index % 3 > 0").select("audio_file", F.col("text_cohere").alias("text"), F.when(F.col("text_cohere") != "", "ok").otherwise("empty").alias("status"))
+    cache = clips.filter("text_source <> 'google'").select("audio_file", F.col("text_cohere").alias("text"), F.when(F.col("text_cohere") != "", "ok").otherwise("empty").alias("status"))
     return tables.overlay_text(clips, cache).groupBy("gate_status").agg(F.count("*").alias("rows"), F.count_if(F.col("text") == "").alias("empty"))
 
 

@@ -200,7 +200,7 @@ WHERE CASE WHEN u THEN label ELSE dialect END NOT IN ('ar', 'unclear') AND CASE
         "q_live": "SELECT video_id, chunk_index FROM chunks WHERE video_id IN (SELECT video_id FROM metadata WHERE video_id IS NOT NULL)",
         "q_orphans": "SELECT doc_id, video_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM videos v WHERE v.video_id = d.video_id)",
         "q_text_diffs": f"WITH {CLIPS} SELECT audio_file, text AS before, text_cohere AS after FROM clips WHERE text_cohere <> '' AND text IS NOT NULL AND {clean('text')} <> {clean('text_cohere')}",
-        "q_overlay": f"""WITH {CLIPS}, c AS (SELECT *, CASE WHEN chunk_index % 3 > 0 THEN CASE WHEN text_cohere <> '' THEN 'ok' ELSE 'empty' END END AS st FROM clips)
+        "q_overlay": f"""WITH {CLIPS}, c AS (SELECT *, CASE WHEN text_source <> 'google' THEN CASE WHEN text_cohere <> '' THEN 'ok' ELSE 'empty' END END AS st FROM clips)
 SELECT coalesce(st, 'not_sent') AS gate_status, count(*) AS rows, count(*) FILTER (CASE WHEN st = 'ok' THEN coalesce(text_cohere, '') ELSE text END = '') AS empty FROM c GROUP BY 1""",
         "q_records": f"""SELECT coalesce(c.speaker, '_unassigned') || '/' || c.video_id || '_' || printf('%04d', chunk_index) || '.wav' AS audio_file, c.video_id, chunk_index, channel, upload_date, {LANG} AS language, 24000 AS sample_rate, coalesce(text_source, 'none') AS text_source FROM chunks c LEFT JOIN videos v USING (video_id)""",
         "q_merge_rejections": "SELECT video_id, chunk_index, reject_code FROM chunks WHERE reject_code IS NOT NULL AND reject_code NOT LIKE 'text:%' UNION ALL SELECT video_id, chunk_index, 'text:empty' AS reject_code FROM chunks WHERE text_yt = ''",
