@@ -273,3 +273,27 @@ def test_text_slices():
     batch = pa.RecordBatch.from_pydict({"text": ["a" * 5, None, "b" * 9, "", "c", "d" * 30, "e"]})
     assert [s.num_rows for s in text_slices(batch, most_bytes=10)] == [2, 3, 1, 1]
     assert list(text_slices(batch.slice(0, 0))) == []
+
+
+def test_copies_count_as_one_text(spark):
+    """A page and its copies get the verdict of the page alone, in one pack or in several."""
+    good, bad = corpus()
+    rng = random.Random(4)
+    rare = [f"rare{i}" for i in range(30)]
+    page = " ".join(w for _ in range(3) for w in rng.sample(rare, len(rare)))
+    texts = good + bad + [page]
+    last = len(texts) - 1
+    schema = "doc_id long, text string"
+
+    def scores(extra, parts):
+        df = spark.createDataFrame(list(enumerate(texts + extra)), schema).repartition(parts, "doc_id")
+        return {r["doc_id"]: (r["stuffed"], r["mean_pmi"], r["share"]) for r in spam.stuffing_scores(df).collect()}
+
+    alone = scores([], 1)
+    assert alone[last][2] > 0.5
+    copies = [page, page.upper(), page.replace(" ", ",  "), bad[0], bad[0]]
+    for parts in (1, 5):
+        got = scores(copies, parts)
+        assert all(got[i][0] == alone[i][0] and got[i][1] == pytest.approx(alone[i][1], nan_ok=True) for i in alone)
+        assert all(got[len(texts) + i][:2] == got[last][:2] for i in range(3))
+        assert all(got[len(texts) + i][:2] == got[len(good)][:2] for i in (3, 4))

@@ -22,8 +22,8 @@ from voxloom.storage import shuffle_width, write_table
 class SpamConfig:
     """When words count as stuffed, and a document as spam.
 
-    A pair of neighbouring words is incoherent if its mutual information, from the counts of all other documents, is
-    below ``least_pmi`` bits; it is a repeated collocation if the document has it ``repeats`` times and more, at most
+    A pair of neighbouring words is incoherent if its mutual information, from the counts of all other texts (copies
+    are one text), is below ``least_pmi`` bits; it is a repeated collocation if the document has it ``repeats`` times and more, at most
     ``near`` words apart or not as part of a repeated passage of ``passage`` words.  Such a pair counts if one of its
     words is bursty: there ``repeats`` times and ``burst`` times as often as in the corpus.  A word is stuffed where
     at least ``density`` of the pairs within ``reach`` count; a document is spam if more than ``share`` of its words
@@ -109,38 +109,46 @@ def neighbours(codes: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarra
     return at, pair, np.lexsort((pair, doc[at]))
 
 
-def count_requests(codes: np.ndarray, each: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def text_keys(codes: np.ndarray, each: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """128-bit hash of each document's plain words in order: equal for copies."""
+    import xxhash
+
+    words = each[codes]
+    return [xxhash.xxh3_128_digest(words[x:y].tobytes()) for x, y in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+
+def count_requests(codes: np.ndarray, each: np.ndarray, doc: np.ndarray, counted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """What a pack asks of the corpus: sorted keys with its own counts; and the places of its pairs and words there.
 
     Keys are the pairs' hashes, each word's as a left and as a right neighbour, and one for the total.  A pair counts
-    once in a document, so a page can't make its keywords common.
+    once in a document, so a page can't make its keywords common.  ``counted`` flags the documents that count (all by
+    default); the others, copies of texts that count elsewhere, only ask.
     """
     size = len(each)
     at, pair, order = neighbours(codes, doc, size)
     sorted_pair, sorted_doc = pair[order], doc[at][order]
     new = np.ones(len(order), bool)
     new[1:] = (sorted_pair[1:] != sorted_pair[:-1]) | (sorted_doc[1:] != sorted_doc[:-1])
-    pairs, df = np.unique(sorted_pair[new], return_counts=True)
+    pairs, which = np.unique(sorted_pair[new], return_inverse=True)
+    weights = np.ones(len(which), np.int64) if counted is None else counted[sorted_doc[new]].astype(np.int64)
+    df = np.bincount(which, weights=weights, minlength=len(pairs)).astype(np.int64)
     left = np.bincount(pairs // size, weights=df, minlength=size).astype(np.int64)
     right = np.bincount(pairs % size, weights=df, minlength=size).astype(np.int64)
     with np.errstate(over="ignore"):
         a, b = each[pairs // size], each[pairs % size]
         keys = np.concatenate([mix(a * np.uint64(0x9E3779B97F4A7C15) + b), mix(each + np.uint64(0x51ED270B)), mix(each + np.uint64(0x2545F491)), np.zeros(1, np.uint64)])
     unique, place = np.unique(keys, return_inverse=True)
-    total = np.bincount(place, weights=np.concatenate([df, left, right, [int(new.sum())]]), minlength=len(unique)).astype(np.int64)
+    total = np.bincount(place, weights=np.concatenate([df, left, right, [int(weights.sum())]]), minlength=len(unique)).astype(np.int64)
     return unique, total, pairs, place[: len(pairs)], place[len(pairs) :]
 
 
-def _pack_mapper(config: SpamConfig, ranges: int):
-    """Arrow mapper: texts to packs of words, with their requests cut by ranges of the keys."""
+def _pack_mapper(config: SpamConfig):
+    """Arrow mapper: texts to packs of words, with a key for each text."""
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
         for batch in (s for whole in batches for s in text_slices(whole)):
             codes, each, doc, counts = page_words(batch["text"], config.anchor)
-            unique, total, _, _, _ = count_requests(codes, each, doc)
-            of = (unique >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
-            cuts = np.searchsorted(of, np.arange(ranges + 1))
             pack = (part << 32) + number
             number += 1
             small = codes.astype(np.uint16 if len(each) < 1 << 16 else np.uint32)
@@ -148,14 +156,40 @@ def _pack_mapper(config: SpamConfig, ranges: int):
             ids = batch["doc_id"]
             present = ids.is_valid().to_numpy(zero_copy_only=False)
             blobs = [small, each, ends.astype(np.int64), counts, pc.fill_null(ids, 0).to_numpy(), present]
-            row = {"pack": pack, "piece": -1, **{f"b{i}": x.tobytes() for i, x in enumerate(blobs)}, "keys": None, "own": None}
-            rows = [row] + [{"pack": pack, "piece": r, "keys": unique[x:y].tobytes(), "own": total[x:y].astype(np.int32).tobytes()} for r, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
-            schema = pa.schema([("pack", pa.int64()), ("piece", pa.int32()), *((f"b{i}", pa.binary()) for i in range(len(blobs))), ("keys", pa.binary()), ("own", pa.binary())])
-            yield pa.RecordBatch.from_pylist(rows, schema)
+            row = {"pack": pack, **{f"b{i}": x.tobytes() for i, x in enumerate(blobs)}, "texts": text_keys(codes, each, ends)}
+            schema = pa.schema([("pack", pa.int64()), *((f"b{i}", pa.binary()) for i in range(len(blobs))), ("texts", pa.list_(pa.binary()))])
+            yield pa.RecordBatch.from_pylist([row], schema)
 
     return mapper
 
 
+def _pack_words(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Word codes, hash per code, document per word and number of documents of a pack."""
+    each = np.frombuffer(row["b1"], np.uint64)
+    codes = np.frombuffer(row["b0"], np.uint16 if len(each) < 1 << 16 else np.uint32).astype(np.int64)
+    ends = np.frombuffer(row["b2"], np.int64)
+    return codes, each, np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0)), len(ends)
+
+
+def _request_pieces(ranges: int):
+    """Requests of a pack cut by ranges of the keys; ``firsts`` has the places of its texts that count."""
+    schema = pa.schema([("pack", pa.int64()), ("piece", pa.int32()), ("keys", pa.binary()), ("own", pa.binary())])
+
+    def request(packs: pa.Table, firsts: pa.Table) -> pa.Table:
+        rows = []
+        for row in packs.to_pylist():
+            codes, each, doc, n = _pack_words(row)
+            counted = np.zeros(n, bool)
+            counted[firsts["place"].to_numpy()] = True
+            unique, total, _, _, _ = count_requests(codes, each, doc, counted)
+            of = (unique >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+            cuts = np.searchsorted(of, np.arange(ranges + 1))
+            rows += [{"pack": row["pack"], "piece": r, "keys": unique[x:y].tobytes(), "own": total[x:y].astype(np.int32).tobytes()} for r, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
+        return pa.Table.from_pylist(rows, schema)
+
+    return request
+
+
 def _sum_piece(table: pa.Table) -> pa.Table:
     """Corpus counts of one range of keys, as replies to the packs that asked."""
     keys = [np.frombuffer(k, np.uint64) for k in table["keys"].to_pylist()]
@@ -238,13 +272,9 @@ def _score_pack(config: SpamConfig):
     def score(packs: pa.Table, replies: pa.Table) -> pa.Table:
         out = []
         for row in packs.to_pylist():
-            each = np.frombuffer(row["b1"], np.uint64)
-            codes = np.frombuffer(row["b0"], np.uint16 if len(each) < 1 << 16 else np.uint32).astype(np.int64)
-            ends = np.frombuffer(row["b2"], np.int64)
-            n = len(ends)
+            codes, each, doc, n = _pack_words(row)
             words, special = np.frombuffer(row["b3"], np.int64).reshape(2, n)
             ids, present = np.frombuffer(row["b4"], np.int64), np.frombuffer(row["b5"], bool)
-            doc = np.repeat(np.arange(n), np.diff(ends, prepend=0))
             order = np.argsort(replies["piece"].to_numpy())
             blobs = replies["total"].to_pylist()
             totals = np.concatenate([np.frombuffer(blobs[i], np.int64) for i in order])
@@ -262,19 +292,22 @@ def stuffing_scores(documents: DataFrame, config: SpamConfig = SpamConfig(), ran
     ``special`` counts hashtags and links with their anchors, ``stuffed`` the other words found stuffed, ``share``
     both among all words (0 where there are none, as in null, empty and blank texts).  Rows stay one for one.
 
-    Texts are split into words once, in packs of some megabytes that are written in compact form.  Each pack asks for
-    the corpus counts of its own pairs and words only: requests are summed by ranges of the pairs' hashes, where a
-    pair that all documents hold is one entry a pack, and the replies go back to the packs.  So no corpus-wide table
-    is collected or broadcast and no key is hot.
+    Texts are split into words once, in packs of some megabytes that are written in compact form.  Of texts with the
+    same plain words only the first counts, so copies don't make each other's pairs common; all get a verdict.  Each
+    pack asks for the corpus counts of its own pairs and words only: requests are summed by ranges of the pairs'
+    hashes, where a pair that all documents hold is one entry a pack, and the replies go back to the packs.  So no
+    corpus-wide table is collected or broadcast and no key is hot.
     """
     spark = documents.sparkSession
     ranges = ranges or shuffle_width(spark)
     blobs = ", ".join(f"b{i} binary" for i in range(6))
-    packed, _ = write_table(pick(documents, "doc_id", "text").mapInArrow(_pack_mapper(config, ranges), f"pack long, piece int, {blobs}, keys binary, own binary"), "packs")
-    requests = packed.filter("piece >= 0").select("pack", "piece", "keys", "own").repartition(ranges, "piece")
+    packed, _ = write_table(pick(documents, "doc_id", "text").mapInArrow(_pack_mapper(config), f"pack long, {blobs}, texts array<binary>"), "packs")
+    texts = packed.select("pack", F.posexplode("texts").alias("place", "text"))
+    firsts = texts.groupBy("text").agg(F.min(F.struct("pack", "place")).alias("first")).select("first.pack", "first.place")
+    packs = packed.drop("texts").groupBy("pack")
+    requests = packs.cogroup(firsts.groupBy("pack")).applyInArrow(_request_pieces(ranges), "pack long, piece int, keys binary, own binary").repartition(ranges, "piece")
     replies = requests.groupBy("piece").applyInArrow(_sum_piece, "pack long, piece int, total binary")
-    packs = packed.filter("piece < 0").drop("piece", "keys", "own")
-    return packs.groupBy("pack").cogroup(replies.groupBy("pack")).applyInArrow(_score_pack(config), "doc_id long, words long, special long, stuffed long, mean_pmi double, share double")
+    return packs.cogroup(replies.groupBy("pack")).applyInArrow(_score_pack(config), "doc_id long, words long, special long, stuffed long, mean_pmi double, share double")
 
 
 def stuffed_pages(documents: DataFrame, config: SpamConfig = SpamConfig()) -> DataFrame:
