@@ -58,6 +58,23 @@ def test_reports(spark, rows):
     assert spark.range(1).select(B.billable_seconds(F.lit(16.0)), B.billable_seconds(F.lit(0.0))).first()[:] == (30.0, 15.0)
 
 
+def test_report_queries_keep_all_clips(spark, rows, tmp_path):
+    """A clip without a usable duration or score still counts as a clip."""
+    from voxloom.plans import queries as core
+
+    nan, inf = float("nan"), float("inf")
+    numbers = [(10.0, 4.0), (None, 3.0), (nan, 2.0), (inf, 3.0), (2000.0, None), (5.0, nan), (5.0, inf)]
+    clips = [(f"f{i}", f"v{i}", "a", d, m, 0) for i, (d, m) in enumerate(numbers)] + [("g", "w", "b", None, None, 0)]
+    spark.createDataFrame(clips, "audio_file string, video_id string, speaker string, duration double, squim_mos double, emitted_at int").withColumn("asr_confidence_alt", F.lit(None).cast("map<string,double>")).write.parquet(str(tmp_path / "metadata.parquet"))
+    spark.createDataFrame([("v0", "text:empty"), ("v0", None)], "video_id string, reject_code string").write.parquet(str(tmp_path / "chunks.parquet"))
+    made = core.queries()
+    got = lambda name, *columns: rows(made[name](spark, str(tmp_path)), *columns)
+    assert got("q_speaker_seconds") == [("a", 2020.0, 7), ("b", 0.0, 1)]
+    assert got("q_totals", "videos", "kept", "rejected", "hours") == [(8, 8, 1, 2020 / 3600)]
+    assert got("q_top_speakers", "speaker", "seconds") == [("a", 2020.0), ("b", 0.0)]
+    assert got("q_speaker_summary", "voice", "seconds", "clips", "episodes", "mean_mos") == [("a", 2020.0, 7, 7, 3.0), ("b", 0.0, 1, 1, None)]
+
+
 def test_refs_and_manifest(spark):
     df = spark.createDataFrame([("a", 5.0, "b", 0.5, "s", "v"), ("b", 0.5, "a", 5.0, "s", "v"), ("c", 5.0, "a", 5.0, None, "v")], "audio_file string, duration double, ref_audio string, ref_duration double, speaker string, video_id string")
     kept = B.drop_short_refs(df, 2.0)

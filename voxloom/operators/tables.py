@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from voxloom.functions import text as T
 
+#: Sums are of decimal(20,6), which holds smaller numbers only.
+LARGEST_SUMMAND = 1e14
+
 
 def last_wins(log: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The last row per key of an append-only log, by ``order`` (nulls first); combined map-side, so hot keys are cheap."""
@@ -91,9 +94,19 @@ def flag_labels(entries: DataFrame, consensus: DataFrame, group: list[str], labe
     return judged.filter(~F.col("flag_label").isin(*keep) & (F.col("flag_confidence") >= least_confidence)).drop("group_label", "total", "share")
 
 
+def _summable(column: str) -> Column:
+    """The value as a decimal that sums exactly; null for null, NaN, infinite and what the decimal can't hold."""
+    return F.when(F.abs(F.col(column)) < LARGEST_SUMMAND, F.col(column)).cast("decimal(20,6)")
+
+
+def _total_seconds() -> Column:
+    """Sum of ``duration``; a null, NaN or infinite one is 0."""
+    return F.sum(F.coalesce(_summable("duration"), F.lit(0).cast("decimal(20,6)"))).cast("double")
+
+
 def seconds_by(table: DataFrame, *keys: str) -> DataFrame:
-    """Seconds and clips per key; a null or NaN duration is 0."""
-    return table.groupBy(*keys).agg(F.sum(F.coalesce(F.nanvl("duration", F.lit(0.0)), F.lit(0.0)).cast("decimal(20,6)")).cast("double").alias("seconds"), F.count("*").alias("clips"))
+    """Seconds and clips per key; a null, NaN or infinite duration is 0."""
+    return table.groupBy(*keys).agg(_total_seconds().alias("seconds"), F.count("*").alias("clips"))
 
 
 def with_share(counts: DataFrame, value: str) -> DataFrame:
@@ -103,19 +116,18 @@ def with_share(counts: DataFrame, value: str) -> DataFrame:
 
 
 def speaker_summary(clips: DataFrame, key: str = "speaker", samples: int = 5) -> DataFrame:
-    """Per voice: seconds, hours, clips, episodes, mean score (nulls and NaN skipped), first sample files.
+    """Per voice: seconds, hours, clips, episodes, mean score (null, NaN and infinite skipped), first sample files.
 
     Samples come from a top-k of their own, which Spark limits per task ahead of its shuffle; null voices have none.
     """
-    score = F.when(~F.isnan("squim_mos"), F.col("squim_mos"))
-    seconds = F.sum(F.coalesce(F.nanvl("duration", F.lit(0.0)), F.lit(0.0)).cast("decimal(20,6)")).cast("double")
+    score = _summable("squim_mos")
     at = F.row_number().over(Window.partitionBy(key).orderBy("audio_file"))
     first = clips.select(key, "audio_file", at.alias("at_")).filter(F.col("at_") <= samples).groupBy(key).agg(F.sort_array(F.collect_list("audio_file")).alias("samples"))
     grouped = clips.groupBy(key).agg(
-        seconds.alias("seconds"),
+        _total_seconds().alias("seconds"),
         F.count("*").alias("clips"),
         F.count_distinct("video_id").alias("episodes"),
-        (F.sum(score.cast("decimal(20,6)")).cast("double") / F.count(score)).alias("mean_mos"),
+        (F.sum(score).cast("double") / F.count(score)).alias("mean_mos"),
     )
     return grouped.join(first, key, "left").withColumn("hours", F.col("seconds") / 3600)
 
@@ -194,7 +206,6 @@ def slice_rows(table: DataFrame, ordinal: str, skip: int, stop: int | None = Non
 
 
 def totals(kept: DataFrame, rejected: DataFrame) -> DataFrame:
-    """One row: videos, kept and rejected clips, hours."""
-    seconds = F.sum(F.coalesce(F.nanvl("duration", F.lit(0.0)), F.lit(0.0)).cast("decimal(20,6)")).cast("double")
+    """One row: videos, kept and rejected clips, hours; a null, NaN or infinite duration is 0."""
     tagged = kept.select("video_id", "duration", F.lit(1).alias("k")).unionByName(rejected.select(F.lit(None).cast("string").alias("video_id"), F.lit(None).cast("double").alias("duration"), F.lit(0).alias("k")))
-    return tagged.agg(F.count_distinct("video_id").alias("videos"), F.coalesce(F.sum("k"), F.lit(0)).alias("kept"), F.coalesce(F.sum(1 - F.col("k")), F.lit(0)).alias("rejected"), (F.coalesce(seconds, F.lit(0.0)) / 3600).alias("hours"))
+    return tagged.agg(F.count_distinct("video_id").alias("videos"), F.coalesce(F.sum("k"), F.lit(0)).alias("kept"), F.coalesce(F.sum(1 - F.col("k")), F.lit(0)).alias("rejected"), (F.coalesce(_total_seconds(), F.lit(0.0)) / 3600).alias("hours"))

@@ -280,11 +280,11 @@ def queries() -> dict[str, Query]:
         "q_records": _records,
         "q_merge_rejections": lambda s, d: tables.merge_rejections(t(s, d, "chunks").filter("reject_code IS NOT NULL").select("video_id", "chunk_index", "reject_code"), t(s, d, "chunks").filter("text_yt = ''").select("video_id", "chunk_index", F.lit("text:empty").alias("reject_code"))),
         "q_drop_videos": lambda s, d: tables.delete_keys(t(s, d, "chunks"), t(s, d, "videos").filter("error IS NOT NULL"), "video_id").groupBy("video_id").agg(F.count("*").alias("chunks")),
-        "q_speaker_seconds": lambda s, d: tables.seconds_by(unique_clips(s, d).filter("duration < 1000"), "speaker"),
+        "q_speaker_seconds": lambda s, d: tables.seconds_by(unique_clips(s, d), "speaker"),
         "q_source_share": lambda s, d: tables.with_share(unique_clips(s, d).groupBy("text_source").agg(F.count("*").alias("clips")), "clips"),
-        "q_totals": lambda s, d: tables.totals(unique_clips(s, d).filter("duration < 1000"), t(s, d, "chunks").filter("reject_code IS NOT NULL")),
-        "q_top_speakers": lambda s, d: tables.top_with_rest(tables.seconds_by(unique_clips(s, d).filter("duration < 1000 AND speaker IS NOT NULL"), "speaker"), "speaker", "seconds", 15),
-        "q_speaker_summary": lambda s, d: tables.speaker_summary(unique_clips(s, d).filter("duration < 1000 AND squim_mos BETWEEN 0 AND 1000").withColumn("voice", label_key(F.col("speaker"))).filter("voice IS NOT NULL"), "voice"),
+        "q_totals": lambda s, d: tables.totals(unique_clips(s, d), t(s, d, "chunks").filter("reject_code IS NOT NULL")),
+        "q_top_speakers": lambda s, d: tables.top_with_rest(tables.seconds_by(unique_clips(s, d).filter("speaker IS NOT NULL"), "speaker"), "speaker", "seconds", 15),
+        "q_speaker_summary": lambda s, d: tables.speaker_summary(unique_clips(s, d).withColumn("voice", label_key(F.col("speaker"))).filter("voice IS NOT NULL"), "voice"),
         "q_billable": lambda s, d: unique_clips(s, d).filter("duration > 0 AND duration < 1000").agg(F.sum(tables.billable_seconds(F.col("duration")).cast("long")).alias("billable"), tables.estimated_cost(F.sum(F.col("duration").cast("decimal(20,6)")).cast("double"), 0.016).alias("cost")),
         "q_export_stats": lambda s, d: tables.export_stats(unique_clips(s, d).filter("duration > 0 AND duration < 1000")),
         "q_references": _references,
