@@ -75,6 +75,16 @@ def test_report_queries_keep_all_clips(spark, rows, tmp_path):
     assert got("q_speaker_summary", "voice", "seconds", "clips", "episodes", "mean_mos") == [("a", 2020.0, 7, 7, 3.0), ("b", 0.0, 1, 1, None)]
 
 
+def test_subtract_query_takes_all_turns(spark, rows, tmp_path):
+    """Holes are where any two speakers talk at once, whatever their labels."""
+    from voxloom.plans import queries as core
+
+    turns = [("v", 0.0, 4.0, "SPK02"), ("v", 3.0, 6.0, "SPK03"), ("v", 8.0, 9.0, "SPK01")]
+    spark.createDataFrame(turns, "video_id string, start double, end double, speaker string").withColumn("loaded_at", F.lit("2024-01-01 00:00:00").cast("timestamp")).write.parquet(str(tmp_path / "turns.parquet"))
+    spark.createDataFrame([("v", 0, 0.0, 5.0), ("v", 1, 7.0, 10.0)], "video_id string, chunk_index int, start double, end double").write.parquet(str(tmp_path / "chunks.parquet"))
+    assert rows(core.queries()["q_subtract"](spark, str(tmp_path)), "start", "end") == [(0, 3000), (4000, 5000), (7000, 10000)]
+
+
 def test_refs_and_manifest(spark):
     df = spark.createDataFrame([("a", 5.0, "b", 0.5, "s", "v"), ("b", 0.5, "a", 5.0, "s", "v"), ("c", 5.0, "a", 5.0, None, "v")], "audio_file string, duration double, ref_audio string, ref_duration double, speaker string, video_id string")
     kept = B.drop_short_refs(df, 2.0)

@@ -248,7 +248,7 @@ def queries() -> dict[str, Query]:
         # intervals and words
         "q_merge_gap": lambda s, d: intervals.merge_same_speaker(disjoint(s, d), 300),
         "q_overlap_sweep": lambda s, d: intervals.overlapped_speech(millis(s, d), 1, 0, 60_000),
-        "q_subtract": lambda s, d: intervals.subtract(chunk_spans(s, d), millis(s, d).filter("speaker = 'SPK01'"), 60_000),
+        "q_subtract": lambda s, d: intervals.subtract(chunk_spans(s, d), intervals.overlapped_speech(millis(s, d), 1, 0, 60_000), 60_000),
         "q_clip_to": lambda s, d: intervals.clip_to(chunk_spans(s, d), F.lit(60_000), F.lit(600_000)),
         "q_cut_at_turns": lambda s, d: intervals.cut_at_turns(chunk_spans(s, d), millis(s, d), 0.5, 60_000),
         "q_dominant_speaker": _dominant,
