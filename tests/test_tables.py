@@ -153,6 +153,17 @@ def test_streams(spark, rows, tmp_path):
     assert S.until_terminal(lambda: next(jobs), lambda: None) == [{"state": "SUCCEEDED"}]
 
 
+def test_dedupe_query_reads_all_files(spark, rows, tmp_path):
+    """No event is late because of the number of files or their order."""
+    from voxloom.plans import queries as core
+
+    path = tmp_path / "events.parquet"
+    for i in range(40):
+        event = spark.createDataFrame([(i, 1, "view")], "event_id long, user_id long, event_type string")
+        event.withColumn("ts", F.timestamp_seconds(F.lit(1_700_000_000 - 7200 * i)).cast("timestamp_ntz")).coalesce(1).write.mode("append").parquet(str(path))
+    assert rows(core.queries()["q_stream_dedupe"](spark, str(tmp_path)), "event_id") == [(i,) for i in sorted(range(40), key=lambda i: repr((i,)))]
+
+
 def test_late_text(spark, tmp_path):
     spark.createDataFrame([("a", 0), ("b", 0)], "audio_file string, m int").withColumn("emitted", F.lit("2024-01-01 00:00:00").cast("timestamp")).drop("m").write.parquet(str(tmp_path / "p"))
     spark.createDataFrame([("a", "hi")], "audio_file string, text string").withColumn("heard", F.lit("2024-01-01 00:10:00").cast("timestamp")).write.parquet(str(tmp_path / "w"))

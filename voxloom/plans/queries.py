@@ -304,6 +304,6 @@ def queries() -> dict[str, Query]:
         "q_best_label": lambda s, d: unique_clips(s, d).select("audio_file", V.best(F.array(F.struct(F.lit("music").alias("label"), "music_score"), F.struct(F.lit("speech").alias("label"), F.col("speech_score").alias("music_score"))), lambda x: F.coalesce(F.nanvl(x["music_score"], F.lit(-1.0)), F.lit(-1.0)))["label"].alias("label")),
         # streams
         "q_stream_sessions": lambda s, d: _stream(s, d, lambda e: streams.gap_sessions(e, "user_id", "ts", "6 hours"), "sessions"),
-        "q_stream_dedupe": lambda s, d: streams.collected(streams.dedupe_stream(streams.increments(s, f"{d}/events.parquet*", t(s, d, "events").schema).select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("at")).withWatermark("ts", "10 minutes"), ["user_id", "event_type"], "at", "ts", 3.6e9), "kept").select("event_id", "user_id"),
+        "q_stream_dedupe": lambda s, d: streams.collected(streams.dedupe_stream(streams.increments(s, f"{d}/events.parquet*", t(s, d, "events").schema, None).select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("at")).withWatermark("ts", "10 minutes"), ["user_id", "event_type"], "at", "ts", 3.6e9), "kept").select("event_id", "user_id"),
         "q_stream_windows": lambda s, d: _stream(s, d, lambda e: streams.tumbling(e, ["event_type"], "ts", "15 minutes"), "windows"),
     }

@@ -13,9 +13,10 @@ from voxloom.sources.writers import replace_partitions
 from voxloom.storage import new_path
 
 
-def increments(spark: SparkSession, path: str, schema, files: int = 16) -> DataFrame:
-    """A folder of parquet files as a stream, at most ``files`` of them ahead at a time."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+def increments(spark: SparkSession, path: str, schema, files: int | None = 16) -> DataFrame:
+    """A folder of parquet files as a stream, at most ``files`` of them ahead at a time; all present ones with None."""
+    reader = spark.readStream.schema(schema)
+    return (reader if files is None else reader.option("maxFilesPerTrigger", files)).parquet(path)
 
 
 def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
