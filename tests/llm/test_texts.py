@@ -269,6 +269,18 @@ def test_broken_encoding_is_no_keyword():
     assert len(a[0]) == len(b[0]) and set(a[1].tolist()) == set(b[1].tolist())
 
 
+def test_html_links_are_links(spark):
+    """Anchors count by their targets, in lines or side by side; sentences with a few of them are no case."""
+    good, _ = corpus()
+    link = lambda i: f'<a class="x" href="https://x{i}.test/q{i}">noun{i} verb{i}</a>'
+    lists = ["<ul>" + "".join(f"<li>{link(i)}</li>" for i in range(30)) + "</ul>", " | ".join(link(i) for i in range(30)), "\n".join(f"<A HREF='/page{i}'>noun{i}</A>" for i in range(30))]
+    sentences = [good[0] + f" see {link(1)} and {link(2)}.", good[1] + ' <a href="#top">back</a> <abbr title="href=x">a</abbr>']
+    df = spark.createDataFrame(list(enumerate(lists + sentences + good[2:])), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in spam.stuffed_pages(df).collect()) == [0, 1, 2]
+    special = spam.page_words(pa.array([sentences[1], sentences[0]]), 8)[3][1]
+    assert special.tolist() == [0, 6]
+
+
 def test_text_slices():
     batch = pa.RecordBatch.from_pydict({"text": ["a" * 5, None, "b" * 9, "", "c", "d" * 30, "e"]})
     assert [s.num_rows for s in text_slices(batch, most_bytes=10)] == [2, 3, 1, 1]

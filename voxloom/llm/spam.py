@@ -46,9 +46,12 @@ class SpamConfig:
 _MOJIBAKE = re.compile("(?:[Â-ß][\u0080-¿]|[à-ï][\u0080-¿]{2}|[ð-ô][\u0080-¿]{3})+")
 #: Private characters that stand for a link and ahead of a hashtag.
 _LINK, _TAG = "\ue000", "\ue001"
-#: Rewrites ahead of splitting into lines and words, in RE2's notation: breaks, other markup, entities, targets of
-#: written links, bare links, hashtags, line ends.
+#: Rewrites ahead of splitting into lines and words, in RE2's notation: anchors with a target, which become lines of
+#: their own that begin with a link; breaks, other markup, entities, targets of written links, bare links, hashtags,
+#: line ends.
 _REWRITES = (
+    (r"""(?i)<a\s(?:[^<>]*\s)?href\s*=\s*["']?\s*[^"'#\s<>][^<>]*>""", f"\n {_LINK} "),
+    (r"(?i)</a\s*>", "\n"),
     (r"<(?:br|/?p|/?div|/?li|/?tr)\b[^<>]{0,200}>", "\n"),
     (r"</?[A-Za-z][^<>]{0,200}>", " "),
     (r"&(?:#\d+|#x[0-9A-Fa-f]+|\w+);", " "),
