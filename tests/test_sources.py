@@ -119,6 +119,64 @@ def test_versions(spark, rows, tmp_path):
     assert rows(store.read()) == [(2,)] and store.version() == 3
 
 
+def test_versions_survive_a_crash(spark, rows, tmp_path):
+    store = W.VersionedTable(spark, str(tmp_path / "t"))
+    store.replace(spark.range(20))
+    store.replace(spark.range(20, 40))
+    # a crash ahead of the marker: the version before is current, and what was left behind is written anew
+    spark.range(3).write.parquet(f"{store.versions.folder(3)}/rows")
+    assert store.version() == 2 and store.read().count() == 20
+    assert store.replace(store.read().unionByName(spark.range(1))) == 3 and store.read().count() == 21
+    with pytest.raises(Exception, match="(?i)exist"):
+        store.versions.complete(3)  # a second writer of the same number
+    for v in (2, 3):
+        W.delete_path(spark, f"{store.versions.folder(v)}/{W.Versions.MARKER}")
+    with pytest.raises(RuntimeError, match="none is complete"):
+        store.replace(spark.range(2))
+
+
+def test_small_files_are_replaced_in_one_step(spark, tmp_path):
+    for text in ("old", "new"):
+        W.write_text(spark, str(tmp_path / "f.txt"), text)
+        assert (tmp_path / "f.txt").read_text() == text
+    assert not (tmp_path / "f.txt.draft").exists()
+
+
+def test_emptied_videos_vanish(spark, rows, tmp_path):
+    kept, rejected = str(tmp_path / "kept"), str(tmp_path / "rejected")
+    kind = "video_id string, x int, reject_code string, reject_value double"
+    W.write_split(spark.createDataFrame([("a", 1, None, None), ("b", 2, None, None), ("c/ d", 3, "q", 1.0)], kind), kept, rejected)
+    for _ in range(2):
+        W.write_split(spark.createDataFrame([("a", 1, "q", 0.5), ("c/ d", 3, None, None)], kind), kept, rejected)
+    assert rows(spark.read.parquet(kept), "video_id", "x") == [("b", 2), ("c/ d", 3)]
+    assert rows(spark.read.parquet(rejected), "video_id", "x") == [("a", 1)]
+
+
+def test_working_folder_of_a_cluster_must_be_named():
+    from voxloom import storage
+
+    class Settings:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        def __init__(self, master):
+            self.applicationId, self.master = master, master
+
+        def getConf(self):
+            return Settings()
+
+    class Session:
+        conf = Settings()
+
+        def __init__(self, master):
+            self.sparkContext = Context(master)
+
+    assert storage.shared_root(Session("local[2]")).startswith("file://")
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        storage.shared_root(Session("spark://host:7077"))
+
+
 def test_partitions(spark, rows, tmp_path):
     path, df = str(tmp_path / "p"), spark.createDataFrame([("a b/c", 1), ("d", 2)], "video_id string, x int")
     for _ in range(2):

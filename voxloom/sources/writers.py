@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,14 +18,17 @@ def _fs(spark: SparkSession, path: str):
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small file: written beside it, then renamed."""
+    """Replace a small file: written beside it, then moved over it in one step, so that a reader finds the old or the new."""
     jvm, where, fs = _fs(spark, path)
     draft = jvm.org.apache.hadoop.fs.Path(path + ".draft")
     out = fs.create(draft, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(where, False)
-    fs.rename(draft, where)
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    over = spark.sparkContext._gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(draft), fs.makeQualified(where), over)
 
 
 def write_document(df: DataFrame, path: str) -> None:
@@ -33,33 +37,89 @@ def write_document(df: DataFrame, path: str) -> None:
     write_text(df.sparkSession, path, json.dumps(row.asDict(recursive=True) if row else {}, ensure_ascii=False, indent=2, default=str))
 
 
+class Versions:
+    """Numbered versions of a folder: each in ``v1``, ``v2``, ..., complete once its marker file is there.
+
+    A marker is written last, new and never over another, so no crash leaves the folder without its last complete
+    version, and of two writers of one number the second fails.  What a crash left incomplete is written anew.
+    """
+
+    MARKER = "_COMPLETE"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def folder(self, version: int) -> str:
+        """Folder of a version."""
+        return f"{self.path}/v{version}"
+
+    def _found(self) -> dict[int, bool]:
+        jvm, where, fs = _fs(self.spark, self.path)
+        if not fs.exists(where):
+            return {}
+        names = [status.getPath().getName() for status in fs.listStatus(where)]
+        numbers = [int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()]
+        return {n: fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.folder(n)}/{self.MARKER}")) for n in numbers}
+
+    def current(self) -> int:
+        """The last complete version; 0 before the first.
+
+        Later versions without any complete one are an error, never a new start: something removed the markers.
+        """
+        found = self._found()
+        complete = [n for n, done in found.items() if done]
+        if not complete and any(n > 1 for n in found):
+            raise RuntimeError(f"{self.path} has versions, but none is complete")
+        return max(complete, default=0)
+
+    def note(self, version: int) -> dict:
+        """What was noted when a version was completed."""
+        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.folder(version)}/{self.MARKER}").collect()) or "{}")
+
+    def complete(self, version: int, note: dict | None = None) -> None:
+        """Declare a version complete; its tables must have been written."""
+        path = f"{self.folder(version)}/{self.MARKER}"
+        jvm, where, fs = _fs(self.spark, path)
+        draft = jvm.org.apache.hadoop.fs.Path(f"{self.folder(version)}/.{uuid.uuid4().hex}")
+        out = fs.create(draft, False)
+        out.write(bytearray(json.dumps(note or {}).encode()))
+        out.close()
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        none = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(draft), fs.makeQualified(where), none)
+
+    def drop(self, version: int) -> None:
+        """Delete a version, its marker first."""
+        delete_path(self.spark, f"{self.folder(version)}/{self.MARKER}")
+        delete_path(self.spark, self.folder(version))
+
+
 class VersionedTable:
-    """A table replaced as a whole: each version in its own folder, a pointer file names the current one.
+    """A table replaced as a whole, each version in its own folder.
 
     Readers of a version aren't disturbed, and a query may read the version that it replaces.
     """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+        self.spark, self.versions = spark, Versions(spark, path)
 
     def version(self) -> int:
         """The current version; 0 before the first."""
-        _, where, fs = _fs(self.spark, f"{self.path}/CURRENT")
-        return int(self.spark.read.text(f"{self.path}/CURRENT").first()[0]) if fs.exists(where) else 0
+        return self.versions.current()
 
     def read(self) -> DataFrame:
         """The current version."""
         if not (v := self.version()):
-            raise FileNotFoundError(self.path)
-        return self.spark.read.parquet(f"{self.path}/v{v}")
+            raise FileNotFoundError(self.versions.path)
+        return self.spark.read.parquet(f"{self.versions.folder(v)}/rows")
 
     def replace(self, df: DataFrame, keep: int = 2) -> int:
         """Write a new version; the last ``keep`` stay."""
         v = self.version() + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v{v}")
-        write_text(self.spark, f"{self.path}/CURRENT", str(v))
+        df.write.mode("overwrite").parquet(f"{self.versions.folder(v)}/rows")
+        self.versions.complete(v)
         if v > keep:
-            delete_path(self.spark, f"{self.path}/v{v - keep}")
+            self.versions.drop(v - keep)
         return v
 
 
@@ -68,27 +128,44 @@ def append_lines(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def replace_partitions(df: DataFrame, path: str, key: str = "video_id") -> None:
-    """Replace the partitions of the keys that ``df`` holds, others stay: running again is harmless."""
+def _partition_path(spark: SparkSession, path: str, key: str, value: object) -> str:
+    escaped = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))
+    return f"{path}/{key}={escaped}"
+
+
+def replace_partitions(df: DataFrame, path: str, key: str = "video_id", judged: DataFrame | None = None) -> None:
+    """Replace the partitions of the keys that ``df`` holds, others stay: running again is harmless.
+
+    ``judged`` has all keys that this run decided on: those without a row in ``df`` lose their partition, so a key
+    that was emptied doesn't keep its rows of before.  Emptied keys stream through the driver one by one, as deleting
+    is work for the file system only.
+    """
+    spark = df.sparkSession
     df.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    if judged is not None:
+        emptied = judged.select(key).filter(F.col(key).isNotNull()).distinct().join(df.select(key).distinct(), key, "left_anti")
+        for row in emptied.toLocalIterator():
+            delete_path(spark, _partition_path(spark, path, key, row[0]))
 
 
 def drop_video(spark: SparkSession, path: str, video_id: str, key: str = "video_id") -> int:
     """Delete one key's partition; returns the rows that it had."""
-    jvm, _, _ = _fs(spark, path)
-    escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(video_id)
-    _, where, fs = _fs(spark, f"{path}/{key}={escaped}")
+    partition = _partition_path(spark, path, key, video_id)
+    _, where, fs = _fs(spark, partition)
     if not fs.exists(where):
         return 0
-    rows = spark.read.parquet(f"{path}/{key}={escaped}").count()
+    rows = spark.read.parquet(partition).count()
     fs.delete(where, True)
     return rows
 
 
 def write_split(table: DataFrame, kept_path: str, rejected_path: str) -> None:
-    """Kept and rejected rows of gates, each by video."""
-    replace_partitions(table.filter("reject_code IS NULL").drop("reject_code", "reject_value"), kept_path)
-    replace_partitions(table.filter("reject_code IS NOT NULL"), rejected_path)
+    """Kept and rejected rows of gates, each by video.
+
+    A video that was judged again and lost its last kept, or its last rejected, row vanishes there.
+    """
+    replace_partitions(table.filter("reject_code IS NULL").drop("reject_code", "reject_value"), kept_path, judged=table)
+    replace_partitions(table.filter("reject_code IS NOT NULL"), rejected_path, judged=table)
 
 
 def write_shards(table: DataFrame, path: str, by: list[str]) -> None:

@@ -12,25 +12,31 @@ _LOCAL_ROOTS: dict[str, str] = {}
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
-def _forget() -> None:
-    for spark, path in _WRITTEN:
+def release() -> None:
+    """Delete all working tables written so far: for drivers between queries whose results were taken, and at exit."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
         try:
             delete_path(spark, path)
         except Exception:  # noqa: BLE001 - the session may be gone; then the folder's owner cleans up
             pass
 
 
-atexit.register(_forget)
+atexit.register(release)
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder that all executors see: ``spark.checkpoint.dir``, or a temporary one if that is unset.
+    """Folder that all executors see: ``spark.checkpoint.dir``, or in a local session a temporary one if that is unset.
 
-    The temporary folder is for local sessions only; clusters name their own.
+    On a cluster without that setting this is an error: each executor would write to a disk of its own, and reading
+    back would find a part of the rows, or none.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share; master {master} has none")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOTS:
         _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="voxloom-")
