@@ -53,12 +53,21 @@ def test_empty_and_clashing_columns(spark):
     assert [tuple(r) for r in speaking_periods(extra).collect()] == [("v", "A", "period", 0, 1000)]
 
 
-def test_very_long_interval_widens_shards(spark):
+def test_very_long_intervals_have_levels_of_their_own(spark):
     spans = spark.createDataFrame([("v", 0, 10**12), ("v", 5, 6), ("v", 2 * 10**12, 2 * 10**12 + 1)], "video_id string, start_ms long, end_ms long")
     got = periods_and_gaps(spans, ["video_id"], shard_ms=1000)
     assert {tuple(r) for r in got.collect()} == {("v", "period", 0, 10**12), ("v", "gap", 10**12, 2 * 10**12), ("v", "period", 2 * 10**12, 2 * 10**12 + 1)}
 
 
+@pytest.mark.parametrize("most_pieces, hold", [(2, 3), (3, 500_000)])
+def test_levels_and_streamed_blocks(spark, most_pieces, hold):
+    rng = random.Random(most_pieces)
+    turns = [(rng.choice("ab"), x := rng.randrange(4000) / 10, x + rng.choice([0.1, 0.5, 3, 90, 1000]), rng.choice(["s1", "s2", "s3"])) for _ in range(60)]
+    turns += [("c", x / 10, (x + rng.choice([1, 2])) / 10, "s") for x in range(1500)] + [("d", -9e14, 9e14, "s"), ("d", 5.0, 6.0, "s"), ("d", 9.1e14, 9.2e14, "s")]
+    got = speaking_periods(spark.createDataFrame(turns, TURNS).repartition(3), shard_ms=700, most_pieces=most_pieces, hold=hold)
+    assert sorted(map(tuple, got.collect())) == sorted(fold(turns))
+
+
 def test_run_union_of_far_owners():
     owner, s, e = run_union(np.array([0, 1, 1]), np.array([0, 2**61, 2**61 + 5]), np.array([1, 2**61 + 5, 2**61 + 6]))
     assert (owner.tolist(), s.tolist(), e.tolist()) == ([0, 1], [0, 2**61], [1, 2**61 + 6])

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from voxloom.functions.columns import pick
 from voxloom.functions.labels import label_key
+from voxloom.storage import write_table
 
-#: Milliseconds beyond this are not exact in a double of seconds, so no time of a recording.
-LARGEST_MS = 2**52
+#: Milliseconds from this on don't fit the arithmetic on 64-bit numbers.
+LARGEST_MS = 2**60
 
 
 def turn_intervals(turns: DataFrame) -> DataFrame:
@@ -31,7 +32,8 @@ def run_union(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
     """
     if not len(owner):
         return owner, start, end
-    low, span = int(start.min()), int(end.max() - start.min()) + 2
+    low = int(start.min())
+    span = int(end.max()) - low + 2
     if (int(owner.max()) + 1) * span >= 2**62:  # too wide for one line: owner by owner
         parts = [run_union(np.zeros(m.sum(), np.int64), start[m], end[m]) + (k,) for k in np.unique(owner) for m in [owner == k]]
         return np.concatenate([np.full(len(p[1]), p[3]) for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
@@ -46,34 +48,62 @@ def run_union(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
     return who, s[at] - shift, e[np.append(at[1:] - 1, len(e) - 1)] - shift
 
 
-def _shard_runs(keys: list[str], shard_ms: int, hold: int):
+#: Shards that one reducer unites at a time.
+BLOCK = 64
+
+
+def _widths(shard_ms: int, most_pieces: int) -> list[int]:
+    """Shard widths by level: an interval longer than ``most_pieces`` shards belongs to the next, coarser level."""
+    widths = [shard_ms]
+    while widths[-1] * most_pieces < 4 * LARGEST_MS:
+        widths.append(widths[-1] * most_pieces)
+    return widths
+
+
+def _codes(table: pa.Table, keys: list[str]) -> tuple[np.ndarray, list[pa.Array]]:
+    """One number per row for its keys, and the keys' dictionaries, from which ``_names`` gives the keys back."""
+    codes, names = np.zeros(len(table), np.int64), []
+    for k in keys:
+        column = table[k].combine_chunks().dictionary_encode()
+        names.append(column.dictionary)
+        codes = codes * max(1, len(column.dictionary)) + column.indices.to_numpy(zero_copy_only=False)
+    return codes, names
+
+
+def _names(codes: np.ndarray, names: list[pa.Array]) -> list[pa.Array]:
+    out = []
+    for column in reversed(names):
+        out.append(column.take(pa.array(codes % max(1, len(column)))))
+        codes = codes // max(1, len(column))
+    return out[::-1]
+
+
+def _shard_runs(keys: list[str], widths: list[int], most_pieces: int, hold: int):
     """Arrow mapper: cuts intervals at shard borders and unites each shard's runs before the shuffle."""
 
     def flush(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held)
         start, end = (table[c].to_numpy() for c in ("start_ms", "end_ms"))
-        first = start // shard_ms
-        pieces = (end - 1) // shard_ms - first + 1
+        level = np.searchsorted([w * most_pieces for w in widths[:-1]], end - start, "left")
+        width = np.array(widths)[level]
+        first = start // width
+        pieces = (end - 1) // width - first + 1
         row = np.repeat(np.arange(len(start)), pieces)
         shard = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        codes = np.zeros(len(start), np.int64)
-        names = []
-        for k in keys:
-            column = table[k].combine_chunks().dictionary_encode()
-            names.append(column.dictionary)
-            codes = codes * len(column.dictionary) + column.indices.to_numpy(zero_copy_only=False)
-        pairs, owner = np.unique(np.stack([codes[row], shard]), axis=1, return_inverse=True)
-        owner, s, e = run_union(owner.reshape(-1), np.maximum(start[row], shard * shard_ms), np.minimum(end[row], (shard + 1) * shard_ms))
+        codes, names = _codes(table, keys)
+        entity = codes[row] * len(widths) + level[row]
+        order = np.lexsort((shard, entity))
+        row, shard, entity = row[order], shard[order], entity[order]
+        opens = np.ones(len(row), bool)
+        opens[1:] = (entity[1:] != entity[:-1]) | (shard[1:] != shard[:-1])
+        wide, base = width[row], shard * width[row]
         # one row per owner: its run bitmap as alternating offsets of set runs from the shard's start
-        at = np.flatnonzero(np.diff(owner, prepend=-1))
-        offsets = np.stack([s, e], 1) - (pairs[1][owner] * shard_ms)[:, None]
-        out, code = [], pairs[0][owner[at]]
-        for column in reversed(names):
-            out.append(column.take(pa.array(code % len(column))))
-            code = code // len(column)
-        ends = np.append(at, len(owner)).astype(np.int32) * 2
-        runs = pa.ListArray.from_arrays(pa.array(ends), pa.array(offsets.reshape(-1)))
-        return pa.RecordBatch.from_arrays([*reversed(out), pa.array(pairs[1][owner[at]]), runs], names=[*keys, "shard", "runs"])
+        owner, s, e = run_union(np.cumsum(opens) - 1, np.maximum(start[row] - base, 0), np.minimum(end[row] - base, wide))
+        at = np.flatnonzero(opens)
+        cuts = np.searchsorted(owner, np.arange(len(at) + 1)).astype(np.int32) * 2
+        runs = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.stack([s, e], 1).reshape(-1)))
+        where = [pa.array((entity[at] % len(widths)).astype(np.int32)), pa.array(shard[at] // BLOCK), pa.array(shard[at])]
+        return pa.RecordBatch.from_arrays([*_names(entity[at] // len(widths), names), *where, runs], names=[*keys, "level", "block", "shard", "runs"])
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -89,12 +119,84 @@ def _shard_runs(keys: list[str], shard_ms: int, hold: int):
     return mapper
 
 
-def shard_width(intervals: DataFrame, shard_ms: int, most_pieces: int) -> int:
-    """Shard width: ``shard_ms``, doubled until no interval falls into more than ``most_pieces`` shards."""
-    longest = intervals.agg(F.max(F.col("end_ms") - F.col("start_ms"))).first()[0] or 0
-    while longest > shard_ms * most_pieces:
-        shard_ms *= 2
-    return shard_ms
+def _unite_blocks(keys: list[str], widths: list[int], hold: int):
+    """Arrow mapper over rows sorted by entity, level and block: unites their bitmaps, reads off set and clear runs.
+
+    Runs inside a block are final: a ``period`` each, and a ``gap`` between two.  The first and the last of a block
+    are of kind ``edge``, as they may go on in the blocks beside.  A block lies in memory as its united runs.
+    """
+    group = [*keys, "level", "block"]
+
+    def borders(table: pa.Table) -> np.ndarray:
+        opens = np.ones(len(table), bool)
+        opens[1:] = False
+        for k in group:
+            column = table[k].combine_chunks()
+            x = column.dictionary_encode().indices.to_numpy(zero_copy_only=False) if pa.types.is_string(column.type) else column.to_numpy()
+            opens[1:] |= x[1:] != x[:-1]
+        return opens
+
+    def united(table: pa.Table, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        lists = table["runs"].combine_chunks()
+        flat, each = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()) // 2
+        row = np.repeat(np.arange(len(table)), each)
+        base = table["shard"].to_numpy()[row] * np.array(widths)[table["level"].to_numpy()[row]]
+        return np.flatnonzero(opens), *run_union((np.cumsum(opens) - 1)[row], flat[0::2] + base, flat[1::2] + base)
+
+    def finished(table: pa.Table) -> pa.RecordBatch:
+        at, owner, s, e = united(table, borders(table))
+        same = owner[1:] == owner[:-1]
+        edge = ~(np.append(False, same) & np.append(same, False))
+        clear = np.flatnonzero(same)
+        row = at[np.concatenate([owner, owner[clear]])]
+        kind = pa.DictionaryArray.from_arrays(pa.array(np.concatenate([np.where(edge, 2, 0), np.ones(len(clear), int)]).astype(np.int32)), pa.array(["period", "gap", "edge"])).cast(pa.string())
+        spans = [pa.array(np.concatenate([s, e[clear]])), pa.array(np.concatenate([e, s[clear + 1]]))]
+        return pa.RecordBatch.from_arrays([*(table[g].combine_chunks().take(pa.array(row)) for g in group), kind, *spans], names=[*group, "kind", "s", "e"])
+
+    def compact(table: pa.Table) -> pa.Table:
+        """One row for the rows of one block, relative to the first one's shard."""
+        _, _, s, e = united(table, np.arange(len(table)) == 0)
+        first = table.slice(0, 1)
+        base = first["shard"][0].as_py() * widths[first["level"][0].as_py()]
+        runs = pa.ListArray.from_arrays(pa.array([0, 2 * len(s)], pa.int32()), pa.array(np.stack([s, e], 1).reshape(-1) - base))
+        return first.set_column(first.schema.get_field_index("runs"), table.schema.field("runs"), pa.chunked_array([runs.cast(table.schema.field("runs").type)]))
+
+    def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < hold:
+                continue
+            table = pa.Table.from_batches([b for b in held if b.num_rows])
+            last = int(np.flatnonzero(borders(table))[-1])
+            if last:
+                yield finished(table.slice(0, last))
+            held = compact(table.slice(last)).to_batches()
+            rows = 1
+        if rows:
+            yield finished(pa.Table.from_batches([b for b in held if b.num_rows]))
+
+    return mapper
+
+
+def _joined_edges(edges: DataFrame, entity: list[str]) -> DataFrame:
+    """Periods and gaps from the first and last runs of blocks: at most two small rows a block, ordered per entity."""
+    w = Window.partitionBy(*entity).orderBy("s")
+    prior, other = F.lag("e").over(w), F.lag("block").over(w) != F.col("block")
+    marked = edges.withColumns({"opens": F.when(prior >= F.col("s"), 0).otherwise(1), "from_prior": F.when(other & (prior < F.col("s")), prior)})
+    runs = marked.withColumn("island", F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*entity, "island").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.min("from_prior").alias("from_prior"))
+    row = lambda kind, s, e: F.struct(F.lit(kind).alias("kind"), s.alias("s"), e.alias("e"))
+    both = F.filter(F.array(row("gap", F.col("from_prior"), F.col("s")), row("period", F.col("s"), F.col("e"))), lambda x: x["s"].isNotNull())
+    return runs.select(*entity, F.explode(both).alias("x")).select(*entity, "x.*")
+
+
+def _over_levels(runs: DataFrame, keys: list[str]) -> DataFrame:
+    """Periods and gaps of the entities whose runs lie on several levels."""
+    w = Window.partitionBy(*keys).orderBy("s", "e")
+    reach = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    marked = runs.filter("kind = 'period'").withColumn("opens", F.when(reach >= F.col("s"), 0).otherwise(1)).withColumn("from_prior", F.when(reach < F.col("s"), reach))
+    return _joined_edges(marked.select(*keys, "s", "e", F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("block")).groupBy(*keys, "block").agg(F.min("s").alias("s"), F.max("e").alias("e")), keys)
 
 
 def periods_and_gaps(intervals: DataFrame, keys: list[str], shard_ms: int = 600_000, most_pieces: int = 4096, hold: int = 500_000) -> DataFrame:
@@ -105,42 +207,25 @@ def periods_and_gaps(intervals: DataFrame, keys: list[str], shard_ms: int = 600_
     An empty table gives an empty one; an entity with one period has no gap.
 
     Each map task turns its rows into run bitmaps (alternating offsets of set runs) per entity and time shard and
-    unites them, so repeated rows of a hot entity shrink before the one shuffle of the runs.  Shards are united, then
-    set runs and clear runs inside a shard are final.  Only the first and last run of each shard go on to be joined
-    across shard borders: at most two rows per shard, bounded by the recording's length and not by its rows.
+    unites them, so repeated rows of a hot entity shrink before the one shuffle of the bitmaps.  A reducer unites the
+    bitmaps of an entity's block of shards and reads off its set runs and clear runs.  Only the first and last run of
+    a block go on to be joined across blocks: two small rows a block, bounded by the recording's length and not by its
+    rows.  Intervals longer than ``most_pieces`` shards are united on coarser levels of their own; the few entities
+    that have any are then united over their levels.
     """
-    width = shard_width(intervals, shard_ms, most_pieces)
+    widths = _widths(shard_ms, most_pieces)
     kinds = ", ".join(f"{k} string" for k in keys)
-    mapped = intervals.select(*keys, "start_ms", "end_ms").mapInArrow(_shard_runs(keys, width, hold), f"{kinds}, shard long, runs array<long>")
-    entity_shard = [*keys, "shard"]
-    pairs = F.transform(F.sequence(F.lit(0), F.size("runs") - 2, F.lit(2)), lambda i: F.struct(F.get("runs", i).alias("s"), F.get("runs", i + 1).alias("e")))
-    pieces = mapped.repartition(*entity_shard).select(*entity_shard, F.explode(pairs).alias("r")).select(*entity_shard, "r.s", "r.e")
-
-    by_shard = Window.partitionBy(*entity_shard).orderBy("s")
-    reach = F.max("e").over(by_shard.rowsBetween(Window.unboundedPreceding, -1))
-    opened = pieces.withColumn("opens", F.when(reach >= F.col("s"), 0).otherwise(1))
-    runs = opened.withColumn("run", F.sum("opens").over(by_shard)).groupBy(*entity_shard, "run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
-    at = lambda c: F.col("shard") * width + c
-    shard_end = F.lead("s").over(Window.partitionBy(*entity_shard).orderBy("s"))
-    before = F.lag("e").over(Window.partitionBy(*entity_shard).orderBy("s"))
-    runs = runs.select(*entity_shard, at(F.col("s")).alias("s"), at(F.col("e")).alias("e"), at(before).alias("before"), shard_end.isNull().alias("last"))
-
-    # one pass over the runs: clear runs of a shard, its inner set runs, and the runs at its ends for joining
-    outer = F.col("before").isNull() | F.col("last")
-    row = lambda kind, s, e: F.struct(F.lit(kind).alias("kind"), s.alias("s"), e.alias("e"))
-    s, e = F.col("s"), F.col("e")
-    marked = runs.select(*entity_shard, F.explode(F.filter(F.array(row("gap", F.col("before"), s), F.when(outer, row("edge", s, e)).otherwise(row("period", s, e))), lambda x: x["s"].isNotNull())).alias("x")).select(*entity_shard, "x.*")
-
-    # partitioning by entity only: edges are few; finished rows carry their shard so that they spread
-    spread = F.when(F.col("kind") == "edge", F.lit(None).cast("long")).otherwise(F.col("shard"))
-    by_entity = Window.partitionBy(*keys, "spread").orderBy("s", "e")
-    edge = F.col("kind") == "edge"
-    joined = marked.withColumn("spread", spread).withColumn("prior", F.lag("e").over(by_entity)).withColumn("prior_shard", F.lag("shard").over(by_entity))
-    joined = joined.withColumn("island", F.sum(F.when(edge & (F.col("prior") >= s), 0).otherwise(1)).over(by_entity.rowsBetween(Window.unboundedPreceding, 0)))
-    crossed = edge & (F.col("prior") < s) & (F.col("prior_shard") != F.col("shard"))
-    done = joined.groupBy(*keys, "spread", "island").agg(F.first("kind").alias("kind"), F.min("s").alias("s"), F.max("e").alias("e"), F.min(F.when(crossed, F.col("prior"))).alias("from_prior"))
-    final = F.filter(F.array(row("gap", F.col("from_prior"), s), F.struct(F.when(F.col("kind") == "gap", "gap").otherwise("period").alias("kind"), s, e)), lambda x: x["s"].isNotNull())
-    return done.select(*keys, F.explode(final).alias("x")).select(*keys, "x.kind", F.col("x.s").alias("start_ms"), F.col("x.e").alias("end_ms"))
+    block = [*keys, "level", "block"]
+    mapped = intervals.select(*keys, "start_ms", "end_ms").mapInArrow(_shard_runs(keys, widths, most_pieces, hold), f"{kinds}, level int, block long, shard long, runs array<long>")
+    united = mapped.repartition(*block).sortWithinPartitions(*block).mapInArrow(_unite_blocks(keys, widths, hold), f"{kinds}, level int, block long, kind string, s long, e long")
+    runs, _ = write_table(united, "runs")
+    entity = [*keys, "level"]
+    inner, edges = runs.filter("kind <> 'edge'").select(*entity, "kind", "s", "e"), _joined_edges(runs.filter("kind = 'edge'").select(*block, "s", "e"), entity)
+    out = inner.unionByName(edges)
+    if not runs.filter("level > 0").isEmpty():
+        long = runs.filter("level > 0").select(*keys).distinct()
+        out = out.join(long, keys, "left_anti").drop("level").unionByName(_over_levels(out.join(long, keys, "left_semi"), keys))
+    return out.select(*keys, "kind", F.col("s").alias("start_ms"), F.col("e").alias("end_ms"))
 
 
 def speaking_periods(turns: DataFrame, **params: int) -> DataFrame:
