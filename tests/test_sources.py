@@ -125,7 +125,7 @@ def test_versions_survive_a_crash(spark, rows, tmp_path):
     store.replace(spark.range(20, 40))
     # a crash ahead of the marker: the version before is current, and what was left behind is written anew
     spark.range(3).write.parquet(f"{store.versions.folder(3)}/rows")
-    assert store.version() == 2 and store.read().count() == 20
+    assert store.version() == 2 and store.read().count() == 20 and store.versions.note(2) == {}
     assert store.replace(store.read().unionByName(spark.range(1))) == 3 and store.read().count() == 21
     with pytest.raises(Exception, match="(?i)exist"):
         store.versions.complete(3)  # a second writer of the same number

@@ -74,7 +74,12 @@ class Versions:
 
     def note(self, version: int) -> dict:
         """What was noted when a version was completed."""
-        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.folder(version)}/{self.MARKER}").collect()) or "{}")
+        jvm, where, fs = _fs(self.spark, f"{self.folder(version)}/{self.MARKER}")
+        stream = fs.open(where)
+        try:
+            return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def complete(self, version: int, note: dict | None = None) -> None:
         """Declare a version complete; its tables must have been written."""
