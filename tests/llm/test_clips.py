@@ -190,3 +190,64 @@ def test_batches_keep_splits_and_quarantine_clashes(spark, tmp_path):
     placed = store.assign(everything).filter("split <> 'quarantine'")
     for key in ("video_id", "speaker"):
         assert placed.groupBy(key).agg(F.count_distinct("split").alias("n")).filter("n > 1").count() == 0
+
+
+def test_only_what_ties_two_splits_is_quarantined(spark, tmp_path):
+    store = splits.SplitStore(spark, str(tmp_path / "store"))
+    first = table(spark, [(f"f{i}", f"v{i}", f"s{i}", 1.0, 1.0) for i in range(40)])
+    store.update(splits.pair_edges(first))
+    before = {r["video_id"]: r["split"] for r in store.assign(first).collect()}
+    a, b = next(v[1:] for v in before if before[v] == "train"), next(v[1:] for v in before if before[v] == "test")
+    late = [(f"n{i}", f"one{i}", "s" + a, 1.0, 1.0) for i in range(20)] + [("m1", "two", "s" + a, 1.0, 1.0), ("m2", "two", "s" + b, 1.0, 1.0)]
+    late += [("c1", "left", "s" + a, 1.0, 1.0), ("c2", "left", "mid", 1.0, 1.0), ("c3", "right", "mid", 1.0, 1.0), ("c4", "right", "s" + b, 1.0, 1.0), ("old", "v" + a, "s" + b, 1.0, 1.0)]
+    store.update(splits.pair_edges(table(spark, late)))
+    got = {r["audio_file"]: r["split"] for r in store.assign(table(spark, late)).collect()}
+    assert all(got[f"n{i}"] == "train" for i in range(20))
+    assert {got[k] for k in ("m1", "m2", "c1", "c2", "c3", "c4", "old")} == {"quarantine"}
+    # a quarantined voice ties nothing later on
+    more = table(spark, [("q1", "fresh", "mid", 1.0, 1.0), ("q2", "fresh", "s" + a, 1.0, 1.0), ("q3", "alone", "mid", 1.0, 1.0), ("q4", "alone", "own", 1.0, 1.0)])
+    store.update(splits.pair_edges(more))
+    got = {r["audio_file"]: r["split"] for r in store.assign(more).collect()}
+    assert got["q1"] == got["q3"] == "quarantine" and got["q2"] == "train" and got["q4"] in ("train", "validation", "test")
+    assert {r["video_id"]: r["split"] for r in store.assign(first).collect()} == before
+    groups = dict(map(tuple, store.groups().collect()))
+    assert groups["two"] == groups["v" + a] == groups["v" + b] == groups["right"] == groups["fresh"]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_groups_over_batches(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    rows = [(f"f{i}", rng.choice([f"v{rng.randrange(90)}", None] + ["v1"] * (i % 3)), rng.choice([f"s{rng.randrange(90)}", None]), 1.0, 1.0) for i in range(160)]
+    store = splits.SplitStore(spark, str(tmp_path / "store"), splits.SplitConfig(compact_every=2))
+    kept = {}
+    for n in range(4):
+        batch = table(spark, rows[n * 40 : n * 40 + 40])
+        store.update(splits.pair_edges(batch))
+        now = {(r["kind"], r["node"]): r["split"] for r in store.nodes().collect()}
+        assert all(now[k] == s for k, s in kept.items())
+        kept = now
+    pairs = [(r[1], r[2]) for r in rows]
+    by_video = {v: g for v, g in components([(v, w) for v, w in pairs if v is not None])}
+    assert dict(map(tuple, store.groups().collect())) == by_video
+    placed = store.assign(table(spark, rows)).filter("split <> 'quarantine'")
+    for key in ("video_id", "speaker"):
+        assert placed.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count_distinct("split").alias("n")).filter("n > 1").count() == 0
+
+
+def test_clips_without_video_or_label(spark):
+    rows = [(f"f{i}", None, f"w{i % 7}", 1.0, 1.0) for i in range(70)] + [(f"g{i}", None, " ", 1.0, 1.0) for i in range(300)]
+    got = splits.split_clips(table(spark, rows)).collect()
+    n = defaultdict(int)
+    for r in got:
+        n[r["split"]] += 1
+    assert len(got) == 370 and set(n) == {"train", "validation", "test"} and 200 < n["train"] < 340
+
+
+def test_sizes_count_current_clips(spark):
+    rows = [("f1", "v1", "a", 1.0, 1.0), ("f1", "v1", "b", 1.0, 1.0), ("f1", "v2", "b", 1.0, 1.0), ("f2", "v2", None, 1.0, 1.0), (None, "v3", "b", 1.0, 1.0)]
+    assert sorted(map(tuple, splits.pair_edges(table(spark, rows)).collect()), key=str) == sorted([("v1", "a", 0), ("v1", "b", 0), ("v2", "b", 1), ("v2", None, 1), ("v3", "b", 0)], key=str)
+
+
+def test_report(spark):
+    rows = [(f"f{i}", f"v{i // 3}", f"s{i // 7}", 1.0, 1.0) for i in range(300)]
+    assert tuple(splits.split_report(table(spark, rows)).first()) == (300, 0, 0, 0, True)

@@ -22,6 +22,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_found": lambda s, d: capping.capped_speakers(t(s, d, "metadata")).filter(~F.col("kept")).select("audio_file"),
         "p2_capped": lambda s, d: capping.capped_speakers(t(s, d, "metadata")),
         "p3_found": lambda s, d: splits.grouped_videos(t(s, d, "metadata")),
+        "p3_incremental": lambda s, d: splits.grouped_in_batches(t(s, d, "metadata")),
+        "p3_report": lambda s, d: splits.split_report(t(s, d, "metadata")),
         "p3_splits": lambda s, d: splits.split_clips(t(s, d, "metadata")),
         "p4_found": lambda s, d: turns.clean_turns(t(s, d, "chunks"), t(s, d, "sub_words"), t(s, d, "label_aliases"), t(s, d, "filler_terms")),
         "p5_found": lambda s, d: canonical.look_alike_fields(t(s, d, "chunks")),
@@ -51,18 +53,22 @@ _RANKED = f"""WITH {_CURRENT}, scored AS (
   SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY score DESC, audio_file) AS r, count(*) OVER (PARTITION BY video_id) AS n FROM scored WHERE score IS NOT NULL), cuts AS (
   SELECT video_id, n, score AS cutoff FROM ranked WHERE r = (4 * n + 4) // 5)"""
 
+_GROUPS = f"""WITH RECURSIVE ties AS (
+  SELECT DISTINCT a.video_id AS a, b.video_id AS b
+  FROM (SELECT DISTINCT video_id, {_KEY} AS k FROM metadata) a JOIN (SELECT DISTINCT video_id, {_KEY} AS k FROM metadata) b ON a.k = b.k), reach AS (
+  SELECT DISTINCT video_id AS v, video_id AS g FROM metadata WHERE video_id IS NOT NULL
+  UNION SELECT reach.v, ties.b FROM reach JOIN ties ON reach.g = ties.a)
+SELECT v AS video_id, min(g) AS group_video_id FROM reach GROUP BY v"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL on whole tables; operators without are tested against brute force."""
     return {
         "p2_found": f"SELECT audio_file FROM ({_CAPPED}) WHERE NOT kept",
         "p2_capped": _CAPPED,
-        "p3_found": f"""WITH RECURSIVE ties AS (
-  SELECT DISTINCT a.video_id AS a, b.video_id AS b
-  FROM (SELECT DISTINCT video_id, {_KEY} AS k FROM metadata) a JOIN (SELECT DISTINCT video_id, {_KEY} AS k FROM metadata) b ON a.k = b.k), reach AS (
-  SELECT DISTINCT video_id AS v, video_id AS g FROM metadata WHERE video_id IS NOT NULL
-  UNION SELECT reach.v, ties.b FROM reach JOIN ties ON reach.g = ties.a)
-SELECT v AS video_id, min(g) AS group_video_id FROM reach GROUP BY v""",
+        "p3_found": _GROUPS,
+        "p3_incremental": _GROUPS,
+        "p3_report": "SELECT count(DISTINCT audio_file) AS clips, CAST(0 AS BIGINT) AS quarantined, CAST(0 AS BIGINT) AS torn_voices, CAST(0 AS BIGINT) AS torn_videos, true AS near FROM metadata",
         "p6_found": f"WITH {_CURRENT} SELECT audio_file FROM current WHERE isfinite(duration) AND duration > 30",
         "p7_found": f"{_RANKED} SELECT ranked.video_id, audio_file FROM ranked JOIN cuts USING (video_id) WHERE score < cutoff",
         "p7_cutoffs": f"{_RANKED} SELECT video_id, any_value(cutoff) AS cutoff, any_value(ranked.n) AS n, count(*) FILTER (score >= cutoff) AS kept FROM ranked JOIN cuts USING (video_id) GROUP BY video_id",

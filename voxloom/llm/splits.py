@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxloom.functions.columns import pick
 from voxloom.functions.labels import label_key
 from voxloom.llm.clips import current_clips
+from voxloom.sources.writers import Versions
 from voxloom.storage import delete_path, new_path, write_table
 
 QUARANTINE = "quarantine"
+NODES = "kind string, node string, piece string, split string"
+LINKS = "piece string, component string, batch int"
+PIECES = "piece string, split string, size long"
 
 
 @dataclass(frozen=True)
@@ -20,12 +24,13 @@ class SplitConfig:
     """Target shares of the records, and the fineness of the assignment.
 
     ``large`` components at most are placed one by one, the others by ``buckets`` of their hash; both bound what the
-    driver holds.
+    driver holds.  After ``compact_every`` batches a store's segments are written as one.
     """
 
     shares: tuple[tuple[str, float], ...] = (("train", 0.8), ("validation", 0.1), ("test", 0.1))
     large: int = 1000
     buckets: int = 4096
+    compact_every: int = 16
 
 
 def _meet(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
@@ -34,63 +39,60 @@ def _meet(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "in
 
 
 def pair_edges(metadata: DataFrame) -> DataFrame:
-    """Distinct ``(video_id, label)`` of all rows; label is null where a video has a row without one."""
-    pairs = pick(metadata, "video_id", "speaker").filter(F.col("video_id").isNotNull()).select("video_id", label_key(F.col("speaker")).alias("label"))
-    return pairs.groupBy("video_id", "label").agg(F.count("*").alias("rows"))
+    """``(video_id, label, rows)`` once per pair of any row; ``rows`` counts the current clips that have the pair.
+
+    Pairs of rows that later ones replaced still tie, with 0 clips.  Label is null where a video has a row without one,
+    video where a label has; rows without either tie nothing and are left out.
+    """
+    both = lambda df, n: df.select("video_id", label_key(F.col("speaker")).alias("label"), F.lit(n).alias("n"))
+    every = both(pick(metadata, "video_id", "speaker"), 0).unionByName(both(current_clips(metadata, "video_id", "speaker"), 1))
+    return every.filter("video_id IS NOT NULL OR label IS NOT NULL").groupBy("video_id", "label").agg(F.sum("n").cast("long").alias("rows"))
 
 
-def star_edges(pairs: DataFrame) -> DataFrame:
-    """``(a, b)`` with a > b: each video of a label tied to the label's smallest one.
+def _written(df: DataFrame, name: str) -> tuple[DataFrame, str, bool]:
+    """A written table, its path and whether it has rows, known without another job.
 
-    The minimum per label is taken map-side first.  The join back is skewed for a label of many videos; its other side
-    has one row per label, so adaptive execution splits the label's videos over tasks.
+    The count may be too high if a stage ran twice, but never 0 with rows nor the other way round.
     """
-    known = pairs.filter(F.col("label").isNotNull())
-    least = known.groupBy("label").agg(F.min("video_id").alias("b"))
-    return _meet(known, least, "label").filter(F.col("video_id") != F.col("b")).select(F.col("video_id").alias("a"), "b").distinct()
+    seen = Observation()
+    table, path = write_table(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return table, path, bool(seen.get["n"])
 
 
 def connected(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """``(node, root)`` for each node of ``edges`` (``a``, ``b``), the root being the smallest node of its component.
+    """``(node, root)`` for each node of ``edges`` (``a``, ``b``): nodes of one component, and only they, share a root.
 
-    Each round, nodes point to their smallest neighbour if that is smaller; pointer jumping makes every pointer reach
-    its tree's root; edges are then drawn between roots.  At least half of the nodes that still have edges lose their
-    own, so rounds are logarithmic in the number of nodes.  Only edges that still tie two roots and the pointers of
-    a round are written, so work shrinks from round to round.  Nothing but row counts reaches the driver.
+    Each round orders nodes by a hash of its own; a node points to the first of its neighbours, or to itself, if it is
+    ahead of all.  Two rounds of pointer jumping take it four pointers on; edges are then drawn between what their ends
+    point to, and those within one node vanish.  As the order is random, even a chain loses more than half of its nodes
+    a round, so rounds are logarithmic in the number of nodes.  Only pointers and edges that still tie two nodes are
+    written; nothing but whether any is left reaches the driver.
     """
     spark = edges.sparkSession
-    live, live_path = write_table(edges.filter(F.col("a") != F.col("b")).select("a", "b"), "edges")
+    live, path, left = _written(edges.filter(F.col("a") != F.col("b")).select("a", "b"), "edges")
     levels: list[DataFrame] = []
-    for _ in range(max_rounds):
-        if live.isEmpty():
+    for turn in range(max_rounds):
+        if not left:
             break
-        both = live.select("a", "b").unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        step = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("to")).select("node", F.least("node", "to").alias("to"))
-        step, step_path = write_table(step, "pointers")
-        moving = step.filter(F.col("node") != F.col("to"))
-        while True:  # pointer jumping: each pass halves the height of the trees
-            onward = moving.select(F.col("node").alias("to"), F.col("to").alias("next"))
-            jumped = _meet(step, onward, "to", "left").select("node", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved"))
-            jumped, jumped_path = write_table(jumped, "pointers")
-            delete_path(spark, step_path)
-            step, step_path = jumped.select("node", "to"), jumped_path
-            if jumped.filter("moved").isEmpty():
-                break
-            moving = step.filter(F.col("node") != F.col("to"))
+        rank = lambda c: F.struct(F.xxhash64(F.lit(turn), F.col(c)).alias("h"), F.col(c).alias("n"))  # noqa: E731, B023
+        both = live.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("to")), F.struct(F.col("b").alias("node"), F.col("a").alias("to")))).alias("x")).select("x.*")
+        step = both.groupBy("node").agg(F.min(rank("to")).alias("first")).select("node", F.least(F.col("first"), rank("node"))["n"].alias("to"))
+        for _ in range(2):
+            step = _meet(step, step.select(F.col("node").alias("to"), F.col("to").alias("next")), "to").select("node", F.col("next").alias("to"))
+        step, _ = write_table(step, "pointers")
         levels.append(step)
-        moved = step.filter(F.col("node") != F.col("to"))
-        relabel = lambda df, c: _meet(df, moved.withColumnRenamed("node", c), c, "left").withColumn(c, F.coalesce("to", c)).drop("to")  # noqa: E731, B023
-        rest, rest_path = write_table(relabel(relabel(live, "a"), "b").filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-        delete_path(spark, live_path)
-        live, live_path = rest, rest_path
+        at = lambda c: step.select(F.col("node").alias(c), F.col("to").alias(f"{c}_now"))  # noqa: E731, B023
+        moved = _meet(_meet(live, at("a"), "a"), at("b"), "b").filter(F.col("a_now") != F.col("b_now"))
+        rest, rest_path, left = _written(moved.select(F.greatest("a_now", "b_now").alias("a"), F.least("a_now", "b_now").alias("b")).distinct(), "edges")
+        delete_path(spark, path)
+        live, path = rest, rest_path
     else:
         raise RuntimeError(f"components not settled in {max_rounds} rounds")
     if not levels:
-        return edges.sparkSession.createDataFrame([], "node string, root string")
+        return spark.createDataFrame([], "node string, root string")
     roots = levels[0].withColumnRenamed("to", "root")
-    for step in levels[1:]:  # a root of one level may have moved in the next
-        moved = step.filter(F.col("node") != F.col("to")).withColumnRenamed("node", "root")
-        roots = _meet(roots, moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    for step in levels[1:]:  # what one level points to may have moved in the next
+        roots = _meet(roots, step.select(F.col("node").alias("root"), F.col("to").alias("now")), "root", "left").select("node", F.coalesce("now", "root").alias("root"))
     return roots
 
 
@@ -99,10 +101,11 @@ def video_groups(metadata: DataFrame) -> DataFrame:
 
     Null videos are left out; a video without label, or alone with its labels, is its own group.
     """
-    pairs, _ = write_table(pair_edges(metadata), "pairs")
-    roots = connected(star_edges(pairs))
-    videos = pairs.select("video_id").distinct()
-    return _meet(videos, roots.withColumnRenamed("node", "video_id"), "video_id", "left").select("video_id", F.coalesce("root", "video_id").alias("group_video_id"))
+    pairs, _ = write_table(pair_edges(metadata).filter(F.col("video_id").isNotNull()), "pairs")
+    video, label = F.concat(F.lit("v:"), "video_id"), F.concat(F.lit("w:"), "label")
+    roots = connected(pairs.filter("label IS NOT NULL").select(video.alias("a"), label.alias("b")))
+    videos = _meet(pairs.select("video_id", video.alias("node")).distinct(), roots, "node", "left").select("video_id", F.coalesce("root", "node").alias("root"))
+    return _meet(videos, videos.groupBy("root").agg(F.min("video_id").alias("group_video_id")), "root").select("video_id", "group_video_id")
 
 
 def _largest_deficit(held: dict[str, float], shares: dict[str, float], total: float) -> str:
@@ -114,25 +117,23 @@ def place_components(sizes: DataFrame, held: dict[str, int], config: SplitConfig
 
     ``held`` counts the records that each split has already.  The largest components go one by one to the split with
     the largest deficit.  The small rest is ordered by hash: counts per hash bucket are summed ahead on the driver
-    (``buckets`` numbers), cuts are laid where the deficits end, and only within the buckets that a cut falls into
-    are components ranked.
+    (``buckets`` numbers) and cuts are laid where the deficits end.  A bucket between two cuts goes to one split as a
+    whole; only in the buckets that a cut falls into, at most one less than splits, are components ranked.
     """
     shares = dict(config.shares)
     total = sum(held.values()) + (sizes.agg(F.sum("size")).first()[0] or 0)
-    largest = sizes.orderBy(F.desc("size"), "component").limit(config.large)
     held = {s: held.get(s, 0) for s in shares}
-    floor, chosen = None, {}
-    rows = largest.collect()
+    rows = sizes.orderBy(F.desc("size"), "component").limit(config.large).collect()
+    chosen = {}
     for row in rows:
         split = _largest_deficit(held, shares, total)
         chosen[row["component"]] = split
         held[split] += row["size"]
-        floor = (row["size"], row["component"])
     spark = sizes.sparkSession
     placed = spark.createDataFrame(list(chosen.items()), "component string, split string")
     if len(rows) < config.large:
         return placed
-    size, name = floor
+    size, name = rows[-1]["size"], rows[-1]["component"]
     rest = sizes.filter((F.col("size") < size) | ((F.col("size") == size) & (F.col("component") > name))).withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(config.buckets)))
     weights = {r["bucket"]: r["w"] for r in rest.groupBy("bucket").agg(F.sum("size").alias("w")).collect()}
     room = {s: max(0.0, shares[s] * total - held[s]) for s in shares}
@@ -141,138 +142,224 @@ def place_components(sizes: DataFrame, held: dict[str, int], config: SplitConfig
     for s in shares:
         edge += room[s] * scale
         bounds.append((s, edge))
-    ahead = F.lit(0.0)
-    start, table = 0.0, []
+    # records ahead of each bucket; the splits of the buckets that no cut divides, and those that one does
+    start, whole, cut = 0.0, {s: [] for s in shares}, {}
     for b in sorted(weights):
-        table.append((b, start))
+        of = [s for i, (s, upper) in enumerate(bounds) if upper > start and (bounds[i - 1][1] if i else 0.0) < start + weights[b]]
+        if len(of) == 1:
+            whole[of[0]].append(b)
+        else:
+            cut[b] = start
         start += weights[b]
-    starts = spark.createDataFrame(table or [(0, 0.0)], "bucket long, start double")
-    inside = F.sum("size").over(Window.partitionBy("bucket").orderBy(F.xxhash64("component", F.lit(1)), "component")) - F.col("size") / 2
-    ahead = F.col("start") + inside
-    split: Column = F.lit(bounds[-1][0])
+    last = bounds[-1][0]
+    split = F.lit(last)
+    for s, _ in bounds[:-1]:
+        if whole[s]:
+            split = F.when(F.col("bucket").isin(whole[s]), s).otherwise(split)
+    divided = F.col("bucket").isin(list(cut))
+    out = placed.unionByName(rest.filter(~divided if cut else F.lit(True)).select("component", split.alias("split")))
+    if not cut:
+        return out
+    ahead = F.sum("size").over(Window.partitionBy("bucket").orderBy(F.xxhash64("component", F.lit(1)), "component")) - F.col("size") / 2
+    begin = F.lit(0.0)
+    for b, x in cut.items():
+        begin = F.when(F.col("bucket") == b, x).otherwise(begin)
+    ranked = F.lit(last)
     for s, upper in reversed(bounds[:-1]):
-        split = F.when(ahead < upper, s).otherwise(split)
-    return placed.unionByName(rest.join(F.broadcast(starts), "bucket").select("component", split.alias("split")))
+        ranked = F.when(F.col("ahead") < upper, s).otherwise(ranked)
+    return out.unionByName(rest.filter(divided).select("component", (begin + ahead).alias("ahead")).select("component", ranked.alias("split")))
 
 
 class SplitStore:
-    """Persisted component table, versioned in a folder; batches are added with ``update``.
+    """Persisted component table in a folder; batches are added with ``update``, each as a segment of its own.
+
+    Tables: ``nodes`` (kind, node, piece, split) of videos and labels, ``links`` (piece, component, batch), whose last
+    row per piece counts, and ``pieces`` (piece, split, size).  Nodes that come in one batch and hang together are a
+    piece.  A piece never changes its split; components of several pieces merge by new rows of ``links``, a piece
+    without any being its own component.  So a batch reads the table but writes only what it adds or changes.
 
-    Tables of a version: ``nodes`` (kind, node, component) for videos and labels, ``components`` (component, split,
-    size).  Existing components keep their split.  A batch that ties components of one split merges them; a batch that
-    ties components of different splits leaves them apart and quarantines the newcomers that tie them, as well as
-    rows between them, so no voice or video ever lies in two splits.
+    A newcomer tied to videos or labels of one split goes there; tied to none it fills a deficit.  Where a batch ties
+    different splits, what is there stays, and only what ties them is quarantined: newcomers that meet two splits
+    themselves, or else the newcomers that hang together between two splits, and rows between two splits.  Quarantined
+    nodes tie nothing later on.  So no voice or video ever lies in two splits.
     """
 
     def __init__(self, spark: SparkSession, path: str, config: SplitConfig = SplitConfig()):
-        self.spark, self.path, self.config = spark, path.rstrip("/"), config
-
-    def _pointer(self):
-        jvm = self.spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")
-        return jvm, where, where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        self.spark, self.config, self.versions = spark, config, Versions(spark, path)
 
     def version(self) -> int:
         """Number of the last complete version; 0 before the first batch."""
-        _, where, fs = self._pointer()
-        if not fs.exists(where):
-            return 0
-        return int(self.spark.read.text(f"{self.path}/CURRENT").first()[0])
-
-    def tables(self) -> tuple[DataFrame, DataFrame]:
-        """``nodes`` and ``components`` of the last version."""
-        v = self.version()
-        if not v:
-            return self.spark.createDataFrame([], "kind string, node string, component string"), self.spark.createDataFrame([], "component string, split string, size long")
-        return self.spark.read.parquet(f"{self.path}/v{v}/nodes"), self.spark.read.parquet(f"{self.path}/v{v}/components")
+        return self.versions.current()
+
+    def _note(self) -> dict:
+        version = self.version()
+        return self.versions.note(version) | {"version": version} if version else {"version": 0, "base": 1, "held": {}}
+
+    def _segments(self, name: str, schema: str) -> DataFrame:
+        note = self._note()
+        if not note["version"]:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.versions.folder(v)}/{name}" for v in range(note["base"], note["version"] + 1)])
+
+    def nodes(self) -> DataFrame:
+        """``(kind, node, piece, split)`` of all videos and labels."""
+        return self._segments("nodes", NODES)
+
+    def links(self) -> DataFrame:
+        """``(piece, component)`` of the pieces that merged with others."""
+        return self._segments("links", LINKS).groupBy("piece").agg(F.max_by("component", "batch").alias("component"))
 
     def update(self, pairs: DataFrame) -> None:
-        """Add a batch of ``(video_id, label, rows)``; ``rows`` counts its clips."""
-        pairs, _ = write_table(pairs.select("video_id", "label", "rows"), "batch")
-        nodes, components = self.tables()
-        old = lambda kind, c: nodes.filter(F.col("kind") == kind).select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
-        tied = _meet(_meet(pairs, old("video", "video_id"), "video_id", "left"), old("label", "label"), "label", "left")
-        # super nodes: existing components under their name, newcomers under theirs; labels sort behind all videos
-        mark = lambda kind, c: F.concat(F.lit({"video": "n:", "label": "z:"}[kind]), F.col(c))
-        tied = tied.select("video_id", "label", "rows", F.coalesce(F.concat(F.lit("c:"), "of_video_id"), mark("video", "video_id")).alias("v"), F.coalesce(F.concat(F.lit("c:"), "of_label"), mark("label", "label")).alias("l"))
+        """Add a batch of ``(video_id, label, rows)`` (see ``pair_edges``).
+
+        A clip that an earlier batch had and that is emitted again counts again in the sizes, which only steer the
+        shares.
+        """
+        note = self._note()
+        fresh, batch = not note["version"], note["version"] + 1
+        where = self.versions.folder(batch)
+        pairs = pairs.select("video_id", "label", "rows", F.concat(F.lit("v:"), "video_id").alias("v"), F.concat(F.lit("w:"), "label").alias("w"))
+        if fresh:
+            none = F.lit(None).cast("string")
+            tied = pairs.withColumns({"v_piece": none, "v_split": none, "w_piece": none, "w_split": none})
+        else:
+            old = lambda kind, c, p: self.nodes().filter(F.col("kind") == kind).select(F.col("node").alias(c), F.col("piece").alias(f"{p}_piece"), F.col("split").alias(f"{p}_split"))
+            tied = _meet(_meet(pairs, old("video", "video_id", "v"), "video_id", "left"), old("label", "label", "w"), "label", "left")
         tied, _ = write_table(tied, "tied")
-        roots, _ = write_table(connected(tied.filter("l IS NOT NULL AND v != l").select(F.greatest("v", "l").alias("a"), F.least("v", "l").alias("b")).distinct()), "roots")
-        members = _meet(tied.select(F.explode(F.array("v", "l")).alias("node")).filter("node IS NOT NULL").distinct(), roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-        members, _ = write_table(members, "members")
-        of_old = _meet(members.filter(F.col("node").startswith("c:")).select("root", F.substring("node", 3, 1 << 20).alias("component")), components, "component")
-        merged = of_old.groupBy("root").agg(F.min("component").alias("keep"), F.min("split").alias("low"), F.max("split").alias("high"))
-        merged, _ = write_table(merged, "merged")
-        clash = F.col("low") != F.col("high")
-        # every super node's component: merged ones take the smallest name, clashing ones stay, newcomers get a new one
-        newcomers = members.filter(~F.col("node").startswith("c:"))
-        first_new = newcomers.groupBy("root").agg(F.min(F.substring("node", 3, 1 << 20)).alias("fresh"))
-        named = _meet(_meet(members, merged, "root", "left"), first_new, "root", "left")
-        isold = F.col("node").startswith("c:")
-        component = F.when(isold & clash, F.substring("node", 3, 1 << 20)).when(F.col("keep").isNotNull() & ~clash, F.col("keep")).otherwise(F.col("fresh"))
-        split = F.when(~isold & clash, F.lit(QUARANTINE)).when(F.col("low").isNotNull() & ~clash, F.col("low"))
-        named, _ = write_table(named.select("node", component.alias("component"), split.alias("split")), "named")
-
-        lookup = named.select("node", "component")
-        kept = _meet(nodes, lookup.filter(F.col("node").startswith("c:")).select(F.substring("node", 3, 1 << 20).alias("component"), F.col("component").alias("now")), "component", "left").select("kind", "node", F.coalesce("now", "component").alias("component"))
-        fresh = named.filter(~F.col("node").startswith("c:")).select(F.when(F.col("node").startswith("n:"), "video").otherwise("label").alias("kind"), F.substring("node", 3, 1 << 20).alias("node"), "component")
-        version = self.version() + 1
-        where = f"{self.path}/v{version}"
-        kept.unionByName(fresh).write.mode("overwrite").parquet(f"{where}/nodes")
-
-        grown = _meet(tied, named.withColumnRenamed("node", "v"), "v").groupBy("component").agg(F.sum("rows").alias("size"))
-        renamed = _meet(components, named.filter(F.col("node").startswith("c:")).select(F.substring("node", 3, 1 << 20).alias("component"), F.col("component").alias("now")), "component", "left")
-        olds = renamed.groupBy(F.coalesce("now", "component").alias("component")).agg(F.min("split").alias("split"), F.sum("size").alias("size"))
-        decided = named.filter(~F.col("node").startswith("c:")).groupBy("component").agg(F.max("split").alias("given"))
-        sized = _meet(_meet(olds, grown.withColumnRenamed("size", "more"), "component", "full"), decided, "component", "full")
-        sized = sized.select("component", F.coalesce("split", "given").alias("split"), (F.coalesce("size", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("size"))
-        sized, _ = write_table(sized, "sized")
-        held = {r["split"]: r["n"] for r in sized.filter("split IS NOT NULL").groupBy("split").agg(F.sum("size").alias("n")).collect() if r["split"] != QUARANTINE}
-        placed = place_components(sized.filter("split IS NULL").select("component", "size"), held, self.config)
-        _meet(sized, placed.withColumnRenamed("split", "placed"), "component", "left").select("component", F.coalesce("split", "placed").alias("split"), "size").write.mode("overwrite").parquet(f"{where}/components")
-        self._publish(version)
-
-    def _publish(self, version: int) -> None:
-        jvm, where, fs = self._pointer()
-        draft = jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT.{version}")
-        out = fs.create(draft, True)
-        out.write(bytearray(str(version).encode()))
-        out.close()
-        fs.delete(where, False)
-        fs.rename(draft, where)
+
+        new_v, new_w = F.col("v").isNotNull() & F.col("v_piece").isNull(), F.col("w").isNotNull() & F.col("w_piece").isNull()
+        newcomers = tied.filter(new_v).select(F.lit("video").alias("kind"), F.col("video_id").alias("node"), F.col("v").alias("key")).unionByName(tied.filter(new_w).select(F.lit("label").alias("kind"), F.col("label").alias("node"), F.col("w").alias("key"))).distinct()
+        both = tied.filter(new_v & new_w).select("v", "w")
+        if fresh:
+            cluster = self._clusters(newcomers, both).withColumns({"low": F.lit(None).cast("string"), "high": F.lit(None).cast("string")})
+        else:
+            met = lambda new, key, split: tied.filter(new & F.col(split).isNotNull() & (F.col(split) != QUARANTINE)).select(F.col(key).alias("key"), F.col(split).alias("split"))
+            met = met(new_v, "v", "w_split").unionByName(met(new_w, "w", "v_split")).groupBy("key").agg(F.min("split").alias("low"), F.max("split").alias("high"))
+            newcomers, _ = write_table(_meet(newcomers, met, "key", "left"), "newcomers")
+            bridges = newcomers.filter("low <> high").select("key")
+            for end in ("v", "w"):
+                both = _meet(both, bridges.withColumnRenamed("key", end), end, "left_anti")
+            reached = self._clusters(newcomers, both)
+            spans = reached.groupBy("piece").agg(F.min("low").alias("of_low"), F.max("high").alias("of_high"))
+            cluster = _meet(reached, spans, "piece").select("kind", "node", "key", "piece", F.col("of_low").alias("low"), F.col("of_high").alias("high"))
+        given = F.when(F.col("low") != F.col("high"), QUARANTINE).otherwise(F.col("low"))
+        cluster, _ = write_table(cluster.select("kind", "node", "key", "piece", given.alias("given")), "clusters")
+
+        # a row's clips count for its video's piece, without a video for its label's, and not between two splits
+        at = lambda c: cluster.select(F.col("key").alias(c), F.col("piece").alias("fresh"), "given")
+        grown = tied.select("rows", F.coalesce("v", "w").alias("key"), F.when(F.col("v").isNotNull(), F.col("v_piece")).otherwise(F.col("w_piece")).alias("piece"), F.when(F.col("v").isNotNull(), F.col("v_split")).otherwise(F.col("w_split")).alias("split"), F.coalesce(F.col("v_split") != F.col("w_split"), F.lit(False)).alias("between"))
+        sizes = _meet(grown.filter(F.col("piece").isNull()), at("key"), "key").groupBy(F.col("fresh").alias("piece"), F.col("given").alias("split")).agg(F.sum("rows").alias("size"))
+        # labels whose clips all count for their videos have no size of their own
+        sizes = _meet(cluster.select("piece", F.col("given").alias("split")).distinct(), sizes.select("piece", "size"), "piece", "left").select("piece", "split", F.coalesce("size", F.lit(0)).alias("size"))
+        sizes, _ = write_table(sizes, "sizes")
+        placed = place_components(sizes.filter("split IS NULL").select(F.col("piece").alias("component"), "size"), note["held"], self.config)
+        decided = _meet(sizes, placed.select(F.col("component").alias("piece"), F.col("split").alias("placed")), "piece", "left").select("piece", F.coalesce("split", "placed").alias("split"), "size")
+        more = grown.filter("piece IS NOT NULL AND NOT between").groupBy("piece", "split").agg(F.sum("rows").alias("size"))
+        decided.unionByName(more).write.mode("overwrite").parquet(f"{where}/pieces")
+        pieces = self.spark.read.schema(PIECES).parquet(f"{where}/pieces")
+        splits = pieces.select("piece", "split").distinct()
+        _meet(cluster, splits, "piece").select("kind", "node", "piece", "split").write.mode("overwrite").parquet(f"{where}/nodes")
+        links = self.spark.createDataFrame([], LINKS) if fresh else self._merged(tied, cluster, batch)
+        links.write.mode("overwrite").parquet(f"{where}/links")
+        added = {r["split"]: r["n"] for r in pieces.groupBy("split").agg(F.sum("size").alias("n")).collect()}
+        held = {s: note["held"].get(s, 0) + added.get(s, 0) for s, _ in self.config.shares}
+        self.versions.complete(batch, {"base": note["base"], "held": held})
+        if batch - note["base"] >= self.config.compact_every:
+            self._compact(batch + 1, held)
+
+    def _clusters(self, newcomers: DataFrame, both: DataFrame) -> DataFrame:
+        """``newcomers`` with their ``piece``: those that hang together through rows of newcomers only."""
+        roots = connected(both.select(F.col("v").alias("a"), F.col("w").alias("b")))
+        return _meet(newcomers, roots.withColumnRenamed("node", "key"), "key", "left").withColumn("piece", F.coalesce("root", "key")).drop("root")
+
+    def _merged(self, tied: DataFrame, cluster: DataFrame, batch: int) -> DataFrame:
+        """New rows of ``links``: of the pieces whose component is another now."""
+        links, at = self.links(), lambda c: cluster.select(F.col("key").alias(c), F.col("piece").alias(f"{c}_fresh"))
+        ends = _meet(_meet(tied.filter("v IS NOT NULL AND w IS NOT NULL"), at("v"), "v", "left"), at("w"), "w", "left")
+        ends = ends.select(F.coalesce("v_piece", "v_fresh").alias("a"), F.coalesce("w_piece", "w_fresh").alias("b")).filter("a <> b").distinct()
+        for c in ("a", "b"):
+            ends = _meet(ends, links.withColumnRenamed("piece", c), c, "left").withColumn(c, F.coalesce("component", c)).drop("component")
+        roots, _ = write_table(connected(ends), "roots")
+        pieces = links.unionByName(roots.select(F.col("node").alias("piece"), F.col("node").alias("component"))).groupBy("piece").agg(F.max_by("component", F.col("component") != F.col("piece")).alias("component"))
+        return _meet(pieces, roots.withColumnRenamed("node", "component"), "component").select("piece", F.col("root").alias("component"), F.lit(batch).alias("batch"))
+
+    def _compact(self, version: int, held: dict[str, int]) -> None:
+        """Write all segments as one version, so that reading doesn't open ever more files; the work spreads over batches."""
+        where = self.versions.folder(version)
+        self.nodes().write.mode("overwrite").parquet(f"{where}/nodes")
+        self.links().withColumn("batch", F.lit(version)).write.mode("overwrite").parquet(f"{where}/links")
+        self._segments("pieces", PIECES).groupBy("piece", "split").agg(F.sum("size").alias("size")).write.mode("overwrite").parquet(f"{where}/pieces")
+        self.versions.complete(version, {"base": version, "held": held})
 
     def groups(self) -> DataFrame:
-        """``(video_id, group_video_id)``: each video with the smallest of its component."""
-        nodes, _ = self.tables()
-        videos = nodes.filter("kind = 'video'")
-        least = videos.groupBy("component").agg(F.min("node").alias("group_video_id"))
-        return _meet(videos, least, "component").select(F.col("node").alias("video_id"), "group_video_id")
+        """``(video_id, group_video_id)``: each video with the smallest of its component, whatever splits it has."""
+        videos = _meet(self.nodes().filter("kind = 'video'").select("node", "piece"), self.links(), "piece", "left").select(F.col("node").alias("video_id"), F.coalesce("component", "piece").alias("component"))
+        return _meet(videos, videos.groupBy("component").agg(F.min("video_id").alias("group_video_id")), "component").select("video_id", "group_video_id")
 
     def assign(self, clips: DataFrame) -> DataFrame:
         """``clips`` (``video_id``, ``speaker`` and more) with their ``split``.
 
-        A clip whose video and label lie in components of different splits is quarantined; so is one without video
-        whose label is unknown.
+        A clip whose video and label lie in different splits is quarantined; so is one with a video and label that no
+        batch had.  A clip with neither is tied to nothing and goes by a hash of its columns.
         """
-        nodes, components = self.tables()
-        split_of = _meet(nodes, components, "component").select("kind", "node", "split")
-        of = lambda kind, c: split_of.filter(F.col("kind") == kind).select(F.col("node").alias(c), F.col("split").alias(f"split_{kind}"))
+        of = lambda kind, c: self.nodes().filter(F.col("kind") == kind).select(F.col("node").alias(c), F.col("split").alias(f"split_{kind}"))
         keyed = clips.withColumn("split_label_key", label_key(F.col("speaker")))
         both = _meet(_meet(keyed, of("video", "video_id"), "video_id", "left"), of("label", "split_label_key"), "split_label_key", "left")
-        one = F.coalesce("split_video", "split_label", F.lit(QUARANTINE))
-        split = F.when(F.col("split_video") != F.col("split_label"), QUARANTINE).otherwise(one)
+        place = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, kind in clips.dtypes if "map" not in kind]), F.lit(1_000_000)) / 1_000_000
+        free, edge = F.lit(self.config.shares[-1][0]), 1.0
+        for s, share in reversed(self.config.shares):
+            free, edge = F.when(place < edge, s).otherwise(free), edge - share
+        alone = F.col("video_id").isNull() & F.col("split_label_key").isNull()
+        split = F.when(alone, free).when(F.col("split_video") != F.col("split_label"), QUARANTINE).otherwise(F.coalesce("split_video", "split_label", F.lit(QUARANTINE)))
         return both.select(*[c for c in clips.columns if c != "split"], split.alias("split"))
 
 
+def _store(metadata: DataFrame, path: str | None, config: SplitConfig) -> SplitStore:
+    return SplitStore(metadata.sparkSession, path or new_path(metadata.sparkSession, "splits"), config)
+
+
 def split_clips(metadata: DataFrame, path: str | None = None, config: SplitConfig = SplitConfig()) -> DataFrame:
     """``(audio_file, split)`` of the current clips; ``path`` names a store that earlier batches filled."""
-    store = SplitStore(metadata.sparkSession, path or new_path(metadata.sparkSession, "splits"), config)
+    store = _store(metadata, path, config)
     store.update(pair_edges(metadata))
     return store.assign(current_clips(metadata, "video_id", "speaker")).select("audio_file", "split")
 
 
-def grouped_videos(metadata: DataFrame, path: str | None = None) -> DataFrame:
+def grouped_videos(metadata: DataFrame, path: str | None = None, config: SplitConfig = SplitConfig()) -> DataFrame:
     """``(video_id, group_video_id)`` from the component table after adding ``metadata`` to the store at ``path``."""
-    store = SplitStore(metadata.sparkSession, path or new_path(metadata.sparkSession, "splits"))
+    store = _store(metadata, path, config)
     store.update(pair_edges(metadata))
     return store.groups()
 
+
+def grouped_in_batches(metadata: DataFrame, path: str | None = None, config: SplitConfig = SplitConfig()) -> DataFrame:
+    """``grouped_videos`` of two batches: the rows up to the middle of the times of emission, and the later ones.
+
+    Rows without a time come with the second batch.
+    """
+    store = _store(metadata, path, config)
+    at = F.unix_micros(F.col("emitted_at").cast("timestamp"))
+    low, high = metadata.agg(F.min(at), F.max(at)).first()
+    early = at <= ((low or 0) + (high or 0)) // 2
+    for batch in (metadata.filter(early), metadata.filter(F.coalesce(~early, F.lit(True)))):
+        store.update(pair_edges(batch))
+    return store.groups()
+
+
+def split_report(metadata: DataFrame, config: SplitConfig = SplitConfig()) -> DataFrame:
+    """One row on ``split_clips``: clips, those quarantined, voices and videos in two splits, and whether shares are near.
+
+    Shares are near if no split is further from its target than the largest group of clips that hang together.
+    """
+    store = _store(metadata, None, config)
+    store.update(pair_edges(metadata))
+    clips, _ = write_table(store.assign(current_clips(metadata, "video_id", "speaker")).withColumn("label", label_key(F.col("speaker"))), "assigned")
+    torn = lambda key: clips.filter(F.col(key).isNotNull() & (F.col("split") != QUARANTINE)).groupBy(key).agg(F.min("split").alias("a"), F.max("split").alias("b")).agg(F.count_if(F.col("a") != F.col("b")).alias(f"torn_{key}"))
+    largest = _meet(clips, store.groups(), "video_id", "left").groupBy(F.coalesce("group_video_id", "label")).agg(F.count("*").alias("n")).agg(F.max("n").alias("largest"))
+    counts = clips.agg(F.count("*").alias("clips"), F.count_if(F.col("split") == QUARANTINE).alias("quarantined"), *[F.count_if(F.col("split") == s).alias(f"n_{s}") for s, _ in config.shares])
+    one = lambda df: df.withColumn("one", F.lit(1))
+    joined = one(counts).join(one(torn("label")), "one").join(one(torn("video_id")), "one").join(one(largest), "one")
+    near = F.lit(True)
+    for s, share in config.shares:
+        near = near & (F.abs(F.col(f"n_{s}") - F.col("clips") * share) <= F.coalesce("largest", F.lit(0)) + 1)
+    return joined.select("clips", "quarantined", F.col("torn_label").alias("torn_voices"), F.col("torn_video_id").alias("torn_videos"), near.alias("near"))
