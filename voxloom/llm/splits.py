@@ -16,7 +16,6 @@ from voxloom.storage import delete_path, new_path, write_table
 QUARANTINE = "quarantine"
 NODES = "kind string, node string, piece string, split string"
 LINKS = "piece string, component string, batch int"
-PIECES = "piece string, split string, size long"
 
 
 @dataclass(frozen=True)
@@ -62,11 +61,12 @@ def _written(df: DataFrame, name: str) -> tuple[DataFrame, str, bool]:
 def connected(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """``(node, root)`` for each node of ``edges`` (``a``, ``b``): nodes of one component, and only they, share a root.
 
-    Each round orders nodes by a hash of its own; a node points to the first of its neighbours, or to itself, if it is
-    ahead of all.  Two rounds of pointer jumping take it four pointers on; edges are then drawn between what their ends
-    point to, and those within one node vanish.  As the order is random, even a chain loses more than half of its nodes
-    a round, so rounds are logarithmic in the number of nodes.  Only pointers and edges that still tie two nodes are
-    written; nothing but whether any is left reaches the driver.
+    Nodes are ordered by a hash; a node points to the first of its neighbours, or to itself, if it is ahead of all.
+    Two rounds of pointer jumping take it four pointers on; edges are then drawn between what their ends point to, and
+    those within one node vanish.  As the order is random, even a chain loses more than half of its nodes a round, and
+    as it stays for three rounds, the leaves of a hub, which first point to themselves or to it, meet at the first of
+    them in the next round.  So rounds are logarithmic in the number of nodes.  Only pointers and edges that still tie
+    two nodes are written; nothing but whether any is left reaches the driver.
     """
     spark = edges.sparkSession
     live, path, left = _written(edges.filter(F.col("a") != F.col("b")).select("a", "b"), "edges")
@@ -74,7 +74,7 @@ def connected(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     for turn in range(max_rounds):
         if not left:
             break
-        rank = lambda c: F.struct(F.xxhash64(F.lit(turn), F.col(c)).alias("h"), F.col(c).alias("n"))  # noqa: E731, B023
+        rank = lambda c: F.struct(F.xxhash64(F.lit(turn // 3), F.col(c)).alias("h"), F.col(c).alias("n"))  # noqa: E731, B023
         both = live.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("to")), F.struct(F.col("b").alias("node"), F.col("a").alias("to")))).alias("x")).select("x.*")
         step = both.groupBy("node").agg(F.min(rank("to")).alias("first")).select("node", F.least(F.col("first"), rank("node"))["n"].alias("to"))
         for _ in range(2):
@@ -112,17 +112,17 @@ def _largest_deficit(held: dict[str, float], shares: dict[str, float], total: fl
     return max(shares, key=lambda s: (shares[s] * total - held[s], shares[s]))
 
 
-def place_components(sizes: DataFrame, held: dict[str, int], config: SplitConfig) -> DataFrame:
-    """``(component, split)`` for new components (``component``, ``size``), filling the splits' deficits.
+def place_components(sizes: DataFrame, held: dict[str, int], config: SplitConfig, total: int | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """``(component, split)`` for new components (``component``, ``size``), filling the splits' deficits, and what is held then.
 
-    ``held`` counts the records that each split has already.  The largest components go one by one to the split with
-    the largest deficit.  The small rest is ordered by hash: counts per hash bucket are summed ahead on the driver
+    ``held`` counts the records that each split has already, ``total`` those of ``sizes`` if known.  The largest
+    components go one by one to the split with the largest deficit.  The small rest is ordered by hash: counts per hash bucket are summed ahead on the driver
     (``buckets`` numbers) and cuts are laid where the deficits end.  A bucket between two cuts goes to one split as a
     whole; only in the buckets that a cut falls into, at most one less than splits, are components ranked.
     """
     shares = dict(config.shares)
-    total = sum(held.values()) + (sizes.agg(F.sum("size")).first()[0] or 0)
     held = {s: held.get(s, 0) for s in shares}
+    total = sum(held.values()) + ((sizes.agg(F.sum("size")).first()[0] or 0) if total is None else total)
     rows = sizes.orderBy(F.desc("size"), "component").limit(config.large).collect()
     chosen = {}
     for row in rows:
@@ -132,7 +132,7 @@ def place_components(sizes: DataFrame, held: dict[str, int], config: SplitConfig
     spark = sizes.sparkSession
     placed = spark.createDataFrame(list(chosen.items()), "component string, split string")
     if len(rows) < config.large:
-        return placed
+        return placed, held
     size, name = rows[-1]["size"], rows[-1]["component"]
     rest = sizes.filter((F.col("size") < size) | ((F.col("size") == size) & (F.col("component") > name))).withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(config.buckets)))
     weights = {r["bucket"]: r["w"] for r in rest.groupBy("bucket").agg(F.sum("size").alias("w")).collect()}
@@ -150,6 +150,8 @@ def place_components(sizes: DataFrame, held: dict[str, int], config: SplitConfig
             whole[of[0]].append(b)
         else:
             cut[b] = start
+        for i, (s, upper) in enumerate(bounds):  # in a cut bucket true but for the component at the cut
+            held[s] += max(0, round(min(upper, start + weights[b]) - max(bounds[i - 1][1] if i else 0.0, start)))
         start += weights[b]
     last = bounds[-1][0]
     split = F.lit(last)
@@ -159,7 +161,7 @@ def place_components(sizes: DataFrame, held: dict[str, int], config: SplitConfig
     divided = F.col("bucket").isin(list(cut))
     out = placed.unionByName(rest.filter(~divided if cut else F.lit(True)).select("component", split.alias("split")))
     if not cut:
-        return out
+        return out, held
     ahead = F.sum("size").over(Window.partitionBy("bucket").orderBy(F.xxhash64("component", F.lit(1)), "component")) - F.col("size") / 2
     begin = F.lit(0.0)
     for b, x in cut.items():
@@ -167,15 +169,15 @@ def place_components(sizes: DataFrame, held: dict[str, int], config: SplitConfig
     ranked = F.lit(last)
     for s, upper in reversed(bounds[:-1]):
         ranked = F.when(F.col("ahead") < upper, s).otherwise(ranked)
-    return out.unionByName(rest.filter(divided).select("component", (begin + ahead).alias("ahead")).select("component", ranked.alias("split")))
+    return out.unionByName(rest.filter(divided).select("component", (begin + ahead).alias("ahead")).select("component", ranked.alias("split"))), held
 
 
 class SplitStore:
     """Persisted component table in a folder; batches are added with ``update``, each as a segment of its own.
 
-    Tables: ``nodes`` (kind, node, piece, split) of videos and labels, ``links`` (piece, component, batch), whose last
-    row per piece counts, and ``pieces`` (piece, split, size).  Nodes that come in one batch and hang together are a
-    piece.  A piece never changes its split; components of several pieces merge by new rows of ``links``, a piece
+    Tables: ``nodes`` (kind, node, piece, split) of videos and labels, and ``links`` (piece, component, batch), whose last
+    row per piece counts; the records that each split holds are noted with the version.  Nodes that come in one batch
+    and hang together are a piece.  A piece never changes its split; components of several pieces merge by new rows of ``links``, a piece
     without any being its own component.  So a batch reads the table but writes only what it adds or changes.
 
     A newcomer tied to videos or labels of one split goes there; tied to none it fills a deficit.  Where a batch ties
@@ -193,13 +195,11 @@ class SplitStore:
 
     def _note(self) -> dict:
         version = self.version()
-        return self.versions.note(version) | {"version": version} if version else {"version": 0, "base": 1, "held": {}}
+        return self.versions.note(version) | {"version": version} if version else {"version": 0, "held": {}, "nodes": [], "links": []}
 
     def _segments(self, name: str, schema: str) -> DataFrame:
-        note = self._note()
-        if not note["version"]:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.versions.folder(v)}/{name}" for v in range(note["base"], note["version"] + 1)])
+        paths = [f"{self.versions.folder(v)}/{name}" for v in self._note()[name]]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def nodes(self) -> DataFrame:
         """``(kind, node, piece, split)`` of all videos and labels."""
@@ -248,23 +248,21 @@ class SplitStore:
         # a row's clips count for its video's piece, without a video for its label's, and not between two splits
         at = lambda c: cluster.select(F.col("key").alias(c), F.col("piece").alias("fresh"), "given")
         grown = tied.select("rows", F.coalesce("v", "w").alias("key"), F.when(F.col("v").isNotNull(), F.col("v_piece")).otherwise(F.col("w_piece")).alias("piece"), F.when(F.col("v").isNotNull(), F.col("v_split")).otherwise(F.col("w_split")).alias("split"), F.coalesce(F.col("v_split") != F.col("w_split"), F.lit(False)).alias("between"))
-        sizes = _meet(grown.filter(F.col("piece").isNull()), at("key"), "key").groupBy(F.col("fresh").alias("piece"), F.col("given").alias("split")).agg(F.sum("rows").alias("size"))
+        sizes = _meet(grown.filter(F.col("piece").isNull()), at("key"), "key").groupBy(F.col("fresh").alias("piece")).agg(F.sum("rows").alias("size"))
         # labels whose clips all count for their videos have no size of their own
-        sizes = _meet(cluster.select("piece", F.col("given").alias("split")).distinct(), sizes.select("piece", "size"), "piece", "left").select("piece", "split", F.coalesce("size", F.lit(0)).alias("size"))
+        sizes = _meet(cluster.select("piece", F.col("given").alias("split")).distinct(), sizes, "piece", "left").select("piece", "split", F.coalesce("size", F.lit(0)).alias("size"))
+        if not fresh:
+            sizes = sizes.unionByName(grown.filter("piece IS NOT NULL AND NOT between").groupBy("split").agg(F.sum("rows").alias("size")).select(F.lit(None).cast("string").alias("piece"), "split", "size"))
         sizes, _ = write_table(sizes, "sizes")
-        placed = place_components(sizes.filter("split IS NULL").select(F.col("piece").alias("component"), "size"), note["held"], self.config)
-        decided = _meet(sizes, placed.select(F.col("component").alias("piece"), F.col("split").alias("placed")), "piece", "left").select("piece", F.coalesce("split", "placed").alias("split"), "size")
-        more = grown.filter("piece IS NOT NULL AND NOT between").groupBy("piece", "split").agg(F.sum("rows").alias("size"))
-        decided.unionByName(more).write.mode("overwrite").parquet(f"{where}/pieces")
-        pieces = self.spark.read.schema(PIECES).parquet(f"{where}/pieces")
-        splits = pieces.select("piece", "split").distinct()
-        _meet(cluster, splits, "piece").select("kind", "node", "piece", "split").write.mode("overwrite").parquet(f"{where}/nodes")
-        links = self.spark.createDataFrame([], LINKS) if fresh else self._merged(tied, cluster, batch)
-        links.write.mode("overwrite").parquet(f"{where}/links")
-        added = {r["split"]: r["n"] for r in pieces.groupBy("split").agg(F.sum("size").alias("n")).collect()}
+        added = {r["split"]: r["n"] for r in sizes.groupBy("split").agg(F.sum("size").alias("n")).collect()}
         held = {s: note["held"].get(s, 0) + added.get(s, 0) for s, _ in self.config.shares}
-        self.versions.complete(batch, {"base": note["base"], "held": held})
-        if batch - note["base"] >= self.config.compact_every:
+        placed, held = place_components(sizes.filter("split IS NULL").select(F.col("piece").alias("component"), "size"), held, self.config, added.get(None, 0))
+        splits = sizes.filter("piece IS NOT NULL AND split IS NOT NULL").select("piece", "split").unionByName(placed.select(F.col("component").alias("piece"), "split"))
+        _meet(cluster, splits, "piece").select("kind", "node", "piece", "split").write.mode("overwrite").parquet(f"{where}/nodes")
+        if not fresh:
+            self._merged(tied, cluster, batch).write.mode("overwrite").parquet(f"{where}/links")
+        self.versions.complete(batch, {"held": held, "nodes": [*note["nodes"], batch], "links": [*note["links"], *([] if fresh else [batch])]})
+        if len(note["nodes"]) + 1 >= self.config.compact_every:
             self._compact(batch + 1, held)
 
     def _clusters(self, newcomers: DataFrame, both: DataFrame) -> DataFrame:
@@ -288,12 +286,14 @@ class SplitStore:
         where = self.versions.folder(version)
         self.nodes().write.mode("overwrite").parquet(f"{where}/nodes")
         self.links().withColumn("batch", F.lit(version)).write.mode("overwrite").parquet(f"{where}/links")
-        self._segments("pieces", PIECES).groupBy("piece", "split").agg(F.sum("size").alias("size")).write.mode("overwrite").parquet(f"{where}/pieces")
-        self.versions.complete(version, {"base": version, "held": held})
+        self.versions.complete(version, {"held": held, "nodes": [version], "links": [version]})
 
     def groups(self) -> DataFrame:
         """``(video_id, group_video_id)``: each video with the smallest of its component, whatever splits it has."""
-        videos = _meet(self.nodes().filter("kind = 'video'").select("node", "piece"), self.links(), "piece", "left").select(F.col("node").alias("video_id"), F.coalesce("component", "piece").alias("component"))
+        videos = self.nodes().filter("kind = 'video'").select(F.col("node").alias("video_id"), "piece")
+        if self._note()["links"]:
+            videos = _meet(videos, self.links(), "piece", "left").withColumn("piece", F.coalesce("component", "piece"))
+        videos = videos.select("video_id", F.col("piece").alias("component"))
         return _meet(videos, videos.groupBy("component").agg(F.min("video_id").alias("group_video_id")), "component").select("video_id", "group_video_id")
 
     def assign(self, clips: DataFrame) -> DataFrame:
