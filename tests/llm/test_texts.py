@@ -44,24 +44,56 @@ def test_no_label(parser):
 
 
 def test_order_segments():
-    assert turns.order_segments([3.0, 1.0, 1.0, 2.0]) == [1, 2, 3, 0]
-    assert turns.order_segments([3.0, None, 1.0]) == [0, 1, 2] and turns.order_segments([]) == []
-
-
-def stream(spark, words, kind="video_id string, pos int, text string"):
-    return spark.createDataFrame(words, kind)
+    lines = lambda times, labels=(): turns.order_segments(len(times), *turns.line_constraints(times, list(labels) or [False] * len(times)))
+    assert lines([3.0, 1.0, 1.0, 2.0]) == ([1, 2, 3, 0], [(0, 1)])  # the cue contradicts the times
+    assert lines([3.0, None, 1.0]) == ([0, 1, 2], []) and lines([]) == ([], [])
+    assert lines([2.0, 1.0, 1.0], [True, False, False])[1] == [(0, 1), (0, 1), (0, 2)]
+    # a cycle loses its weakest edge; edges across a level that say the same are kept
+    assert turns.order_segments(3, [], [(0, 1), (1, 2), (2, 0)]) == ([0, 1, 2], [(2, 0)])
+    assert turns.order_segments(4, [[1, 0, 1, 0]], [(3, 1), (2, 0), (0, 2), (1, 0)]) == ([3, 1, 2, 0], [(0, 2)])
+    # words: places hold against times
+    assert turns.order_segments(4, *turns.word_constraints([1.0, 3.0, None, 2.0])) == ([0, 1, 2, 3], [(3, 1)])
+
+
+@pytest.mark.parametrize("text", ["[" + "noise " * 80 + "]", "(" + "x" * 300 + ")", "{" + "a b " * 90 + "}", "*" + "laughs " * 30 + "on*", "<font color='" + "y" * 200 + "'>"])
+def test_long_annotations_are_no_words(parser, text):
+    assert parser[2](f"Host: a {text} b") == [("SPK00", "a b")]
+
+
+def stream(spark, words, kind="video_id string, pos int, text string, start double"):
+    return spark.createDataFrame([(*w, None if w[1] is None else -float(w[1])) for w in words], kind)
+
+
+def held_against_whole(spark, parser, words, size):
+    got = turns.stream_turns(stream(spark, words), ALIASES, FILLERS, size).collect()
+    for video in {v for v, _, t in words if v is not None}:
+        unique = {}
+        for v, pos, t in words:
+            if v == video and pos is not None and t is not None:
+                unique[pos] = min(t, unique.get(pos, t))
+        want = [(k, *t) for k, t in enumerate(parser[2](" ".join(unique[k] for k in sorted(unique))))]
+        assert sorted((r["turn_index"], r["speaker"], r["clean_text"]) for r in got if r["video_id"] == video) == want
 
 
-@pytest.mark.parametrize("size", [64, 4096])
+@pytest.mark.parametrize("size", [8, 64, 4096])
 def test_streams_in_blocks(spark, parser, size):
     rng = random.Random(size)
-    pieces = ["Host:", "guest :", "Speaker", "2:", "[background", "noise]", "um", "you", "know", "a", "b", "<v", "S1>", "c.", "hmm"]
+    pieces = ["Host:", "guest :", "Speaker", "2:", "[background", "noise]", "um", "you", "know", "a", "b", "<v", "S1>", "c.", "hmm", "plain", "words", "here"]
     words = [("v", i, rng.choice(pieces)) for i in range(900)] + [("w", i, rng.choice(pieces)) for i in range(5)]
-    got = turns.stream_turns(stream(spark, words + words[:50] + [("v", None, "x"), (None, 1, "x"), ("v", 901, None)]), ALIASES, FILLERS, size).collect()
-    for video in "vw":
-        text = " ".join(t for v, _, t in words if v == video)
-        want = [(k, *t) for k, t in enumerate(parser[2](text))]
-        assert sorted((r["turn_index"], r["speaker"], r["clean_text"]) for r in got if r["video_id"] == video) == want
+    held_against_whole(spark, parser, words + words[:50] + [("v", None, "x"), (None, 1, "x"), ("v", 901, None)], size)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_sparse_streams_with_open_brackets(spark, parser, seed):
+    rng = random.Random(seed)
+    odd = ["(", ")", "[", "]", "{x", "y}", "*laughs*", "*", "*a", "b*", "<", ">", "<b>", "00:01", "-->", "00:02", "Speaker", "2:", "- -", "Guest:", "you", "know", "&nbsp;"]
+    pos, words = 0, []
+    for _ in range(1200):
+        pos += rng.choice([1, 1, 7, 60])
+        words.append(("v", pos, rng.choice(odd) if rng.random() < 0.1 else rng.choice(["plain", "words", "here", "again"])))
+    words += [("long", i, "w") for i in range(20)] + [("long", 20, "[open")] + [("long", 21 + 60 * i, "w") for i in range(60)] + [("long", 9000, "end]"), ("long", 9001, "Host:"), ("long", 9002, "x")]
+    words += [("far", 4090, "Speaker"), ("far", 4150, "2:"), ("far", 5000, "hello"), ("far", 1, "Host:"), ("far", 2, "hi")]
+    held_against_whole(spark, parser, words, 8)
 
 
 def test_clean_turns_tables(spark):
