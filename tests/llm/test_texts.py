@@ -279,6 +279,35 @@ def test_stuffed_pages(spark):
     assert spam.stuffed_pages(df.limit(0)).count() == 0
 
 
+def test_word_salad_is_found(spark):
+    """Pages of different words in random order, none of them repeated as a keyword; sentences of the same words are none."""
+    rng = random.Random(8)
+    nouns, verbs, others = [[f"{kind}{i}" for i in range(12)] for kind in ("noun", "verb", "other")]
+    follows = {n: [rng.choice(verbs) for _ in range(2)] for n in nouns} | {v: [rng.choice(others) for _ in range(2)] for v in verbs} | {o: [rng.choice(nouns) for _ in range(2)] for o in others}
+
+    def prose(n):
+        words = [rng.choice(nouns)]
+        while len(words) < n:
+            words.append(rng.choice(follows[words[-1]]))
+        return " ".join(words)
+
+    every = nouns + verbs + others
+    salads = [" ".join(rng.choice(every) for _ in range(n)) for n in (40, 120, 300)]
+    texts = [prose(rng.randrange(60, 200)) for _ in range(300)] + salads
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in spam.stuffed_pages(df).collect()) == [300, 301, 302]
+
+
+@pytest.mark.parametrize("packs", [1, 3])
+def test_bundles_change_nothing(spark, monkeypatch, packs):
+    good, bad = corpus()
+    df = spark.createDataFrame(list(enumerate((good + bad)[:60] + bad[:2])), "doc_id long, text string").repartition(2)
+    want = sorted(map(tuple, spam.stuffing_scores(df).collect()))
+    monkeypatch.setattr(spam, "BUNDLE", packs)
+    monkeypatch.setattr(spam, "text_slices", lambda batch: text_slices(batch, most_bytes=300))
+    assert sorted(map(tuple, spam.stuffing_scores(df, ranges=3).collect())) == want
+
+
 def test_counts_are_those_of_the_corpus(spark):
     """The replies of the exchange equal counts made at once, however the texts are packed."""
     good, bad = corpus()

@@ -22,26 +22,37 @@ from voxloom.storage import shuffle_width, write_table
 class SpamConfig:
     """When words count as stuffed, and a document as spam.
 
-    A pair of neighbouring words is incoherent if its mutual information, from the counts of all other texts (copies
-    are one text), is below ``least_pmi`` bits; it is a repeated collocation if the document has it ``repeats`` times and more, at most
-    ``near`` words apart or not as part of a repeated passage of ``passage`` words.  Such a pair counts if one of its
-    words is bursty: there ``repeats`` times and ``burst`` times as often as in the corpus.  A word is stuffed where
-    at least ``density`` of the pairs within ``reach`` count; a document is spam if more than ``share`` of its words
-    are stuffed, hashtags, links or the up to ``anchor`` words of a link's line.
+    A pair of neighbouring words has its pointwise mutual information in bits, from the counts of all other texts (copies
+    are one text), up to ``ceiling``; a repeated collocation has 0: one that the document holds ``repeats`` times and
+    more, at most ``near`` words apart or not as part of a repeated passage of ``passage`` words, with a bursty word.
+    A word is bursty if it is there ``repeats`` times and ``burst`` times as often as in the corpus.
+
+    Decided is by the mean over sliding runs.  The pairs within ``salad_reach`` are word salad if their mean is below
+    ``salad``: such words meet less often than chance would have it.  A mean about 0 only says that the corpus doesn't
+    know the pairs; the pairs within ``reach`` are keywords if their mean is below ``coherent`` and at least ``keywords``
+    of them have a bursty word.  A document is spam if more than ``share`` of its words lie in such runs, or are
+    hashtags, links or the up to ``anchor`` words of a link's line.
     """
 
-    least_pmi: float = 0.7
+    coherent: float = 0.5
+    salad: float = -0.5
+    ceiling: float = 1.0
     smoothing: float = 1.0
+    keywords: float = 0.7
+    reach: int = 8
+    salad_reach: int = 16
     repeats: int = 3
     near: int = 8
     passage: int = 8
     burst: float = 4.0
-    reach: int = 8
-    density: float = 0.5
     share: float = 0.5
     anchor: int = 8
 
 
+#: Packs of a task whose requests are summed before they leave it.
+BUNDLE = 16
+#: Words whose requests go to one range of keys: a range's share of all requests stays within some ten megabytes.
+RANGE_WORDS = 4_000_000
 #: Text that was decoded from UTF-8 as Latin-1.
 _MOJIBAKE = re.compile("(?:[Â-ß][\u0080-¿]|[à-ï][\u0080-¿]{2}|[ð-ô][\u0080-¿]{3})+")
 #: Private characters that stand for a link and ahead of a hashtag.
@@ -52,8 +63,8 @@ _LINK, _TAG = "\ue000", "\ue001"
 _REWRITES = (
     (r"""(?i)<a\s(?:[^<>]*\s)?href\s*=\s*["']?\s*[^"'#\s<>][^<>]*>""", f"\n {_LINK} "),
     (r"(?i)</a\s*>", "\n"),
-    (r"<(?:br|/?p|/?div|/?li|/?tr)\b[^<>]{0,200}>", "\n"),
-    (r"</?[A-Za-z][^<>]{0,200}>", " "),
+    (r"<(?:br|/?p|/?div|/?li|/?tr)\b[^<>]*>", "\n"),
+    (r"</?[A-Za-z][^<>]*>", " "),
     (r"&(?:#\d+|#x[0-9A-Fa-f]+|\w+);", " "),
     (r"\]\((?:https?://|www\.)[^\s)]*\)?", f" {_LINK} "),
     (r"(?:https?://|www\.)[^\s<>]+", f" {_LINK} "),
@@ -159,8 +170,8 @@ def _pack_mapper(config: SpamConfig):
             ids = batch["doc_id"]
             present = ids.is_valid().to_numpy(zero_copy_only=False)
             blobs = [small, each, ends.astype(np.int64), counts, pc.fill_null(ids, 0).to_numpy(), present]
-            row = {"pack": pack, **{f"b{i}": x.tobytes() for i, x in enumerate(blobs)}, "texts": text_keys(codes, each, ends)}
-            schema = pa.schema([("pack", pa.int64()), *((f"b{i}", pa.binary()) for i in range(len(blobs))), ("texts", pa.list_(pa.binary()))])
+            row = {"pack": pack, "bundle": (part << 32) + (number - 1) // BUNDLE, **{f"b{i}": x.tobytes() for i, x in enumerate(blobs)}, "texts": text_keys(codes, each, ends)}
+            schema = pa.schema([("pack", pa.int64()), ("bundle", pa.int64()), *((f"b{i}", pa.binary()) for i in range(len(blobs))), ("texts", pa.list_(pa.binary()))])
             yield pa.RecordBatch.from_pylist([row], schema)
 
     return mapper
@@ -174,42 +185,55 @@ def _pack_words(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     return codes, each, np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0)), len(ends)
 
 
+def _bundle_keys(asked: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of the requests of several packs, and the sums of their counts."""
+    if not asked:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    keys, place = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
+    return keys, np.bincount(place, weights=np.concatenate([a[1] for a in asked]), minlength=len(keys)).astype(np.int64)
+
+
 def _request_pieces(ranges: int):
-    """Requests of a pack cut by ranges of the keys; ``firsts`` has the places of its texts that count."""
-    schema = pa.schema([("pack", pa.int64()), ("piece", pa.int32()), ("keys", pa.binary()), ("own", pa.binary())])
+    """Requests of a bundle of packs, summed and cut by ranges of the keys; ``firsts`` has the texts that count."""
+    schema = pa.schema([("bundle", pa.int64()), ("piece", pa.int32()), ("keys", pa.binary()), ("own", pa.binary())])
 
     def request(packs: pa.Table, firsts: pa.Table) -> pa.Table:
-        rows = []
+        rows, asked = [], []
+        first_pack, first_place = firsts["pack"].to_numpy(), firsts["place"].to_numpy()
         for row in packs.to_pylist():
             codes, each, doc, n = _pack_words(row)
             counted = np.zeros(n, bool)
-            counted[firsts["place"].to_numpy()] = True
-            unique, total, _, _, _ = count_requests(codes, each, doc, counted)
-            of = (unique >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
-            cuts = np.searchsorted(of, np.arange(ranges + 1))
-            rows += [{"pack": row["pack"], "piece": r, "keys": unique[x:y].tobytes(), "own": total[x:y].astype(np.int32).tobytes()} for r, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
+            counted[first_place[first_pack == row["pack"]]] = True
+            asked.append(count_requests(codes, each, doc, counted)[:2])
+        keys, own = _bundle_keys(asked)
+        of = (keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+        cuts = np.searchsorted(of, np.arange(ranges + 1))
+        for r in np.flatnonzero(np.diff(cuts)).tolist():
+            x, y = cuts[r], cuts[r + 1]
+            rows.append({"bundle": packs["bundle"][0].as_py(), "piece": r, "keys": keys[x:y].tobytes(), "own": own[x:y].astype(np.uint32).tobytes()})
         return pa.Table.from_pylist(rows, schema)
 
     return request
 
 
 def _sum_piece(table: pa.Table) -> pa.Table:
-    """Corpus counts of one range of keys, as replies to the packs that asked."""
+    """Corpus counts of one range of keys, as replies to the bundles that asked."""
     keys = [np.frombuffer(k, np.uint64) for k in table["keys"].to_pylist()]
-    own = [np.frombuffer(k, np.int32) for k in table["own"].to_pylist()]
+    own = [np.frombuffer(k, np.uint32) for k in table["own"].to_pylist()]
     unique, place = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(place, weights=np.concatenate(own)).astype(np.int64)[place]
+    total = np.bincount(place, weights=np.concatenate(own)).astype(np.int64)
+    total = total.astype(np.uint32 if total.max() < 1 << 32 else np.int64)[place]
     replies = np.split(total, np.cumsum([len(k) for k in keys])[:-1])
-    return pa.table({"pack": table["pack"], "piece": table["piece"], "total": pa.array([r.tobytes() for r in replies], pa.binary())})
+    return pa.table({"bundle": table["bundle"], "piece": table["piece"], "width": pa.array([total.itemsize] * len(replies), pa.int32()), "total": pa.array([r.tobytes() for r in replies], pa.binary())})
 
 
-def _windows(flags: np.ndarray, doc: np.ndarray, reach: int) -> np.ndarray:
-    """Share of flags within ``reach`` places in the same document."""
-    sums = np.concatenate([[0], np.cumsum(flags)])
-    i = np.arange(len(flags))
+def _run_means(values: np.ndarray, doc: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean of the values within ``reach`` places in the same document, and their number."""
+    sums = np.concatenate([[0], np.cumsum(values, dtype=np.float64)])
+    i = np.arange(len(values))
     low = np.maximum(i - reach, np.searchsorted(doc, doc, "left"))
     high = np.minimum(i + reach + 1, np.searchsorted(doc, doc, "right"))
-    return (sums[high] - sums[low]) / np.maximum(high - low, 1)
+    return (sums[high] - sums[low]) / np.maximum(high - low, 1), high - low
 
 
 def _nearest(order: np.ndarray, same: np.ndarray, length: int) -> np.ndarray:
@@ -221,13 +245,13 @@ def _nearest(order: np.ndarray, same: np.ndarray, length: int) -> np.ndarray:
     return nearest
 
 
-def stuffed_words(codes: np.ndarray, each: np.ndarray, doc: np.ndarray, totals: np.ndarray, config: SpamConfig, docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Stuffed plain words and mean mutual information per document.  ``totals`` answers ``count_requests``."""
+def stuffed_words(codes: np.ndarray, each: np.ndarray, doc: np.ndarray, totals: np.ndarray, config: SpamConfig, docs: int, asked: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Stuffed plain words and mean mutual information per document.  ``totals`` answers ``asked``, of ``count_requests``."""
     size = len(each)
     at, pair, order = neighbours(codes, doc, size)
     if not len(at):
         return np.zeros(docs, np.int64), np.full(docs, np.nan)
-    unique, _, pairs, pair_place, word_place = count_requests(codes, each, doc)
+    _, _, pairs, pair_place, word_place = asked or count_requests(codes, each, doc)
     corpus = float(totals[word_place[-1]])
     left, right = totals[word_place[:size]].astype(float), totals[word_place[size : 2 * size]].astype(float)
     a, b, of = codes[at], codes[at + 1], doc[at]
@@ -262,8 +286,12 @@ def stuffed_words(codes: np.ndarray, each: np.ndarray, doc: np.ndarray, totals:
     tf, length = tf[who], np.bincount(doc, minlength=docs)[doc]
     bursty = (tf >= config.repeats) & (tf >= config.burst * length * (left[codes] + right[codes]) / (2 * corpus))
 
-    counts = ((pmi < config.least_pmi) | repeated & (near | ~passage)) & (bursty[at] | bursty[at + 1])
-    dense = _windows(counts, of, config.reach) >= config.density
+    keyword = bursty[at] | bursty[at + 1]
+    coherence = np.where(repeated & (near | ~passage) & keyword, 0.0, np.minimum(pmi, config.ceiling))
+    mean_here, _ = _run_means(coherence, of, config.reach)
+    mean_salad, pairs_around = _run_means(coherence, of, config.salad_reach)
+    dense = (mean_here < config.coherent) & (_run_means(keyword, of, config.reach)[0] >= config.keywords)
+    dense |= (mean_salad < config.salad) & (pairs_around >= config.salad_reach)
     stuffed = np.zeros(len(codes), bool)
     stuffed[at] |= dense
     stuffed[at + 1] |= dense
@@ -273,15 +301,19 @@ def stuffed_words(codes: np.ndarray, each: np.ndarray, doc: np.ndarray, totals:
 
 def _score_pack(config: SpamConfig):
     def score(packs: pa.Table, replies: pa.Table) -> pa.Table:
-        out = []
-        for row in packs.to_pylist():
+        out, order, asked = [], np.argsort(replies["piece"].to_numpy()), []
+        blobs, widths = replies["total"].to_pylist(), replies["width"].to_pylist()
+        totals = np.concatenate([np.frombuffer(blobs[i], np.uint32 if widths[i] == 4 else np.int64).astype(np.int64) for i in order]) if len(order) else np.empty(0, np.int64)
+        packs = packs.to_pylist()
+        for row in packs:
+            codes, each, doc, _ = _pack_words(row)
+            asked.append(count_requests(codes, each, doc))
+        keys, _ = _bundle_keys(asked)
+        for row, ask in zip(packs, asked):
             codes, each, doc, n = _pack_words(row)
             words, special = np.frombuffer(row["b3"], np.int64).reshape(2, n)
             ids, present = np.frombuffer(row["b4"], np.int64), np.frombuffer(row["b5"], bool)
-            order = np.argsort(replies["piece"].to_numpy())
-            blobs = replies["total"].to_pylist()
-            totals = np.concatenate([np.frombuffer(blobs[i], np.int64) for i in order])
-            stuffed, mean = stuffed_words(codes, each, doc, totals, config, n)
+            stuffed, mean = stuffed_words(codes, each, doc, totals[np.searchsorted(keys, ask[0])], config, n, ask)
             share = (stuffed + special) / np.maximum(words, 1)
             out.append(pa.table({"doc_id": pa.array(ids, pa.int64(), mask=~present), "words": words, "special": special, "stuffed": stuffed, "mean_pmi": pa.array(mean, from_pandas=True), "share": share}))
         return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "words": pa.array([], pa.int64()), "special": pa.array([], pa.int64()), "stuffed": pa.array([], pa.int64()), "mean_pmi": pa.array([], pa.float64()), "share": pa.array([], pa.float64())})
@@ -297,20 +329,23 @@ def stuffing_scores(documents: DataFrame, config: SpamConfig = SpamConfig(), ran
 
     Texts are split into words once, in packs of some megabytes that are written in compact form.  Of texts with the
     same plain words only the first counts, so copies don't make each other's pairs common; all get a verdict.  Each
-    pack asks for the corpus counts of its own pairs and words only: requests are summed by ranges of the pairs'
-    hashes, where a pair that all documents hold is one entry a pack, and the replies go back to the packs.  So no
-    corpus-wide table is collected or broadcast and no key is hot.
+    bundle of packs asks for the corpus counts of its own pairs and words only, summed ahead of the shuffle: requests
+    meet by ranges of the pairs' hashes, where a pair that all documents hold is one entry a bundle, and the replies go
+    back.  Ranges are as many as the corpus has words for (``RANGE_WORDS`` each), so that one stays within some
+    ten megabytes.  No corpus-wide table is collected or broadcast and no key is hot.
     """
     spark = documents.sparkSession
-    ranges = ranges or shuffle_width(spark)
     blobs = ", ".join(f"b{i} binary" for i in range(6))
-    packed, _ = write_table(pick(documents, "doc_id", "text").mapInArrow(_pack_mapper(config), f"pack long, {blobs}, texts array<binary>"), "packs")
-    texts = packed.select("pack", F.posexplode("texts").alias("place", "text"))
-    firsts = texts.groupBy("text").agg(F.min(F.struct("pack", "place")).alias("first")).select("first.pack", "first.place")
-    packs = packed.drop("texts").groupBy("pack")
-    requests = packs.cogroup(firsts.groupBy("pack")).applyInArrow(_request_pieces(ranges), "pack long, piece int, keys binary, own binary").repartition(ranges, "piece")
-    replies = requests.groupBy("piece").applyInArrow(_sum_piece, "pack long, piece int, total binary")
-    return packs.cogroup(replies.groupBy("pack")).applyInArrow(_score_pack(config), "doc_id long, words long, special long, stuffed long, mean_pmi double, share double")
+    packed, _ = write_table(pick(documents, "doc_id", "text").mapInArrow(_pack_mapper(config), f"pack long, bundle long, {blobs}, texts array<binary>"), "packs")
+    if ranges is None:
+        words = packed.agg(F.sum(F.octet_length("b0"))).first()[0] or 0
+        ranges = max(shuffle_width(spark), -(-words // (2 * RANGE_WORDS)))
+    texts = packed.select("bundle", "pack", F.posexplode("texts").alias("place", "text"))
+    firsts = texts.groupBy("text").agg(F.min(F.struct("bundle", "pack", "place")).alias("first")).select("first.bundle", "first.pack", "first.place")
+    packs = packed.drop("texts").groupBy("bundle")
+    requests = packs.cogroup(firsts.groupBy("bundle")).applyInArrow(_request_pieces(ranges), "bundle long, piece int, keys binary, own binary").repartition(ranges, "piece")
+    replies = requests.groupBy("piece").applyInArrow(_sum_piece, "bundle long, piece int, width int, total binary")
+    return packs.cogroup(replies.groupBy("bundle")).applyInArrow(_score_pack(config), "doc_id long, words long, special long, stuffed long, mean_pmi double, share double")
 
 
 def stuffed_pages(documents: DataFrame, config: SpamConfig = SpamConfig()) -> DataFrame:
