@@ -23,7 +23,7 @@ class SpamConfig:
     """When words count as stuffed, and a document as spam.
 
     A pair of neighbouring words has its pointwise mutual information in bits, from the counts of all other texts (copies
-    are one text), up to ``ceiling``; a repeated collocation has 0: one that the document holds ``repeats`` times and
+    are one text), up to ``ceiling``; a repeated collocation has ``repeated``: one that the document holds ``repeats`` times and
     more, at most ``near`` words apart or not as part of a repeated passage of ``passage`` words, with a bursty word.
     A word is bursty if it is there ``repeats`` times and ``burst`` times as often as in the corpus.
 
@@ -37,6 +37,7 @@ class SpamConfig:
     coherent: float = 0.5
     salad: float = -0.5
     ceiling: float = 1.0
+    repeated: float = -0.5
     smoothing: float = 1.0
     keywords: float = 0.7
     reach: int = 8
@@ -287,9 +288,9 @@ def stuffed_words(codes: np.ndarray, each: np.ndarray, doc: np.ndarray, totals:
     bursty = (tf >= config.repeats) & (tf >= config.burst * length * (left[codes] + right[codes]) / (2 * corpus))
 
     keyword = bursty[at] | bursty[at + 1]
-    coherence = np.where(repeated & (near | ~passage) & keyword, 0.0, np.minimum(pmi, config.ceiling))
+    coherence = np.where(repeated & (near | ~passage) & keyword, config.repeated, np.minimum(pmi, config.ceiling))
     mean_here, _ = _run_means(coherence, of, config.reach)
-    mean_salad, pairs_around = _run_means(coherence, of, config.salad_reach)
+    mean_salad, pairs_around = _run_means(np.minimum(pmi, config.ceiling), of, config.salad_reach)
     dense = (mean_here < config.coherent) & (_run_means(keyword, of, config.reach)[0] >= config.keywords)
     dense |= (mean_salad < config.salad) & (pairs_around >= config.salad_reach)
     stuffed = np.zeros(len(codes), bool)
