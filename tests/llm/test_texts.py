@@ -235,6 +235,40 @@ def test_leaks_against_brute_force(spark):
     assert {tuple(r) for r in found.collect()} == want and len(want) > 40
 
 
+@pytest.mark.parametrize("block_words", [30, 1_000_000])
+def test_short_items_and_dense_changes(spark, block_words):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)]
+    say = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [say(n) for n in (1, 2, 3, 3, 4, 4, 5, 6, 7, 9, 18, 30, 60)] + [["w1", "w1", "w2"], ["w3", "w3"], ["w4", "w5", "w4", "w5", "w4", "w5"]]
+    docs = []
+    for item in items:
+        for every in (3, 4, 5, 7):
+            docs.append(say(20) + [rng.choice(vocabulary) if i % every == every - 1 else w for i, w in enumerate(item)] + say(20))
+            docs.append(say(9) + [w for i, w in enumerate(item) if i % every] + say(9))
+        docs.append(say(5) + [x for w in item for x in ([w] if rng.random() < 0.8 else [w, "w299"])] + say(5))
+    docs += [["w1", "w1"], ["w2"], ["w3"], ["w4", "w5", "w4", "x", "w5"], [], say(400)]
+    df = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {tuple(r) for r in leakage.leaked_items(df, table, leakage.LeakConfig(block_words=block_words)).collect()}
+    want = {(d, i) for d, words in enumerate(docs) for i, item in enumerate(items) if naive_found(words, item, leakage.LeakConfig())}
+    assert got == want and len(want) > 120
+
+
+def test_common_words():
+    rng = random.Random(2)
+    for _ in range(200):
+        item, passage = (np.array([rng.randrange(6) for _ in range(rng.randrange(12))], np.uint64) for _ in range(2))
+        best = [[0] * (len(passage) + 1) for _ in range(len(item) + 1)]
+        for i, a in enumerate(item):
+            for j, b in enumerate(passage):
+                best[i + 1][j + 1] = best[i][j] + 1 if a == b else max(best[i][j + 1], best[i + 1][j])
+        places = leakage.common_words(item, passage)
+        assert len(places) == best[-1][-1] and places == sorted(set(places))
+        rest = iter(item.tolist())
+        assert all(int(passage[p]) in rest for p in places)
+
+
 def test_leak_dirt(spark, rows):
     item = " ".join(f"word{i} l'été" for i in range(10))
     kind = "doc_id long, text string, item_id int, words int"
