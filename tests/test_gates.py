@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from voxloom.config import Config, MusicConfig
+from voxloom.config import Config, Limits
 from voxloom.operators import gates
 
 CHUNK = "id int, start double, end double, text string, text_yt string, text_cohere string, text_source string, asr_language string, asr_confidence double, align_score double, boundary_clipped boolean"
@@ -61,7 +61,7 @@ def test_quality_and_music(spark):
     rows = [(0, None, None, None, None, None, None, None, None), (1, 0.01, -50.0, 1.0, 0.1, 1.0, 1.0, 0.2, 0.9), (2, 0.0, -inf, 30.0, 0.9, 3.0, 4.0, 0.0, 0.9), (3, nan, nan, nan, nan, nan, nan, nan, nan), (4, 0.0, -0.1, 30.0, 0.9, 3.0, 4.0, 0.1, 0.2), (5, 0.0, -3.0, 30.0, 0.9, 3.0, 2.9, 0.0, 0.0)]
     df = spark.createDataFrame(rows, kind)
     assert codes(gates.apply(df, gates.quality_cascade())) == [None, "quality:clipping", "quality:too_quiet", None, "quality:too_hot", "quality:mos"]
-    assert codes(gates.apply(df, gates.music_cascade(MusicConfig(reject=True)))) == [None, "music:accompaniment", "music:score", None, None, None]
+    assert codes(gates.apply(df, gates.music_cascade(Limits(reject_music=True)))) == [None, "music:accompaniment", "music:score", None, None, None]
     assert set(codes(gates.apply(df, gates.music_cascade()))) == {None}
 
 
@@ -88,8 +88,8 @@ def test_batch_entries(spark, rows):
 
 def test_config(tmp_path):
     path = tmp_path / "c.json"
-    path.write_text('{"segment": {"pad": 0.1}}')
-    config = Config.load(str(path), {"filters.min_words": 3})
-    assert (config.segment.pad, config.filters.min_words, config.quality.min_mos) == (0.1, 3, 3.0)
-    with pytest.raises(KeyError, match="segment.padding"):
-        Config.load(None, {"segment.padding": 1})
+    path.write_text('{"pieces": {"margin": 0.1}}')
+    config = Config.load(str(path), {"limits.words": 3, "limits.pace": [1, 2]})
+    assert (config.pieces.margin, config.limits.words, config.limits.mos, config.limits.pace) == (0.1, 3, 3.0, (1, 2))
+    with pytest.raises(KeyError, match="pieces.padding"):
+        Config.load(None, {"pieces.padding": 1})

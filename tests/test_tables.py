@@ -103,17 +103,24 @@ def test_signals(spark):
     tone = (0.5 * np.sin(np.arange(32_000) * 2 * np.pi * 997 / 16_000)).tolist()
     stats = A.signal_stats(tone)
     assert stats["peak_dbfs"] == pytest.approx(-6.02, abs=0.01) and stats["rms_dbfs"] == pytest.approx(-9.03, abs=0.01)
-    assert A.signal_stats([])["peak_dbfs"] == float("-inf") and np.isnan(A.signal_stats([0.1])["snr_db"])
+    silent = A.signal_stats([0.0] * 8192)
+    assert silent["peak_dbfs"] == float("-inf") and np.isnan(silent["snr_db"]) and np.isnan(A.signal_stats([0.1])["snr_db"])
+    assert np.isnan(A.signal_stats([])["peak_dbfs"]) and A.signal_stats([])["clipping_ratio"] == 1.0
+    assert np.isnan(A.signal_stats([0.0] * 4096 + [0.5] * 4096)["snr_db"])  # the quiet frames are no signal
+    assert A.signal_stats([0.01] * 4096 + [0.1] * 4096)["snr_db"] == pytest.approx(20.0)
     assert A.integrated_loudness(tone, 16_000) == pytest.approx(-9.03, abs=0.1) and np.isnan(A.integrated_loudness([0.0], 16_000))
-    assert np.abs(A.limited_gain(tone, 40)).max() == pytest.approx(10 ** (-1 / 20))
-    assert len(A.trim_silence([0.0] * 16_000 + tone + [0.0] * 16_000, 16_000)) == 32_000 + 2 * 3200
+    gains = spark.createDataFrame([(tone, 40.0), (tone, -6.0), (tone, float("nan")), (tone, 0.0), (tone, None), ([0.0, 0.0], 6.0), ([], 6.0), (None, 6.0)], "x array<double>, g double")
+    peaks = [r[0] for r in gains.select(F.array_max(F.transform(A.limited_gain(F.col("x"), F.col("g")), F.abs))).collect()]
+    assert peaks[:6] == pytest.approx([10 ** (-1 / 20), 0.5 * 10 ** (-6 / 20), 0.5, 0.5, 0.5, 0.0], abs=1e-4) and peaks[6:] == [None, None]
+    quiet = spark.createDataFrame([([0.0] * 16_000 + tone + [0.0] * 16_000, 16_000), (tone[:500], 16_000), ([0.0] * 1000, 16_000), ([], 16_000), (None, 16_000)], "x array<double>, r int")
+    assert [r[0] for r in quiet.select(F.size(A.trim_silence(F.col("x"), F.col("r")))).collect()] == [32_000 + 2 * 3200, 500, 960, 0, None]
     assert len(A.linear_resample(tone, 16_000, 24_000)) == 48_000
     content = A.wav_bytes([0.0, 0.5, -0.5, 2.0] * 4000, 16_000)
     assert A.wav_seconds(content) == 1.0 and A.wav_seconds(b"x") == 0.0
     assert wave.open(io.BytesIO(content)).getframerate() == 16_000
     assert len(A.wav_samples(content, 0.25, 9.0)) == 12_000
     df = spark.createDataFrame([(tone, 16_000)], "x array<double>, r int")
-    row = df.select(A.signal_stats_udf("x").alias("s"), A.loudness_udf("x", "r").alias("l"), F.size(M.energy_regions("x", "r", F.lit(-40.0))).alias("n")).first()
+    row = df.select(A.signal_stats_udf("x", F.lit(1024)).alias("s"), A.loudness_udf("x", "r").alias("l"), F.size(M.energy_regions("x", "r", F.lit(-40.0))).alias("n")).first()
     assert row["s"]["clipping_ratio"] == 0.0 and row["n"] == 1
 
 

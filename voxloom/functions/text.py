@@ -153,22 +153,27 @@ def cer_within(ref: Column, hyp: Column, most: float) -> Column:
     return F.when((r == "") | (h == ""), r == h).otherwise(F.levenshtein(r, h) <= bound)
 
 
-@F.arrow_udf(S.DoubleType())
-def wer_of_normal(refs: pa.Array, hyps: pa.Array) -> pa.Array:
-    """Word error rate of normalized texts, with the edge cases of the character error rate."""
+_CODED = pa.struct([("ref", pa.string()), ("hyp", pa.string())])
+
 
-    def rate(ref: str, hyp: str) -> float:
+@F.arrow_udf(S.StructType().add("ref", S.StringType()).add("hyp", S.StringType()))
+def coded_words(refs: pa.Array, hyps: pa.Array) -> pa.Array:
+    """Two texts with each word as one character, the same for the same word, so that characters stand for words."""
+
+    def code(ref: str, hyp: str) -> dict:
         a, b = ref.split(), hyp.split()
-        if not a or not b:
-            return float(bool(a) != bool(b))
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            above, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                above, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, above + (x != y))
-        return row[-1] / len(a)
-
-    return pa.array([None if r is None or h is None else rate(r, h) for r, h in zip(refs.to_pylist(), hyps.to_pylist())], pa.float64())
+        # characters other than surrogates, as many as different words
+        codes = {w: chr(i + 0x100 if i < 0xD700 else i + 0x900) for i, w in enumerate(dict.fromkeys(a + b))}
+        return {"ref": "".join(codes[w] for w in a), "hyp": "".join(codes[w] for w in b)}
+
+    return pa.array([None if r is None or h is None else code(r, h) for r, h in zip(refs.to_pylist(), hyps.to_pylist())], _CODED)
+
+
+def wer_of_normal(refs: Column, hyps: Column) -> Column:
+    """Word error rate of normalized texts, with the edge cases of the character error rate."""
+    coded = coded_words(refs, hyps)
+    r, h = coded["ref"], coded["hyp"]
+    return F.when((r == "") & (h == ""), 0.0).when((r == "") | (h == ""), 1.0).otherwise(F.levenshtein(r, h) / F.char_length(r))
 
 
 def wer(ref: Column, hyp: Column) -> Column:

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.config import FilterConfig, MusicConfig, QualityConfig
+from voxloom.config import Limits
 from voxloom.functions import text as T
 
 #: Sources whose text comes from recognition alone, and the one among them with confidence from 0 to 1.
@@ -57,7 +57,7 @@ def number(c: str) -> Column:
     return F.when(~F.isnan(c), F.col(c))
 
 
-def resolve_text(chunks: DataFrame, kind: str = "yt", backend: str = "cohere", limits: FilterConfig = FilterConfig()) -> DataFrame:
+def resolve_text(chunks: DataFrame, kind: str = "yt", backend: str = "cohere", limits: Limits = Limits()) -> DataFrame:
     """Choose each chunk's text of captions and recognition, with their error rate; disagreement and absence reject.
 
     Both there: the captions' text, rejected if the rate exceeds the limit.  Only recognition: its text.  Only
@@ -71,37 +71,37 @@ def resolve_text(chunks: DataFrame, kind: str = "yt", backend: str = "cohere", l
         "text": F.when(yt, F.col("text_yt")).otherwise(F.col("text_cohere")),
         "text_source": F.when(yt, kind).when(asr, backend).otherwise("none"),
     })
-    cascade = Cascade().gate("text:cer", F.col("cer_yt_vs_cohere") > limits.max_cer_yt_vs_cohere, F.col("cer_yt_vs_cohere")).gate("text:asr_empty", yt & ~asr).gate("text:empty", ~yt & ~asr)
+    cascade = Cascade().gate("text:cer", F.col("cer_yt_vs_cohere") > limits.disagreement, F.col("cer_yt_vs_cohere")).gate("text:asr_empty", yt & ~asr).gate("text:empty", ~yt & ~asr)
     return apply(chosen, cascade)
 
 
-def _text_cascade(text: Column, limits: FilterConfig, confidence_fails: Column, cps: Column) -> Cascade:
+def _text_cascade(text: Column, limits: Limits, confidence_fails: Column, cps: Column) -> Cascade:
     language = F.coalesce(F.nullif(F.col("asr_language"), F.lit("")), F.lit("ar"))
     count, ratio = F.size(T.words(text)), T.script_ratio(text, language)
     return (
         Cascade()
         .gate("text:empty", T.present(text) == "")
-        .gate("text:too_short", count < limits.min_words, count)
-        .gate("text:script", ratio < limits.min_script_ratio, ratio)
+        .gate("text:too_short", count < limits.words, count)
+        .gate("text:script", ratio < limits.script_share, ratio)
         .gate("text:asr_confidence", confidence_fails, F.col("asr_confidence"))
-        .gate("text:cps_low", cps < limits.min_chars_per_sec, cps)
-        .gate("text:cps_high", cps > limits.max_chars_per_sec, cps)
+        .gate("text:cps_low", cps < limits.pace[0], cps)
+        .gate("text:cps_high", cps > limits.pace[1], cps)
     )
 
 
-def floor_of(source: Column, limits: FilterConfig) -> Column:
+def floor_of(source: Column, limits: Limits) -> Column:
     """Least confidence for a text source: from 0 to 1 for one, a mean log-probability for the others."""
-    return F.when(source.isin("google", "google_batch"), limits.min_asr_confidence_google).otherwise(limits.min_asr_confidence)
+    return F.when(source.isin("google", "google_batch"), limits.confidence).otherwise(limits.log_confidence)
 
 
-def text_gates(chunks: DataFrame, limits: FilterConfig = FilterConfig(), min_align_score: float = -5.5) -> DataFrame:
+def text_gates(chunks: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Gates on the chosen text: empty, words, script, confidence of recognized texts, pace, clipped words, alignment."""
     alone = F.col("text_source").isin(*RECOGNIZED)
     cps = T.chars_per_second(F.col("text"), F.col("end") - F.col("start"))
     cascade = _text_cascade(F.col("text"), limits, alone & (number("asr_confidence") < floor_of(F.col("text_source"), limits)), cps)
-    if limits.drop_boundary_clipped_words:
+    if limits.reject_cut_words:
         cascade.gate("text:boundary_clipped", F.col("boundary_clipped"))
-    cascade.gate("align:score", ~alone & (number("align_score") < min_align_score), F.col("align_score"))
+    cascade.gate("align:score", ~alone & (number("align_score") < limits.alignment), F.col("align_score"))
     out = apply(chunks, cascade)
     fresh = F.col("reject_code").isNull() | F.col("reject_code").startswith("text:") | F.col("reject_code").startswith("align:")
     language = F.coalesce(F.nullif(F.col("asr_language"), F.lit("")), F.lit("ar"))
@@ -112,7 +112,7 @@ def text_gates(chunks: DataFrame, limits: FilterConfig = FilterConfig(), min_ali
     })
 
 
-def row_gates(rows: DataFrame, limits: FilterConfig = FilterConfig()) -> DataFrame:
+def row_gates(rows: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Gates on stored rows after late recognition; rows still ``pending`` pass untouched.
 
     The text is the recognized one, the pace counts no vowel marks, and there are no gates on clipping or alignment.
@@ -121,31 +121,31 @@ def row_gates(rows: DataFrame, limits: FilterConfig = FilterConfig()) -> DataFra
     done = rows.filter(~pending).withColumn("text_cohere", T.clean_for_output(F.col("text_cohere")))
     done = done.withColumns({"text": F.col("text_cohere"), "cer_yt_vs_cohere": F.lit(None).cast("double")})
     cps = T.chars_per_second(T.strip_marks(F.col("text")), F.col("duration"))
-    gated = apply(done.drop("reject_code", "reject_value"), _text_cascade(F.col("text"), limits, number("asr_confidence") < limits.min_asr_confidence_google, cps))
+    gated = apply(done.drop("reject_code", "reject_value"), _text_cascade(F.col("text"), limits, number("asr_confidence") < limits.confidence, cps))
     return gated.unionByName(rows.filter(pending).withColumns({"reject_code": F.lit(None).cast("string"), "reject_value": F.lit(None).cast("double")}), allowMissingColumns=True)
 
 
-def quality_cascade(limits: QualityConfig = QualityConfig()) -> Cascade:
+def quality_cascade(limits: Limits = Limits()) -> Cascade:
     """Gates on signal measures; null and NaN pass, silence of minus infinity is too quiet."""
     peak = number("peak_dbfs")
     return (
         Cascade()
-        .gate("quality:clipping", number("clipping_ratio") > limits.max_clipping_ratio, F.col("clipping_ratio"))
-        .gate("quality:too_quiet", peak < limits.min_peak_dbfs, peak)
-        .gate("quality:too_hot", peak > limits.max_peak_dbfs, peak)
-        .gate("quality:snr", number("snr_db") < limits.min_snr_db, F.col("snr_db"))
-        .gate("quality:stoi", number("squim_stoi") < limits.min_stoi, F.col("squim_stoi"))
-        .gate("quality:pesq", number("squim_pesq") < limits.min_pesq, F.col("squim_pesq"))
-        .gate("quality:mos", number("squim_mos") < limits.min_mos, F.col("squim_mos"))
+        .gate("quality:clipping", number("clipping_ratio") > limits.clipped_share, F.col("clipping_ratio"))
+        .gate("quality:too_quiet", peak < limits.peak_dbfs[0], peak)
+        .gate("quality:too_hot", peak > limits.peak_dbfs[1], peak)
+        .gate("quality:snr", number("snr_db") < limits.snr_db, F.col("snr_db"))
+        .gate("quality:stoi", number("squim_stoi") < limits.stoi, F.col("squim_stoi"))
+        .gate("quality:pesq", number("squim_pesq") < limits.pesq, F.col("squim_pesq"))
+        .gate("quality:mos", number("squim_mos") < limits.mos, F.col("squim_mos"))
     )
 
 
-def music_cascade(limits: MusicConfig = MusicConfig()) -> Cascade:
+def music_cascade(limits: Limits = Limits()) -> Cascade:
     """Gates on accompaniment, then on the music score; none unless the configuration rejects music."""
     cascade = Cascade()
-    on = F.lit(limits.reject)
-    cascade.gate("music:accompaniment", on & (number("accompaniment_ratio") > limits.max_accompaniment_ratio), F.col("accompaniment_ratio"))
-    return cascade.gate("music:score", on & (number("music_score") > limits.max_music_score), F.col("music_score"))
+    on = F.lit(limits.reject_music)
+    cascade.gate("music:accompaniment", on & (number("accompaniment_ratio") > limits.accompaniment), F.col("accompaniment_ratio"))
+    return cascade.gate("music:score", on & (number("music_score") > limits.music), F.col("music_score"))
 
 
 def export_cascade(text: Column, min_words: int = 2, shortest: float = 1.0, longest: float = 30.0, drop_digits: bool = True, canonical: bool = False) -> Cascade:

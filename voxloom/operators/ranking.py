@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,14 +16,25 @@ def _rank_in_part(keys: list[str]):
     """Arrow mapper: rank of each row within partition and key; rows come sorted by key."""
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: object = object()
+        last: list | None = None
         rank = 0
         for batch in batches:
-            ranks = []
-            for key in zip(*(batch[k].to_pylist() for k in keys)) if keys else ((),) * batch.num_rows:
-                rank = rank + 1 if key == last else 1
-                last = key
-                ranks.append(rank)
+            n = batch.num_rows
+            if not n:
+                continue
+            opens = np.zeros(n, bool)
+            for k in keys:
+                column = batch[k] if pa.types.is_dictionary(batch[k].type) else batch[k].dictionary_encode(null_encoding="encode")
+                codes = column.indices.to_numpy(zero_copy_only=False)
+                opens[1:] |= codes[1:] != codes[:-1]
+            first = [batch[k][0].as_py() for k in keys]
+            opens[0] = first != last
+            starts = np.flatnonzero(opens)
+            ranks = np.arange(1, n + 1)
+            if len(starts):
+                ranks[starts[0] :] -= np.repeat(starts, np.diff(np.append(starts, n)))
+            ranks[: starts[0] if len(starts) else n] += rank
+            last, rank = [batch[k][n - 1].as_py() for k in keys], int(ranks[-1])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ranks, pa.int64())], names=[*batch.schema.names, "rank_in_part_"])
 
     return mapper

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom import inference
-from voxloom.config import Config, MusicConfig
+from voxloom.config import Config, Limits
 from voxloom.functions import sources as U
 from voxloom.functions import text as T
 from voxloom.functions import vectors as V
@@ -21,7 +21,7 @@ from voxloom.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 CONFIG = Config()
-HOSTS = CONFIG.source.hosts, CONFIG.source.short_hosts
+HOSTS = CONFIG.sources.hosts, CONFIG.sources.short_hosts
 __all__ = ["oracle_sql", "queries"]
 
 
@@ -218,7 +218,7 @@ def queries() -> dict[str, Query]:
         "q_resolve_text": _resolve,
         "q_row_gates": lambda s, d: gates.row_gates(unique_clips(s, d)).select("audio_file", "reject_code"),
         "q_quality_gates": lambda s, d: gates.apply(unique_clips(s, d), gates.quality_cascade()).select("audio_file", "reject_code", "reject_value"),
-        "q_music_gates": lambda s, d: gates.apply(unique_clips(s, d), gates.music_cascade(MusicConfig(reject=True))).select("audio_file", "reject_code"),
+        "q_music_gates": lambda s, d: gates.apply(unique_clips(s, d), gates.music_cascade(Limits(reject_music=True))).select("audio_file", "reject_code"),
         "q_export_rows": lambda s, d: gates.summarize(gates.apply(unique_clips(s, d).withColumn("duration", F.nanvl("duration", F.lit(None))), gates.export_cascade(T.squeeze(T.present(F.col("text")))))),
         "q_rejection_summary": lambda s, d: tables.with_share(gates.summarize(t(s, d, "chunks")), "rows"),
         "q_diacritized_status": _diacritized,
@@ -300,7 +300,7 @@ def queries() -> dict[str, Query]:
         "q_stand_ins": _stand_ins,
         "q_reference_clips": lambda s, d: inference.reference_clip(unique_clips(s, d)),
         "q_single_speaker": lambda s, d: inference.diarized_or_single(millis(s, d), t(s, d, "videos").select("video_id", F.lit(1000).alias("duration"))).groupBy("video_id").agg(F.count("*").alias("turns"), F.count_if(F.col("speaker") == "SPEAKER_00").alias("given")),
-        "q_signal_stats": lambda s, d: t(s, d, "embeddings").select("vec_id", signal_stats_udf(F.transform("embedding", lambda x: x.cast("double"))).alias("s")).select("vec_id", F.round("s.peak_dbfs", 6).alias("peak_dbfs"), "s.clipping_ratio"),
+        "q_signal_stats": lambda s, d: t(s, d, "embeddings").select("vec_id", signal_stats_udf(F.transform("embedding", lambda x: x.cast("double")), F.lit(8)).alias("s")).select("vec_id", F.round("s.peak_dbfs", 6).alias("peak_dbfs"), "s.clipping_ratio"),
         "q_best_label": lambda s, d: unique_clips(s, d).select("audio_file", V.best(F.array(F.struct(F.lit("music").alias("label"), "music_score"), F.struct(F.lit("speech").alias("label"), F.col("speech_score").alias("music_score"))), lambda x: F.coalesce(F.nanvl(x["music_score"], F.lit(-1.0)), F.lit(-1.0)))["label"].alias("label")),
         # streams
         "q_stream_sessions": lambda s, d: _stream(s, d, lambda e: streams.gap_sessions(e, "user_id", "ts", "6 hours"), "sessions"),
