@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions import vectors as V
@@ -110,8 +110,9 @@ def link_speakers(centroids: DataFrame, threshold: float = 0.35, block: str | No
 
 def number_labels(pooled: DataFrame) -> DataFrame:
     """``(cluster, global_speaker)``, numbered from 00 by seconds, then members, then name."""
-    rank = F.row_number().over(Window.orderBy(F.desc("seconds"), F.desc("members"), "cluster")) - 1
-    return pooled.select("cluster", F.concat(F.lit("GLOBAL_SPEAKER_"), F.when(rank < 100, F.lpad(rank.cast("string"), 2, "0")).otherwise(rank.cast("string"))).alias("global_speaker"))
+    ranked = range_ranked(pooled, [], [F.desc("seconds"), F.desc("members"), F.col("cluster")], "rank_")
+    rank = F.col("rank_") - 1
+    return ranked.select("cluster", F.concat(F.lit("GLOBAL_SPEAKER_"), F.when(rank < 100, F.lpad(rank.cast("string"), 2, "0")).otherwise(rank.cast("string"))).alias("global_speaker"))
 
 
 def drop_thin(linked: DataFrame, seconds: DataFrame, least: float = 30.0) -> DataFrame:

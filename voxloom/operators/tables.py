@@ -99,20 +99,22 @@ def _summable(column: str) -> Column:
     return F.when(F.abs(F.col(column)) < LARGEST_SUMMAND, F.col(column)).cast("decimal(20,6)")
 
 
-def _total_seconds() -> Column:
+def total_seconds() -> Column:
     """Sum of ``duration``; a null, NaN or infinite one is 0."""
     return F.sum(F.coalesce(_summable("duration"), F.lit(0).cast("decimal(20,6)"))).cast("double")
 
 
 def seconds_by(table: DataFrame, *keys: str) -> DataFrame:
     """Seconds and clips per key; a null, NaN or infinite duration is 0."""
-    return table.groupBy(*keys).agg(_total_seconds().alias("seconds"), F.count("*").alias("clips"))
+    return table.groupBy(*keys).agg(total_seconds().alias("seconds"), F.count("*").alias("clips"))
 
 
 def with_share(counts: DataFrame, value: str) -> DataFrame:
     """Adds ``share``: of the total, which is 0 for an empty table."""
-    total = F.sum(value).over(Window.partitionBy(F.lit(0)))
-    return counts.withColumn("share", F.col(value) / F.greatest(total, F.lit(1)))
+    names = counts.columns
+    one = lambda df: df.withColumn("one_", F.lit(1))
+    total = one(counts.agg(F.sum(value).alias("total_")))  # one row
+    return one(counts).join(F.broadcast(total), "one_").select(*names, (F.col(value) / F.greatest("total_", F.lit(1))).alias("share"))
 
 
 def speaker_summary(clips: DataFrame, key: str = "speaker", samples: int = 5) -> DataFrame:
@@ -124,7 +126,7 @@ def speaker_summary(clips: DataFrame, key: str = "speaker", samples: int = 5) ->
     at = F.row_number().over(Window.partitionBy(key).orderBy("audio_file"))
     first = clips.select(key, "audio_file", at.alias("at_")).filter(F.col("at_") <= samples).groupBy(key).agg(F.sort_array(F.collect_list("audio_file")).alias("samples"))
     grouped = clips.groupBy(key).agg(
-        _total_seconds().alias("seconds"),
+        total_seconds().alias("seconds"),
         F.count("*").alias("clips"),
         F.count_distinct("video_id").alias("episodes"),
         (F.sum(score).cast("double") / F.count(score)).alias("mean_mos"),
@@ -132,10 +134,19 @@ def speaker_summary(clips: DataFrame, key: str = "speaker", samples: int = 5) ->
     return grouped.join(first, key, "left").withColumn("hours", F.col("seconds") / 3600)
 
 
+def known_seconds() -> Column:
+    """``duration`` where it is a finite number above 0, else null."""
+    return F.when((F.col("duration") > 0) & (F.col("duration") < float("inf")), F.col("duration"))
+
+
 def export_stats(clips: DataFrame) -> DataFrame:
-    """One row on an export: clips, seconds, shortest, longest and mean duration, voices, recordings."""
-    seconds = F.sum(F.col("duration").cast("decimal(20,6)")).cast("double")
-    return clips.agg(F.count("*").alias("clips"), seconds.alias("seconds"), F.min("duration").alias("shortest"), F.max("duration").alias("longest"), (seconds / F.count("duration")).alias("mean"), F.count_distinct("speaker").alias("voices"), F.count_distinct("video_id").alias("recordings"))
+    """One row on an export: clips, seconds, shortest, longest and mean duration, voices, recordings.
+
+    Durations that are null, NaN, infinite or not above 0 count as clips but not among the lengths.
+    """
+    known = clips.withColumn("duration", known_seconds())
+    n = F.count("duration")
+    return known.agg(F.count("*").alias("clips"), total_seconds().alias("seconds"), F.min("duration").alias("shortest"), F.max("duration").alias("longest"), (total_seconds() / F.nullif(n, F.lit(0))).alias("mean"), F.count_distinct("speaker").alias("voices"), F.count_distinct("video_id").alias("recordings"))
 
 
 def top_with_rest(table: DataFrame, key: str, value: str, n: int) -> DataFrame:
@@ -147,8 +158,9 @@ def top_with_rest(table: DataFrame, key: str, value: str, n: int) -> DataFrame:
 
 
 def billable_seconds(duration: Column, step: float = 15.0) -> Column:
-    """Seconds billed for a request: whole steps, at least one."""
-    return F.greatest(F.lit(step), F.ceil(duration / step) * step)
+    """Seconds billed for a request: whole steps, at least one; a duration that is no finite number is 0."""
+    known = F.when(F.abs(duration) < LARGEST_SUMMAND, duration).otherwise(0.0)
+    return F.greatest(F.lit(step), F.ceil(known / step) * step)
 
 
 def estimated_cost(seconds: Column, per_minute: float) -> Column:
@@ -208,4 +220,4 @@ def slice_rows(table: DataFrame, ordinal: str, skip: int, stop: int | None = Non
 def totals(kept: DataFrame, rejected: DataFrame) -> DataFrame:
     """One row: videos, kept and rejected clips, hours; a null, NaN or infinite duration is 0."""
     tagged = kept.select("video_id", "duration", F.lit(1).alias("k")).unionByName(rejected.select(F.lit(None).cast("string").alias("video_id"), F.lit(None).cast("double").alias("duration"), F.lit(0).alias("k")))
-    return tagged.agg(F.count_distinct("video_id").alias("videos"), F.coalesce(F.sum("k"), F.lit(0)).alias("kept"), F.coalesce(F.sum(1 - F.col("k")), F.lit(0)).alias("rejected"), (F.coalesce(_total_seconds(), F.lit(0.0)) / 3600).alias("hours"))
+    return tagged.agg(F.count_distinct("video_id").alias("videos"), F.coalesce(F.sum("k"), F.lit(0)).alias("kept"), F.coalesce(F.sum(1 - F.col("k")), F.lit(0)).alias("rejected"), (F.coalesce(total_seconds(), F.lit(0.0)) / 3600).alias("hours"))

@@ -14,9 +14,10 @@ from voxloom.functions import text as T
 from voxloom.functions import vectors as V
 from voxloom.functions.audio import signal_stats_udf
 from voxloom.functions.labels import label_key
-from voxloom.operators import coverage, gates, intervals, sequence, speakers, tables
+from voxloom.operators import coverage, exports, gates, intervals, sequence, speakers, tables
 from voxloom.plans.sql import oracle_sql
-from voxloom.sources import readers
+from voxloom.sources import readers, writers
+from voxloom.storage import scratch
 from voxloom.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,7 +64,7 @@ def unique_clips(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _gate_reasons(s: SparkSession, d: str) -> DataFrame:
-    return gates.apply_counts(gates.text_gates(table(s, d, "chunks")))
+    return gates.text_gates(table(s, d, "chunks")).select("video_id", "chunk_index", "reject_code")
 
 
 def _resolve(s: SparkSession, d: str) -> DataFrame:
@@ -108,12 +109,12 @@ def _link(s: SparkSession, d: str) -> DataFrame:
 
 
 def _purity(s: SparkSession, d: str) -> DataFrame:
-    return speakers.purity(embedded(s, d), ["label"], "embedding", ["vec_id"]).select("vec_id", "off_speaker")
+    return speakers.purity(embedded(s, d), ["label"], "embedding", ["vec_id"]).select("vec_id", "off_speaker", F.round("speaker_distance", 6).alias("distance"))
 
 
 def _centroids(s: SparkSession, d: str) -> DataFrame:
     c = speakers.mean_vectors(embedded(s, d), ["label"], "embedding")
-    return c.select("label", F.size("centroid").alias("dimensions"), F.round(V.norm(F.col("centroid")), 6).alias("length"))
+    return c.select("label", F.posexplode("centroid").alias("dimension", "x")).withColumn("x", F.round("x", 6))
 
 
 def _records(s: SparkSession, d: str) -> DataFrame:
@@ -122,13 +123,15 @@ def _records(s: SparkSession, d: str) -> DataFrame:
 
 
 def _manifest(s: SparkSession, d: str) -> DataFrame:
-    clips = unique_clips(s, d).filter(F.col("duration").between(1, 30)).withColumn("voice", F.coalesce(label_key(F.col("speaker")), "video_id"))
+    clips = unique_clips(s, d).withColumn("voice", F.coalesce(label_key(F.col("speaker")), "video_id"))
     refs = tables.drop_short_refs(sequence.assign_references(clips, F.col("voice"), [F.col("audio_file")]), 2.0)
-    return tables.manifest_rows(refs, "audio/", T.clean_text(tables.pick_text("cohere")))
+    lines = tables.manifest_rows(refs, "audio/", T.clean_text(tables.pick_text("cohere")))
+    kind = "struct<audio:string,text:string,duration:double,ref_audio:string,ref_duration:double,speaker:string,video_id:string>"
+    return lines.select(F.from_json("value", kind).alias("line")).select("line.*")
 
 
 def _references(s: SparkSession, d: str) -> DataFrame:
-    clips = unique_clips(s, d).filter(F.col("duration").between(0, 1000)).withColumn("voice", F.coalesce(label_key(F.col("speaker")), "video_id"))
+    clips = unique_clips(s, d).withColumn("voice", F.coalesce(label_key(F.col("speaker")), "video_id"))
     return sequence.assign_references(clips, F.col("voice"), [F.col("audio_file")]).select("audio_file", "ref_audio", "ref_duration")
 
 
@@ -164,8 +167,7 @@ def _predictions(s: SparkSession, d: str) -> DataFrame:
 
 
 def _state(s: SparkSession, d: str) -> DataFrame:
-    clips = unique_clips(s, d).withColumn("d", F.when((F.col("duration") > 0) & (F.col("duration") < 1000), F.col("duration")).otherwise(0.0))
-    states = clips.groupBy("video_id").agg(F.count("*").alias("kept"), F.lit(0).cast("long").alias("rejected"), F.sum(F.col("d").cast("decimal(20,6)")).cast("double").alias("seconds_kept"), F.lit(True).alias("complete"))
+    states = unique_clips(s, d).groupBy("video_id").agg(F.count("*").alias("kept"), F.lit(0).cast("long").alias("rejected"), tables.total_seconds().alias("seconds_kept"), F.lit(True).alias("complete"))
     found = table(s, d, "videos").select(F.col("video_id").alias("source_id"))
     return readers.run_state(states, found)
 
@@ -197,7 +199,7 @@ def _recognized(s: SparkSession, d: str) -> DataFrame:
 
 
 def _stand_ins(s: SparkSession, d: str) -> DataFrame:
-    clips = unique_clips(s, d).select("audio_file", "video_id", "speaker", F.when((F.col("duration") > 0) & (F.col("duration") < 1000), F.col("duration")).otherwise(0.0).alias("duration"))
+    clips = unique_clips(s, d).select("audio_file", "video_id", "speaker", "duration")
     scored = clips.select("*", inference.stand_in_embedding("audio_file", "duration").alias("v"), inference.stand_in_scores("audio_file").alias("m"))
     return scored.select("audio_file", V.is_zero(F.col("v")).alias("too_short"), F.round(V.norm(F.col("v")), 6).alias("length"), "m.squim_mos")
 
@@ -208,6 +210,168 @@ def _stream(s: SparkSession, d: str, build: Callable[[DataFrame], DataFrame], na
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c, kind in out.dtypes if kind == "timestamp"})
 
 
+def heard_words(s: SparkSession, d: str) -> DataFrame:
+    """Caption words as recognized ones, with a score of eighths by their place."""
+    return stream_words(s, d).withColumn("score", F.col("pos") % 8 / 8)
+
+
+def clips_in_ms(s: SparkSession, d: str) -> DataFrame:
+    """Current clips with times in whole milliseconds."""
+    return unique_clips(s, d).select("audio_file", "video_id", "chunk_index", coverage.clock(F.col("start")).alias("start"), coverage.clock(F.col("end")).alias("end"), "text_cohere", "text_source", "asr_confidence", "aligned_words", "squim_stoi")
+
+
+def _late(s: SparkSession, d: str) -> DataFrame:
+    out = exports.late_transcripts(clips_in_ms(s, d), heard_words(s, d), width=60_000)
+    return out.select("audio_file", "text_cohere", "text_source", "asr_confidence", "aligned_words")
+
+
+def _two_stages(s: SparkSession, d: str) -> DataFrame:
+    return exports.reference_of_batches(clips_in_ms(s, d), ["chunk_index", "audio_file"]).select("audio_file", "batch", "reference", "late")
+
+
+def _cut_audio(s: SparkSession, d: str) -> DataFrame:
+    v = embedded(s, d).select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("x"), (F.col("vec_id") % 7 / 8).alias("start"), (F.col("vec_id") % 11 / 8).alias("end"), F.when(F.col("vec_id") % 10 == 0, "quality:snr").alias("reject_code"))
+    cut = exports.cut_audio(v, F.col("x"), F.lit(64), 48, F.lit(6.0))
+    return cut.select("vec_id", "reject_code", F.size("audio").alias("samples"), F.round(F.get("audio", F.lit(0)), 6).alias("first"))
+
+
+def _best_language(s: SparkSession, d: str) -> DataFrame:
+    one = lambda lang, text, conf: F.struct(F.lit(lang).alias("language"), F.col(text).alias("text"), F.when(~F.isnan(conf), F.col(conf)).alias("confidence"))
+    best = exports.best_language(F.array(one("ar", "text_yt", "align_score"), one("en", "text", "asr_confidence"), one("fr", "text_cohere", "asr_confidence")))
+    return table(s, d, "chunks").select("video_id", "chunk_index", best.alias("b")).select("video_id", "chunk_index", "b.*")
+
+
+def _flag_report(s: SparkSession, d: str) -> DataFrame:
+    clips = unique_clips(s, d).select("audio_file", "video_id", "speaker", "text", F.coalesce("asr_language", F.lit("unclear")).alias("dialect"), F.nanvl("asr_confidence", F.lit(0.0)).alias("sure"))
+    out = exports.flag_report(clips, ["video_id", "speaker"], "dialect", "sure", "audio_file", ["studio", "signal", "archive", "clip", "guest"], ["ar", "unclear"])
+    tally = F.array_join(F.transform(F.map_entries("flag_speaker_votes"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), " ")
+    return out.select("audio_file", "flag_dialect", "flag_confidence", "flag_basis", "flag_clip_dialect", "flag_clip_confidence", "flag_speaker_dialect", tally.alias("flag_speaker_votes"), F.array_join("flag_lexical_markers", " ").alias("flag_lexical_markers"), "place")
+
+
+def _results(s: SparkSession, d: str) -> DataFrame:
+    return exports.video_results(unique_clips(s, d), table(s, d, "chunks").filter("reject_code IS NOT NULL"), table(s, d, "videos"))
+
+
+def _video_results(s: SparkSession, d: str) -> DataFrame:
+    reasons = F.array_join(F.transform(F.map_entries("reasons"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), " ")
+    return _results(s, d).withColumn("reasons", reasons)
+
+
+def linked(s: SparkSession, d: str) -> DataFrame:
+    """A global speaker for each speaker whose name's hash begins with a digit."""
+    voices = table(s, d, "metadata").select("speaker").filter("speaker IS NOT NULL").distinct()
+    return voices.withColumn("h", F.md5("speaker")).filter(F.col("h").rlike("^[0-9]")).select("speaker", F.concat(F.lit("GLOBAL_SPEAKER_0"), F.substring("h", 1, 1)).alias("global_speaker"))
+
+
+def _replaced(s: SparkSession, d: str) -> DataFrame:
+    rows = unique_clips(s, d)
+    cache = rows.filter("text_source <> 'google'").select("audio_file", F.col("text_cohere").alias("text"), F.when(F.col("text_cohere") != "", "ok").otherwise("empty").alias("status"))
+    updated, gone, diffs, report = exports.replaced_texts(rows, rows.filter("boundary_clipped IS NULL OR NOT boundary_clipped"), cache)
+    path = scratch(s, "replaced")
+    for _ in range(2):
+        writers.write_retranscribed(path, rows.select("audio_file", "text"), updated.select("audio_file", "text"), gone.select("audio_file"), diffs, report)
+    counted = lambda part, df: df.agg(F.lit(part).alias("part"), F.count("*").alias("rows"))
+    at = lambda name: writers.VersionedTable(s, f"{path}/{name}").read()
+    out = counted("before", s.read.parquet(f"{path}/before"))
+    for name in ("metadata", "orphans", "diffs"):
+        out = out.unionByName(counted(name, at(name)))
+    return out.unionByName(report.select(F.lit("report").alias("part"), F.col("transcripts_identical").alias("rows")))
+
+
+def _written_split(s: SparkSession, d: str) -> DataFrame:
+    rows, kept, rejected = table(s, d, "chunks").select("video_id", "chunk_index", "reject_code", "reject_value"), scratch(s, "kept"), scratch(s, "rejected")
+    # judged twice: at first all are kept but those of a text that is missing, then by their reason
+    writers.write_split(rows.withColumn("reject_code", F.when(F.col("reject_code") == "text:empty", "x")), kept, rejected)
+    writers.write_split(rows, kept, rejected)
+    part = lambda path, name: s.read.parquet(path).groupBy("video_id").agg(F.count("*").alias("rows")).withColumn("part", F.lit(name))
+    return part(kept, "kept").unionByName(part(rejected, "rejected"))
+
+
+def _versioned(s: SparkSession, d: str) -> DataFrame:
+    store = writers.VersionedTable(s, scratch(s, "versions"))
+    store.replace(table(s, d, "chunks").select("video_id", "chunk_index", "text"))
+    store.replace(store.read().filter("text <> ''"))
+    return store.read()
+
+
+def _failed(s: SparkSession, d: str) -> DataFrame:
+    path = scratch(s, "failed")
+    if not writers.write_failed(table(s, d, "videos").select(F.col("video_url").alias("url"), "error"), path):
+        return s.createDataFrame([], "spec string")
+    return readers.read_specs(s, path).select("spec")
+
+
+def _jsonl(s: SparkSession, d: str) -> DataFrame:
+    path, rows = scratch(s, "lines"), table(s, d, "chunks").select("video_id", "chunk_index", "text")
+    for _ in range(2):
+        writers.append_lines(rows, path)
+    return readers.read_jsonl(s, path, "video_id string, chunk_index int, text string")
+
+
+def _cache_lines(s: SparkSession, d: str) -> DataFrame:
+    path, clips = scratch(s, "cache"), unique_clips(s, d)
+    clips.select("audio_file", F.lit("error").alias("status")).write.json(f"{path}/pass=1")
+    clips.filter("text_source = 'cohere'").select("audio_file", F.lit("ok").alias("status")).write.json(f"{path}/pass=2")
+    s.createDataFrame([('{"audio_file": "torn', ), ("", )], "value string").write.text(f"{path}/pass=3")
+    return readers.read_cache(s, path, "audio_file string, status string")
+
+
+def _word_cache(s: SparkSession, d: str) -> DataFrame:
+    path = scratch(s, "words")
+    writers.write_word_cache(stream_words(s, d).select("video_id", "pos", "text", (F.col("start") / 1000 + 0.0001).alias("start"), (F.col("end") / 1000).alias("end"), (F.col("pos") % 8 / 8).alias("score")), path)
+    return readers.read_word_cache(s, path).select("video_id", "pos", "text", coverage.clock(F.col("start")).alias("start"), coverage.clock(F.col("end")).alias("end"), "score")
+
+
+def _diarization(s: SparkSession, d: str) -> DataFrame:
+    turn = F.struct((F.col("start") / 1000).alias("start"), (F.col("end") / 1000).alias("end"), "speaker")
+    content = millis(s, d).groupBy("video_id").agg(F.to_json(F.struct(F.sort_array(F.collect_list(turn)).alias("turns"))).alias("content"))
+    turns, _ = readers.diarization_turns(content)
+    return turns.select("video_id", coverage.clock(F.col("start")).alias("start"), coverage.clock(F.col("end")).alias("end"), "speaker")
+
+
+def _listing(s: SparkSession, d: str) -> DataFrame:
+    v = table(s, d, "videos").select("video_id", "title", F.concat(F.lit("channel:"), "channel").alias("channel"))
+    below = v.select(F.coalesce("channel", F.lit("root")).alias("parent"), F.col("video_id").alias("child"), F.lit(True).alias("is_video"), "title")
+    lists = v.filter("channel IS NOT NULL").select(F.lit("root").alias("parent"), F.col("channel").alias("child"), F.lit(False).alias("is_video"), F.col("channel").alias("title")).distinct()
+    listing = below.unionByName(lists).select("*", F.pmod(F.xxhash64("child"), F.lit(1_000_000)).cast("int").alias("position"), F.lit(None).cast("string").alias("live_status"))
+    return readers.expand_listing(s, s.createDataFrame([("root", 0)], "spec string, ordinal long"), listing).select("spec", "depth")
+
+
+def _tracks(s: SparkSession, d: str) -> DataFrame:
+    offered = F.when(F.col("lang").isNotNull(), F.array("lang")).otherwise(F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    track = readers.choose_track(F.when(F.col("kind") == "caption", offered).otherwise(none), offered, ["ar*", "en"])
+    return table(s, d, "documents").select("doc_id", track.alias("t")).select("doc_id", "t.lang", "t.kind")
+
+
+def _newest(s: SparkSession, d: str) -> DataFrame:
+    files = table(s, d, "documents").filter("video_id IS NOT NULL AND crawled_at IS NOT NULL").select("video_id", F.concat(F.col("doc_id").cast("string"), F.lit("."), F.coalesce("lang", F.lit("und")), F.when(F.col("doc_id") % 2 == 0, ".json3").otherwise(".vtt")).alias("path"), F.col("crawled_at").cast("timestamp").alias("modified"))
+    return readers.newest_file(files, "video_id", ["ar", "en"])
+
+
+def _stream_commits(s: SparkSession, d: str) -> DataFrame:
+    path, kind = scratch(s, "committed"), table(s, d, "chunks").schema
+    for n in range(2):  # a second run from the start replaces what the first one wrote
+        streams.commit_videos(streams.increments(s, f"{d}/chunks.parquet*", kind, None), path, scratch(s, f"progress{n}"))
+    return s.read.parquet(path).groupBy("video_id").agg(F.count("*").alias("chunks"))
+
+
+def _first_arrivals(s: SparkSession, d: str) -> DataFrame:
+    events = streams.increments(s, f"{d}/events.parquet*", table(s, d, "events").schema, None).withColumn("ts", F.col("ts").cast("timestamp"))
+    return streams.collected(streams.first_arrivals(events.select("user_id", "ts"), "user_id", "ts"), "arrivals").select("user_id")
+
+
+def _shard_names(s: SparkSession, d: str) -> DataFrame:
+    rows = table(s, d, "lineitem").select("l_linestatus", "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("long").alias("bytes"))
+    shards = sequence.shards_after_reach(rows, ["l_linestatus"], ["l_orderkey", "l_linenumber", "bytes"], "bytes", 5_000_000).groupBy("l_linestatus", "shard").agg(F.count("*").alias("rows"))
+    return shards.select(exports.numbered_shards(shards, "l_linestatus", "shard").alias("name"), "rows")
+
+
+def _commit_batches(s: SparkSession, d: str) -> DataFrame:
+    files = table(s, d, "orders").select(F.col("o_orderpriority").alias("folder"), F.format_string("%012d", "o_orderkey").alias("path"), F.col("o_totalprice").cast("long").alias("bytes"))
+    return writers.commit_batches(files, 40, 4_000_000).groupBy("folder", "batch").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+
+
 def queries() -> dict[str, Query]:
     """Name to query."""
     t = table
@@ -228,11 +392,11 @@ def queries() -> dict[str, Query]:
         "q_clean_output": lambda s, d: t(s, d, "chunks").select("video_id", "chunk_index", T.clean_for_output(F.col("text_yt")).alias("clean")),
         "q_clean_text": lambda s, d: t(s, d, "documents").select("doc_id", T.clean_text(F.col("text")).alias("clean")),
         "q_normalize": lambda s, d: t(s, d, "documents").select("doc_id", T.normalize(F.col("text")).alias("normal")),
-        "q_vowel_marks": lambda s, d: t(s, d, "documents").select("doc_id", T.has_marks(F.col("text")).alias("has"), T.marks_ratio(F.col("text")).alias("ratio"), F.char_length(T.strip_marks(F.col("text"))).alias("bare_chars"), F.char_length(T.strip_final_marks(F.col("text"))).alias("final_chars")),
+        "q_vowel_marks": lambda s, d: t(s, d, "documents").select("doc_id", T.has_marks(F.col("text")).alias("has"), T.marks_ratio(F.col("text")).alias("ratio"), T.strip_marks(F.col("text")).alias("bare"), T.strip_final_marks(F.col("text")).alias("without_final")),
         "q_error_rates": _error_rates,
-        "q_alignment_words": lambda s, d: t(s, d, "chunks").select("video_id", "chunk_index", F.size(T.alignment_words(F.col("text_yt"))).alias("words")),
+        "q_alignment_words": lambda s, d: t(s, d, "chunks").select("video_id", "chunk_index", T.alignment_words(F.col("text_yt")).alias("words")),
         "q_markers": lambda s, d: t(s, d, "chunks").select("video_id", "chunk_index", F.array_join(T.lexical_markers(F.lower(F.col("text")), ["studio", "signal", "archive", "clip", "guest"]), " ").alias("markers")),
-        "q_markup": lambda s, d: t(s, d, "documents").select("doc_id", F.char_length(T.strip_tags(T.present(F.col("text")))).alias("chars")),
+        "q_markup": lambda s, d: t(s, d, "documents").select("doc_id", T.strip_tags(T.present(F.col("text"))).alias("bare")),
         "q_prompts": lambda s, d: t(s, d, "videos").select("video_id", T.fill_template("Transcribe {title} ({lang}).", title=F.coalesce("title", F.lit("?")), lang=F.coalesce("language", F.lit("ar"))).alias("prompt")),
         # sources
         "q_url_ids": lambda s, d: t(s, d, "videos").select("video_id", U.source_id(F.col("video_url"), *HOSTS).alias("source_id"), U.is_local(F.col("video_url")).alias("is_local")),
@@ -244,7 +408,7 @@ def queries() -> dict[str, Query]:
         "q_caption_cues": _cues,
         "q_caption_events": _events,
         "q_run_state": _state,
-        "q_pending_sources": lambda s, d: readers.pending_sources(t(s, d, "metadata").select("video_id").distinct().withColumn("complete", F.lit(True)), t(s, d, "videos").select(F.col("video_id").alias("source_id"))),
+        "q_pending_sources": lambda s, d: readers.pending_sources(t(s, d, "chunks").groupBy("video_id").agg(F.count_if("boundary_clipped").alias("n")).select("video_id", (F.col("n") == 0).alias("complete")), t(s, d, "videos").select(F.col("video_id").alias("source_id"))),
         # intervals and words
         "q_merge_gap": lambda s, d: intervals.merge_same_speaker(disjoint(s, d), 300),
         "q_overlap_sweep": lambda s, d: intervals.overlapped_speech(millis(s, d), 1, 0, 60_000),
@@ -285,13 +449,13 @@ def queries() -> dict[str, Query]:
         "q_totals": lambda s, d: tables.totals(unique_clips(s, d), t(s, d, "chunks").filter("reject_code IS NOT NULL")),
         "q_top_speakers": lambda s, d: tables.top_with_rest(tables.seconds_by(unique_clips(s, d).filter("speaker IS NOT NULL"), "speaker"), "speaker", "seconds", 15),
         "q_speaker_summary": lambda s, d: tables.speaker_summary(unique_clips(s, d).withColumn("voice", label_key(F.col("speaker"))).filter("voice IS NOT NULL"), "voice"),
-        "q_billable": lambda s, d: unique_clips(s, d).filter("duration > 0 AND duration < 1000").agg(F.sum(tables.billable_seconds(F.col("duration")).cast("long")).alias("billable"), tables.estimated_cost(F.sum(F.col("duration").cast("decimal(20,6)")).cast("double"), 0.016).alias("cost")),
-        "q_export_stats": lambda s, d: tables.export_stats(unique_clips(s, d).filter("duration > 0 AND duration < 1000")),
+        "q_billable": lambda s, d: unique_clips(s, d).agg(F.sum(tables.billable_seconds(F.col("duration")).cast("long")).alias("billable"), tables.estimated_cost(tables.total_seconds(), 0.016).alias("cost"), exports.token_estimate(tables.total_seconds()).alias("million_tokens")),
+        "q_export_stats": lambda s, d: tables.export_stats(unique_clips(s, d)),
         "q_references": _references,
         "q_train_validation": _train_validation,
         "q_manifest": _manifest,
         "q_regrouped_paths": lambda s, d: t(s, d, "metadata").select("audio_file", tables.regrouped_path(F.col("speaker"), F.col("audio_file")).alias("path")).distinct(),
-        "q_shards": lambda s, d: sequence.shards_after_reach(t(s, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("long").alias("bytes")), ["l_returnflag"], ["l_orderkey", "l_linenumber"], "bytes", 5_000_000).groupBy("l_returnflag", "shard").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("rows")),
+        "q_shards": lambda s, d: sequence.shards_after_reach(t(s, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("long").alias("bytes")), ["l_returnflag"], ["l_orderkey", "l_linenumber", "bytes"], "bytes", 5_000_000).groupBy("l_returnflag", "shard").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("rows")),
         "q_batches": lambda s, d: sequence.batches_before_exceed(chunk_spans(s, d).select("video_id", "chunk_index", (F.col("end") - F.col("start")).alias("ms")), ["video_id"], ["chunk_index"], "ms", 20_000, 4),
         "q_fixed_batches": lambda s, d: sequence.fixed_batches(t(s, d, "chunks").select("video_id", "chunk_index"), ["video_id"], [F.col("chunk_index")], 8),
         "q_slice_rows": lambda s, d: tables.slice_rows(t(s, d, "documents").select("doc_id"), "doc_id", 100, 5000),
@@ -300,10 +464,39 @@ def queries() -> dict[str, Query]:
         "q_stand_ins": _stand_ins,
         "q_reference_clips": lambda s, d: inference.reference_clip(unique_clips(s, d)),
         "q_single_speaker": lambda s, d: inference.diarized_or_single(millis(s, d), t(s, d, "videos").select("video_id", F.lit(1000).alias("duration"))).groupBy("video_id").agg(F.count("*").alias("turns"), F.count_if(F.col("speaker") == "SPEAKER_00").alias("given")),
-        "q_signal_stats": lambda s, d: t(s, d, "embeddings").select("vec_id", signal_stats_udf(F.transform("embedding", lambda x: x.cast("double")), F.lit(8)).alias("s")).select("vec_id", F.round("s.peak_dbfs", 6).alias("peak_dbfs"), "s.clipping_ratio"),
+        "q_signal_stats": lambda s, d: t(s, d, "embeddings").select("vec_id", signal_stats_udf(F.transform("embedding", lambda x: x.cast("double")), F.lit(8)).alias("s")).select("vec_id", "s.peak_dbfs", "s.rms_dbfs", "s.clipping_ratio", "s.snr_db"),
         "q_best_label": lambda s, d: unique_clips(s, d).select("audio_file", V.best(F.array(F.struct(F.lit("music").alias("label"), "music_score"), F.struct(F.lit("speech").alias("label"), F.col("speech_score").alias("music_score"))), lambda x: F.coalesce(F.nanvl(x["music_score"], F.lit(-1.0)), F.lit(-1.0)))["label"].alias("label")),
         # streams
         "q_stream_sessions": lambda s, d: _stream(s, d, lambda e: streams.gap_sessions(e, "user_id", "ts", "6 hours"), "sessions"),
         "q_stream_dedupe": lambda s, d: streams.collected(streams.dedupe_stream(streams.increments(s, f"{d}/events.parquet*", t(s, d, "events").schema, None).select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("at")).withWatermark("ts", "10 minutes"), ["user_id", "event_type"], "at", "ts", 3.6e9), "kept").select("event_id", "user_id"),
         "q_stream_windows": lambda s, d: _stream(s, d, lambda e: streams.tumbling(e, ["event_type"], "ts", "15 minutes"), "windows"),
+        # datasets: late transcripts, scores, audio, sinks read back
+        "q_late_transcripts": _late,
+        "q_two_stage_scores": _two_stages,
+        "q_cut_audio": _cut_audio,
+        "q_best_language": _best_language,
+        "q_flag_report": _flag_report,
+        "q_marks_report": lambda s, d: exports.marks_report(t(s, d, "documents")),
+        "q_run_summary": lambda s, d: exports.run_summary(_results(s, d)),
+        "q_video_results": _video_results,
+        "q_speaker_document": lambda s, d: exports.speaker_document(unique_clips(s, d), linked(s, d)),
+        "q_global_speakers": lambda s, d: exports.with_global_speakers(unique_clips(s, d).select("audio_file", "speaker", "global_speaker"), linked(s, d), t(s, d, "metadata").filter("text <> ''").select("audio_file")),
+        "q_replaced_texts": _replaced,
+        "q_centroid_union": lambda s, d: readers.centroid_union(embedded(s, d).select((F.col("vec_id") % 97).alias("speaker"), F.col("vec_id").alias("file"), F.get("embedding", F.lit(0)).alias("first"))),
+        "q_written_split": _written_split,
+        "q_versioned": _versioned,
+        "q_failed_list": _failed,
+        "q_jsonl": _jsonl,
+        "q_cache_lines": _cache_lines,
+        "q_word_cache": _word_cache,
+        "q_diarization": _diarization,
+        "q_listing": _listing,
+        "q_tracks": _tracks,
+        "q_newest_file": _newest,
+        "q_stream_commits": _stream_commits,
+        "q_first_arrivals": _first_arrivals,
+        "q_retry_queue": lambda s, d: streams.retry_queue(unique_clips(s, d).select("audio_file", "video_id"), t(s, d, "metadata").select("audio_file", F.when(F.col("squim_mos") >= 3, "ok").otherwise("low").alias("status"))),
+        "q_shard_names": _shard_names,
+        "q_commit_batches": _commit_batches,
+        "q_to_upload": lambda s, d: writers.to_upload(t(s, d, "chunks").select(F.concat_ws("/", "video_id", "chunk_index").alias("path")), t(s, d, "metadata").select(F.concat_ws("/", "video_id", "chunk_index").alias("path"))),
     }

@@ -145,13 +145,30 @@ def read_jsonl(spark: SparkSession, path: str, schema: S.StructType | str) -> Da
 def read_cache(spark: SparkSession, path: str, schema: str, key: str = "audio_file") -> DataFrame:
     """Append-only cache of JSON lines: malformed lines dropped, the last line of a key wins.
 
-    Order is that of files by name and of lines in them.
+    Order is that of files by path and of lines in them.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_"), F.monotonically_increasing_id().alias("line_"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_"), F.monotonically_increasing_id().alias("line_"))
     parsed = lines.select("file_", "line_", F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r")).filter(F.col(f"r.{key}").isNotNull())
     return last_wins(parsed.select("file_", "line_", "r.*"), [key], ["file_", "line_"]).drop("file_", "line_")
 
 
+def read_word_cache(spark: SparkSession, path: str) -> DataFrame:
+    """Words that ``writers.write_word_cache`` wrote; a video without words has no rows."""
+    kind = "pos int, text string, start double, end double, score double, video_id string"
+    return spark.read.schema(kind).parquet(path).select("video_id", "pos", "text", "start", "end", "score")
+
+
+def centroid_union(archives: DataFrame, key: str = "speaker", file: str = "file") -> DataFrame:
+    """Centroids of several archives, one per key: of those with the same key that of the later file counts."""
+    return last_wins(archives, [key], [file])
+
+
+def read_centroids(spark: SparkSession, path: str) -> DataFrame:
+    """``(speaker, centroid)`` of a folder of archives, one file per recording; see ``centroid_union``."""
+    raw = spark.read.schema("speaker string, centroid array<double>").parquet(path).select("speaker", F.col("_metadata.file_path").alias("file"), "centroid")
+    return centroid_union(raw).drop("file")
+
+
 def cached_words(caches: DataFrame) -> DataFrame:
     """Recognized words of per-video JSON (``video_id``, ``content``): ``(video_id, pos, text, start, end, score)``.
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxloom.operators.sequence import batches_before_exceed
 from voxloom.storage import delete_path
 
 
@@ -181,7 +182,7 @@ def write_shards(table: DataFrame, path: str, by: list[str]) -> None:
 def write_failed(results: DataFrame, path: str) -> int:
     """Failed sources as text that can be fed again; without any, the file goes. Returns their number."""
     spark = results.sparkSession
-    failed = results.filter("error IS NOT NULL").select(F.col("url").alias("value"))
+    failed = results.filter("error IS NOT NULL AND url IS NOT NULL").select(F.col("url").alias("value"))
     n = failed.count()
     if n:
         failed.write.mode("overwrite").text(path)
@@ -199,3 +200,42 @@ def markdown_card(title: str, stats: dict[str, object], notes: str = "") -> str:
     """A card with a table of figures."""
     rows = "\n".join(f"| {k} | {v} |" for k, v in stats.items())
     return f"# {title}\n\n{notes}\n\n| figure | value |\n| --- | --- |\n{rows}\n"
+
+
+def write_word_cache(words: DataFrame, path: str) -> None:
+    """Recognized words by video, times to three and scores to four decimals; a video written again is replaced."""
+    rounded = words.select("video_id", "pos", "text", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"), F.round("score", 4).alias("score"))
+    replace_partitions(rounded.filter(F.col("video_id").isNotNull()), path)
+
+
+def write_retranscribed(folder: str, rows: DataFrame, updated: DataFrame, orphans: DataFrame, diffs: DataFrame, report: DataFrame) -> None:
+    """Tables of a renewed transcription: the rows of before are kept once, and never written over."""
+    spark = rows.sparkSession
+    _, backup, fs = _fs(spark, f"{folder}/before/_SUCCESS")
+    if not fs.exists(backup):
+        rows.write.mode("overwrite").parquet(f"{folder}/before")
+    for name, table in (("metadata", updated), ("orphans", orphans), ("diffs", diffs)):
+        VersionedTable(spark, f"{folder}/{name}").replace(table)
+    write_document(report, f"{folder}/report.json")
+
+
+def delete_spent(files: DataFrame) -> int:
+    """Delete the listed files (``path``, ``is_local``, ``keep``) but for local sources and those to keep; their number.
+
+    Paths stream through the driver one by one.
+    """
+    spark, n = files.sparkSession, 0
+    for row in files.filter("path IS NOT NULL AND NOT coalesce(is_local, true) AND NOT coalesce(keep, false)").select("path").distinct().toLocalIterator():
+        delete_path(spark, row["path"])
+        n += 1
+    return n
+
+
+def commit_batches(files: DataFrame, most_files: int, most_bytes: int) -> DataFrame:
+    """Adds ``batch`` to files (``folder``, ``path``, ``bytes``): commits of a folder close before they grow too large."""
+    return batches_before_exceed(files, ["folder"], ["path"], "bytes", most_bytes, most_files)
+
+
+def to_upload(files: DataFrame, listing: DataFrame, key: str = "path") -> DataFrame:
+    """Files that a store's listing doesn't have."""
+    return files.join(listing.select(key).distinct(), key, "left_anti")

@@ -48,6 +48,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/voxloom/{name}-{uuid.uuid4().hex}"
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """Unused path below the shared root that ``release`` deletes."""
+    path = new_path(spark, name)
+    _WRITTEN.append((spark, path))
+    return path
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove ``path`` through Hadoop's file system, whatever its scheme."""
     jvm = spark.sparkContext._jvm
@@ -61,9 +68,8 @@ def write_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     Compressed parquet is several times smaller than an RDD checkpoint and keeps column pruning.
     """
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    _WRITTEN.append((spark, path))
     return spark.read.schema(df.schema).parquet(path), path
 
 
