@@ -64,6 +64,15 @@ def test_capping_by_share_and_ties(spark):
     assert got.columns == ["id", "who", "c", "kept"]
 
 
+def test_capping_by_share_alone(spark):
+    df = spark.createDataFrame([(i, "hot") for i in range(101)] + [(i, "b") for i in range(200, 203)] + [(300, None)], "id int, who string")
+    kept = sorted(r["id"] for r in capping.cap_contributors(df, "who", [(F.col("id"), "asc")], None, 0.5).filter("kept").collect())
+    assert kept == [*range(51), 200, 201, 300]
+    assert capping.cap_contributors(df.limit(0), "who", [(F.col("id"), "asc")], None, 0.5).count() == 0
+    with pytest.raises(ValueError, match="neither"):
+        capping.cap_contributors(df, "who", [(F.col("id"), "asc")], None)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_cutoffs(spark, seed):
     rows = dirty(seed)
@@ -111,6 +120,11 @@ def test_packing(spark):
     assert packing.pack_items(spark.createDataFrame([], "id string, size long"), 30).count() == 0
 
 
+def test_packing_report(spark):
+    rows = [(f"f{i}", "v", "a", d, 1.0) for i, d in enumerate([29.0, 1.0, 31.0, 90.0, 0.5, 12.0, None, NAN, -1.0] * 20)]
+    assert tuple(packing.packing_report(table(spark, rows)).first()) == (120, 0, 0, True)
+
+
 def test_packing_is_tight():
     rng = np.random.default_rng(1)
     for low, high, slack in ((500, 12_000, 1.01), (100, 30_000, 1.06)):

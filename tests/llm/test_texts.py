@@ -132,6 +132,15 @@ def test_canonical_is_stable_and_composed(text):
     assert _SAME(form) == form and unicodedata.is_normalized("NFC", form) and _SAME(unicodedata.normalize("NFD", text)) == form
 
 
+@pytest.mark.parametrize(("text", "want"), [
+    ("кот и кит", "кот и кит"), ("και τα", "και τα"), ("привет", "привет"), ("сор", "cop"), ("tоkеn", "token"), ("Ꭰоg", "Dog"),
+    ("а\u0301b", "\u00e1b"), ("ى\u0654 ", "ى\u0654".replace("ى", "ى")), ("ی\u0654ا", unicodedata.normalize("NFC", "ي\u0654ا")), ("e\u200b\u0301", "\u00e9"),
+])
+def test_words_of_other_scripts_stay(text, want):
+    got = canonical.make_canonical()(text)
+    assert got == want.strip() and unicodedata.is_normalized("NFC", got)
+
+
 _SAME = canonical.make_canonical()
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -11,14 +10,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from voxloom.functions.columns import pick
+from voxloom.llm.words import worker_state
 
-#: Letters of other scripts that look like Latin ones, in Unicode order, with those.
+#: Letters of other scripts that the public table of confusable characters takes for Latin ones, in
+#: Unicode order, with those.  Letters that only resemble one, as the small Greek and Cyrillic k and t, aren't among them.
 LOOK_ALIKES = {
-    "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
-    "α": "a", "γ": "y", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "σ": "o", "υ": "u", "χ": "x", "ϲ": "c", "ϳ": "j", "Ϲ": "C", "Ϳ": "J",
+    "ı": "i", "ɑ": "a", "ɡ": "g", "ɩ": "i",
+    "Ϳ": "J", "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
+    "α": "a", "γ": "y", "ι": "i", "ν": "v", "ο": "o", "ρ": "p", "σ": "o", "υ": "u", "ϲ": "c", "ϳ": "j", "Ϲ": "C",
     "Ѕ": "S", "І": "I", "Ј": "J", "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X",
-    "а": "a", "е": "e", "к": "k", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j", "Ү": "Y", "ү": "y", "һ": "h", "Ӏ": "I", "ӏ": "l", "ԁ": "d", "ԛ": "q", "Ԛ": "Q", "ԝ": "w", "Ԝ": "W",
-    "ɑ": "a", "ɡ": "g", "ɩ": "i", "ı": "i", "ո": "n", "օ": "o", "ս": "u", "ց": "g", "հ": "h", "զ": "q",
+    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j", "ѵ": "v", "Ү": "Y", "ү": "y", "һ": "h", "Ӏ": "I", "ӏ": "l", "ԁ": "d", "Ԛ": "Q", "ԛ": "q", "Ԝ": "W", "ԝ": "w",
+    "զ": "q", "հ": "h", "ո": "n", "ս": "u", "ց": "g", "օ": "o",
+    "Ꭰ": "D", "Ꭱ": "R", "Ꭲ": "T", "Ꭵ": "i", "Ꭺ": "A", "Ꭻ": "J", "Ꭼ": "E", "Ꮃ": "W", "Ꮇ": "M", "Ꮋ": "H", "Ꮐ": "G", "Ꮓ": "Z", "Ꮩ": "V", "Ꮪ": "S", "Ꮮ": "L", "Ꮯ": "C", "Ꮲ": "P", "Ꮶ": "K", "Ᏼ": "B",
+    "Ⲏ": "H", "Ⲕ": "K", "Ⲙ": "M", "Ⲛ": "N", "Ⲟ": "O", "ⲟ": "o", "Ⲣ": "P", "ⲣ": "p", "Ⲥ": "C", "ⲥ": "c", "Ⲧ": "T", "Ⲩ": "Y", "Ⲭ": "X",
 }
 #: Arabic letters that look like another where they join the next letter (their dots then agree).
 JOINED_ALIKES = {"ی": "ي", "ک": "ك", "ى": "ي", "ہ": "ه", "ە": "ه"}
@@ -79,9 +83,9 @@ def make_canonical():
     unstable = unstable_class()
     segment = re.compile(f".?[{unstable}]+", re.S)
     foreign = re.compile("[" + "".join(LOOK_ALIKES) + "]")
-    word = re.compile(r"[^\W\d_]+")
-    arabic = re.compile("[" + "".join({*JOINED_ALIKES, *FINAL_ALIKES}) + "]")
-    after = re.compile(r"[ؐ-ًؚ-ٰٟۖ-ۜ]*([ؠ-يٮ-ۓەۺ-ۼ])?")
+    word = re.compile(r"[^\W\d_](?:[^\W\d_]|[̀-ͯ])*")
+    marked = r"([ؐ-ًؚ-ٰٟۖ-ۜ]*)"
+    arabic = re.compile("([" + "".join({*JOINED_ALIKES, *FINAL_ALIKES}) + "])" + marked + r"(?=([ؠ-يٮ-ۓەۺ-ۼ])?)")
     blanks = re.compile(r"\s+")
     plain = re.compile(r"[!-~]+(?: [!-~]+)*")
     cache: dict[str, str] = {}
@@ -106,23 +110,22 @@ def make_canonical():
         return unicodedata.normalize("NFC", foreign.sub(lambda m: LOOK_ALIKES[m.group()], unicodedata.normalize("NFD", held)))
 
     def shape(match: re.Match) -> str:
-        """An Arabic letter as it looks before what follows."""
-        joins = after.match(match.string, match.end()).group(1)
-        return (JOINED_ALIKES if joins else FINAL_ALIKES).get(match.group(), match.group())
+        """An Arabic letter as it looks before what follows, composed with its marks."""
+        letter, marks, joins = match.groups()
+        known = (JOINED_ALIKES if joins else FINAL_ALIKES).get(letter, letter)
+        return unicodedata.normalize("NFC", known + marks) if marks else known
 
     def canonical(text: str | None) -> str | None:
         if text is None or plain.fullmatch(text):
             return text
         if not text.isascii():
+            # a segment begins with the character that its first mark may join, and what follows a run of unstable
+            # characters joins nothing, so its ends are its own; letters that are resolved take their marks along
             text = segment.sub(settle, text)
-            if not unicodedata.is_normalized("NFC", text):  # a splice may meet a character that it composes with
-                text = unicodedata.normalize("NFC", text)
             if foreign.search(text):
                 text = word.sub(latin, text)
             if arabic.search(text):
                 text = arabic.sub(shape, text)
-            if not unicodedata.is_normalized("NFC", text):  # a letter that was resolved may compose with its marks
-                text = unicodedata.normalize("NFC", text)
         elif re.search(r"[\x00-\x08\x0e-\x1b\x7f]", text):
             text = segment.sub(settle, text)
         return blanks.sub(" ", text).strip()
@@ -131,14 +134,11 @@ def make_canonical():
 
 
 def _worker_canonical():
-    """``make_canonical`` once per worker process; it is kept on a module that tasks share."""
-    if (made := getattr(unicodedata, "_corpus_canonical", None)) is None:
-        made = make_canonical()
-        try:
-            unicodedata._corpus_canonical = made
-        except AttributeError:
-            sys.modules["_corpus_canonical"] = made
-    return made
+    """``make_canonical`` once per worker process."""
+    state = worker_state()
+    if "canonical" not in state:
+        state["canonical"] = make_canonical()
+    return state["canonical"]
 
 
 def _canonical_mapper(columns: list[str], suffix: str):

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from voxloom.functions.columns import pick
+from voxloom.llm.words import worker_state
 
 #: Where the vocabulary files lie unless a path is given.
 TOKENIZERS = os.environ.get("VOXLOOM_TOKENIZERS", "/opt/tokenizers")
@@ -98,14 +99,12 @@ def encode_tree(text: str, encode: Callable[[str], list[int]], widths: np.ndarra
 
 def _encoder_mapper(shared, leaf: int):
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tiktoken
-
-        # kept on the library's module, so that a reused worker builds it once
-        if (made := getattr(tiktoken, "_corpus_encoder", None)) is None or made[0] != shared.id:
+        state = worker_state()  # a reused worker builds the encoder once
+        if (made := state.get("encoder")) is None or made[0] != shared.id:
             ranks = shared.value
             widths = np.zeros(max(ranks.values()) + 1, np.int64)
             widths[list(ranks.values())] = [len(token) for token in ranks]
-            made = tiktoken._corpus_encoder = (shared.id, make_encoder(ranks), widths)
+            made = state["encoder"] = (shared.id, make_encoder(ranks), widths)
         _, encode, widths = made
         for batch in batches:
             flat, ends = [], [0]

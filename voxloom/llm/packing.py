@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.llm.clips import current_clips
-from voxloom.storage import plan_bytes, shuffle_width
+from voxloom.storage import write_table
 
 
-#: Longer durations count as this, so that microseconds fit int64.
+#: Longer durations count as this, some 285 000 years, so that microseconds fit int64.
 LONGEST_S = 9e12
+#: Items that are packed together.
+GROUP_ITEMS = 10_000
 
 
 def attention_cost(size: np.ndarray, linear: float = 1.0, quadratic: float = 1.0) -> np.ndarray:
@@ -125,13 +127,16 @@ def pack_items(items: DataFrame, capacity: int, groups: int | None = None) -> Da
     alone, another where its remainder, if any, is packed like any item.  Repeated ids are packed as they come; an
     empty table gives an empty one.
 
-    Packing one list is sequential, so items are dealt by hash into groups of some ten thousand, whose size mix is
+    Packing one list is sequential, so items are dealt by hash into groups of some ``GROUP_ITEMS``, whose size mix is
     that of the whole: each group packs alone within a fraction of a per cent of its least number of containers, and
-    no group grows with the data.
+    no group grows with the data.  The number of groups follows from the number of items alone, so the same items are
+    packed alike on any cluster.
     """
-    spark = items.sparkSession
-    groups = groups or max(shuffle_width(spark), plan_bytes(items) // (4 << 20))
-    dealt = items.select("id", F.col("size").cast("long").alias("size")).withColumn("pack_group", F.pmod(F.xxhash64("id"), F.lit(groups)))
+    items = items.select("id", F.col("size").cast("long").alias("size"))
+    if groups is None:
+        items, _ = write_table(items, "items")
+        groups = max(1, -(-items.count() // GROUP_ITEMS))
+    dealt = items.withColumn("pack_group", F.pmod(F.xxhash64("id"), F.lit(groups)))
     return dealt.repartition("pack_group").sortWithinPartitions("pack_group", F.desc("size"), "id").mapInArrow(_pack_groups(capacity), "id string, pack_group long, container long, containers long, size long, divided boolean")
 
 
@@ -150,3 +155,20 @@ def pack_clips(metadata: DataFrame, seconds: int = 30) -> DataFrame:
 def oversized_clips(metadata: DataFrame, seconds: int = 30) -> DataFrame:
     """``audio_file`` of the clips that the packing had to divide."""
     return pack_clips(metadata, seconds).filter(F.col("divided")).groupBy(F.col("id").alias("audio_file")).agg(F.count("*").alias("rows")).select("audio_file")
+
+
+def packing_report(metadata: DataFrame, seconds: int = 30, slack: float = 0.02) -> DataFrame:
+    """One row on ``pack_clips``: clips packed, those whose parts don't sum up to them, containers filled beyond their
+    capacity, and whether containers are within ``slack`` of the fewest that could hold all (and one more a group).
+    """
+    capacity = seconds * 1_000_000
+    items = clip_items(metadata)
+    rows, _ = write_table(pack_items(items, capacity), "packed")
+    whole = F.col("divided") & (F.col("size") == F.col("containers") * capacity)
+    parts = rows.groupBy("id").agg(F.sum("size").alias("packed"), F.count_if(~whole).alias("pieces"))
+    torn = items.join(parts, "id", "left").agg(F.count("*").alias("clips"), F.count_if(F.coalesce((F.col("packed") != F.col("size")) | (F.col("pieces") > 1), F.lit(True))).alias("torn"), F.sum("size").alias("total"))
+    held = rows.filter(~whole).groupBy("pack_group", "container").agg(F.sum("size").alias("used")).agg(F.count("*").alias("shared"), F.count_if(F.col("used") > capacity).alias("overfull"))
+    alone = rows.agg(F.coalesce(F.sum(F.when(whole, F.col("containers"))), F.lit(0)).alias("alone"), F.count_distinct("pack_group").alias("groups"))
+    one = lambda df: df.withColumn("one", F.lit(1))
+    least = F.ceil(F.coalesce("total", F.lit(0)) / capacity)
+    return one(torn).join(one(held), "one").join(one(alone), "one").select("clips", "torn", "overfull", (F.col("shared") + F.col("alone") <= least * (1 + slack) + F.col("groups")).alias("tight"))

@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p2_found": lambda s, d: capping.capped_speakers(t(s, d, "metadata")).filter(~F.col("kept")).select("audio_file"),
         "p2_capped": lambda s, d: capping.capped_speakers(t(s, d, "metadata")),
+        "p2_shared": lambda s, d: capping.shared_speakers(t(s, d, "metadata")),
         "p3_found": lambda s, d: splits.grouped_videos(t(s, d, "metadata")),
         "p3_incremental": lambda s, d: splits.grouped_in_batches(t(s, d, "metadata")),
         "p3_report": lambda s, d: splits.split_report(t(s, d, "metadata")),
@@ -30,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_canonical": lambda s, d: canonical.canonical_texts(t(s, d, "chunks").select("video_id", "chunk_index", "text", "text_yt", "text_cohere"), ["text", "text_yt", "text_cohere"]).drop("text", "text_yt", "text_cohere"),
         "p6_found": lambda s, d: packing.oversized_clips(t(s, d, "metadata")),
         "p6_containers": lambda s, d: packing.pack_clips(t(s, d, "metadata")),
+        "p6_report": lambda s, d: packing.packing_report(t(s, d, "metadata")),
         "p7_found": lambda s, d: cutoffs.below_cutoff(t(s, d, "metadata")),
         "p7_cutoffs": lambda s, d: cutoffs.cutoff_table(t(s, d, "metadata")),
         "p8_ids": lambda s, d: encoding.encode_documents(t(s, d, "documents")),
@@ -66,10 +68,12 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p2_found": f"SELECT audio_file FROM ({_CAPPED}) WHERE NOT kept",
         "p2_capped": _CAPPED,
+        "p2_shared": _CAPPED.replace("audio_file) <= 15 AS kept", "audio_file) <= ceil(count(*) OVER (PARTITION BY speaker) * CAST(0.5 AS DOUBLE)) AS kept"),
         "p3_found": _GROUPS,
         "p3_incremental": _GROUPS,
         "p3_report": "SELECT count(DISTINCT audio_file) AS clips, CAST(0 AS BIGINT) AS quarantined, CAST(0 AS BIGINT) AS torn_voices, CAST(0 AS BIGINT) AS torn_videos, true AS near FROM metadata",
         "p6_found": f"WITH {_CURRENT} SELECT audio_file FROM current WHERE isfinite(duration) AND duration > 30",
+        "p6_report": f"WITH {_CURRENT} SELECT count(*) AS clips, CAST(0 AS BIGINT) AS torn, CAST(0 AS BIGINT) AS overfull, true AS tight FROM current WHERE isfinite(duration) AND duration > 0",
         "p7_found": f"{_RANKED} SELECT ranked.video_id, audio_file FROM ranked JOIN cuts USING (video_id) WHERE score < cutoff",
         "p7_cutoffs": f"{_RANKED} SELECT video_id, any_value(cutoff) AS cutoff, any_value(ranked.n) AS n, count(*) FILTER (score >= cutoff) AS kept FROM ranked JOIN cuts USING (video_id) GROUP BY video_id",
     }

@@ -13,6 +13,17 @@ CLOCKS = r"(?:\d{1,3}:)?\d{1,2}:\d{2}(?:[.,]\d{1,3})?(?:\s*-->\s*(?:\d{1,3}:)?\d
 APOSTROPHES = r"['’ʼ`´]+"
 
 
+def worker_state() -> dict:
+    """What a worker process keeps between tasks, in a module of this package's own.
+
+    Functions come to workers by value, with new globals for each task; the interpreter's modules stay.
+    """
+    import sys
+    import types
+
+    return vars(sys.modules.setdefault("voxloom_worker_state", types.ModuleType("voxloom_worker_state")))
+
+
 def plain_texts(texts: pa.Array) -> pa.Array:
     """Lower case, canonically decomposed, without invisible characters; null becomes empty."""
     texts = pc.utf8_lower(pc.fill_null(texts, ""))
