@@ -144,6 +144,20 @@ def test_models(spark, rows):
     assert rows(M.checked_isolation(spark.createDataFrame([(1.0, 1.2), (1.0, 2.0), (1.0, None)], "duration double, separated_duration double")), "isolated") == [(False,), (False,), (True,)]
 
 
+def test_spaced_out():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        times = np.sort(rng.integers(0, 60, rng.integers(0, 20))).astype(float)
+        first = None if rng.random() < 0.3 else float(rng.integers(-5, 65))
+        last, want = first, []
+        for i, t in enumerate(times):
+            if last is None or abs(t - last) > 4:
+                want.append(i)
+                last = t
+        places, now = S.spaced_out(times, first, 4)
+        assert places.tolist() == want and now == last
+
+
 def test_streams(spark, rows, tmp_path):
     kind = "video_id string, k string, at double, ts timestamp"
     data = spark.createDataFrame([("v", "a", float(x), f"2024-01-01 00:00:{int(x):02d}") for x in (0, 5, 5.01, 9)], "video_id string, k string, at double, ts string").withColumn("ts", F.col("ts").cast("timestamp"))

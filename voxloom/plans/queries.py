@@ -204,9 +204,10 @@ def _stand_ins(s: SparkSession, d: str) -> DataFrame:
     return scored.select("audio_file", V.is_zero(F.col("v")).alias("too_short"), F.round(V.norm(F.col("v")), 6).alias("length"), "m.squim_mos")
 
 
-def _stream(s: SparkSession, d: str, build: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
-    events = streams.increments(s, f"{d}/events.parquet*", table(s, d, "events").schema).withColumn("ts", F.col("ts").cast("timestamp"))
-    out = streams.collected(build(events), name, "complete")
+def _stream(s: SparkSession, d: str, build: Callable[[DataFrame], DataFrame], name: str, key: str) -> DataFrame:
+    """Closed windows of the whole events table, read as one batch and ended: append mode, so state goes with the watermark."""
+    events = streams.increments(s, f"{d}/events.parquet*", table(s, d, "events").schema, None).select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    out = streams.collected(build(streams.ended(s, events, "ts")), name).filter(F.col(key).isNotNull())
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c, kind in out.dtypes if kind == "timestamp"})
 
 
@@ -467,9 +468,9 @@ def queries() -> dict[str, Query]:
         "q_signal_stats": lambda s, d: t(s, d, "embeddings").select("vec_id", signal_stats_udf(F.transform("embedding", lambda x: x.cast("double")), F.lit(8)).alias("s")).select("vec_id", "s.peak_dbfs", "s.rms_dbfs", "s.clipping_ratio", "s.snr_db"),
         "q_best_label": lambda s, d: unique_clips(s, d).select("audio_file", V.best(F.array(F.struct(F.lit("music").alias("label"), "music_score"), F.struct(F.lit("speech").alias("label"), F.col("speech_score").alias("music_score"))), lambda x: F.coalesce(F.nanvl(x["music_score"], F.lit(-1.0)), F.lit(-1.0)))["label"].alias("label")),
         # streams
-        "q_stream_sessions": lambda s, d: _stream(s, d, lambda e: streams.gap_sessions(e, "user_id", "ts", "6 hours"), "sessions"),
+        "q_stream_sessions": lambda s, d: _stream(s, d, lambda e: streams.gap_sessions(e, "user_id", "ts", "6 hours"), "sessions", "user_id"),
         "q_stream_dedupe": lambda s, d: streams.collected(streams.dedupe_stream(streams.increments(s, f"{d}/events.parquet*", t(s, d, "events").schema, None).select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("at")).withWatermark("ts", "10 minutes"), ["user_id", "event_type"], "at", "ts", 3.6e9), "kept").select("event_id", "user_id"),
-        "q_stream_windows": lambda s, d: _stream(s, d, lambda e: streams.tumbling(e, ["event_type"], "ts", "15 minutes"), "windows"),
+        "q_stream_windows": lambda s, d: _stream(s, d, lambda e: streams.tumbling(e, ["event_type"], "ts", "15 minutes"), "windows", "event_type"),
         # datasets: late transcripts, scores, audio, sinks read back
         "q_late_transcripts": _late,
         "q_two_stage_scores": _two_stages,
