@@ -111,3 +111,13 @@ def test_fill_and_collapse(spark, rows):
 def test_label_runs(spark):
     row = spark.range(1).select(I.label_runs(F.array(*map(F.lit, [0, 5, 5, 0, 7, 0])), F.array(*[F.lit(x) for x in [0.0, -1.0, -3.0, 0.0, -4.0, 0.0]]), 0).alias("r")).first()["r"]
     assert [tuple(x) for x in row] == [(1, 3, 5, -2.0), (4, 5, 7, -4.0)]
+
+
+def test_bogus_ends_are_not_expanded(spark, rows):
+    from voxloom.operators import intervals as I
+
+    kind = "video_id string, start double, end double, speaker string"
+    left = spark.createDataFrame([("v", 0.0, 10.0, "a"), ("v", 5.0, 1e15, "b"), ("w", 0.0, 1e9, "c"), ("v", None, 3.0, "d"), ("v", 20.0, 30.0, "e")], kind)
+    right = spark.createDataFrame([("v", 1.0, 2.0, "x"), ("v", 8.0, 9e14, "y"), ("v", 1e12, 1e12 + 1, "z"), ("w", 5e8, 5e8 + 1, "u"), ("v", 3.0, None, "n")], kind)
+    got = rows(I.overlap_join(left, right, 1.0).select("speaker", "r_speaker"))
+    assert got == [("a", "x"), ("a", "y"), ("b", "y"), ("b", "z"), ("c", "u"), ("e", "y")]

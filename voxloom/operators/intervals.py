@@ -20,6 +20,10 @@ def buckets(start: Column, end: Column, width: float) -> Column:
     return F.sequence(F.floor(start / width), F.greatest(F.floor(start / width), F.floor(end / width)))
 
 
+#: Time buckets that an interval may be expanded to; longer ones are joined by key.
+MOST_BUCKETS = 1024
+
+
 def overlap_join(left: DataFrame, right: DataFrame, width: float = 60.0, marked: bool = False, prefix: str = "r_", key: str = "video_id") -> DataFrame:
     """Pairs of intervals of one ``key`` that overlap by more than 0; right columns get ``prefix``.
 
@@ -27,13 +31,20 @@ def overlap_join(left: DataFrame, right: DataFrame, width: float = 60.0, marked:
     first bucket that both touch, so it appears once.  A hot key spreads by time; ``width`` should be of the order of
     the longer intervals.  Empty and null intervals pair with nothing.  With ``marked``, each left row appears once
     more with nulls on the right, so that a grouping finds the unmatched ones as well.
+
+    An interval of more than ``MOST_BUCKETS`` buckets, such as one with a bogus end, isn't expanded: it overlaps most of
+    its key's intervals anyway, and is joined with them by key.
     """
     r = right.select(*[F.col(c).alias(prefix + c) for c in right.columns])
-    lb = left.withColumn("bucket", F.explode(buckets(F.col("start"), F.col("end"), width)))
-    rb = r.withColumn("bucket", F.explode(buckets(F.col(f"{prefix}start"), F.col(f"{prefix}end"), width)))
-    first = F.greatest(F.floor(F.col("start") / width), F.floor(F.col(f"{prefix}start") / width))
-    met = (F.col("start") < F.col(f"{prefix}end")) & (F.col("end") > F.col(f"{prefix}start"))
-    pairs = lb.join(rb.withColumnRenamed("bucket", "r_bucket"), (F.col(key) == F.col(prefix + key)) & (F.col("bucket") == F.col("r_bucket")) & met & (F.col("bucket") == first)).drop("bucket", "r_bucket")
+    r_start, r_end = F.col(f"{prefix}start"), F.col(f"{prefix}end")
+    same = F.col(key) == F.col(prefix + key)
+    met = (F.col("start") < r_end) & (F.col("end") > r_start)
+    long_left, long_right = (e / width - s / width > MOST_BUCKETS for s, e in ((F.col("start"), F.col("end")), (r_start, r_end)))
+    lb = left.filter(~long_left).withColumn("bucket", F.explode(buckets(F.col("start"), F.col("end"), width)))
+    rb = r.filter(~long_right).withColumn("r_bucket", F.explode(buckets(r_start, r_end, width)))
+    first = F.greatest(F.floor(F.col("start") / width), F.floor(r_start / width))
+    pairs = lb.join(rb, same & (F.col("bucket") == F.col("r_bucket")) & met & (F.col("bucket") == first)).drop("bucket", "r_bucket")
+    pairs = pairs.unionByName(left.filter(long_left).join(r, same & met)).unionByName(left.filter(~long_left).join(r.filter(long_right), same & met))
     return pairs.unionByName(left, allowMissingColumns=True) if marked else pairs
 
 
