@@ -51,6 +51,33 @@ def test_shards_and_batches(spark, rows):
     assert [r[1] for r in rows(Q.fixed_batches(df, ["k"], [F.col("i")], 4), "i", "batch")] == [0, 0, 0, 0, 1, 1]
 
 
+def test_packs_over_batches(spark):
+    """Against plain folds, whatever the batches of rows are."""
+    rng = random.Random(6)
+    data = [(k, i, rng.choice([None, 0.0, 0.1, 1.5, 3.0, 30.0])) for k in ("a", "b", None) for i in range(300)]
+    shards, batches = {}, {}
+    for key in ("a", "b", None):
+        shard, held, batch, total, n = 0, 0.0, 0, 0.0, 0
+        for k, i, size in data:
+            if k != key:
+                continue
+            x = size or 0.0
+            shards[k, i], held = shard, held + x
+            if held >= 7:
+                shard, held = shard + 1, 0.0
+            if n and (total + x > 5 or n >= 4):
+                batch, total, n = batch + 1, 0.0, 0
+            batches[k, i], total, n = batch, total + x, n + 1
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 41)
+    try:
+        df = spark.createDataFrame(data, "k string, i int, size double")
+        assert {(r["k"], r["i"]): r["shard"] for r in Q.shards_after_reach(df, ["k"], ["i"], "size", 7).collect()} == shards
+        assert {(r["k"], r["i"]): r["batch"] for r in Q.batches_before_exceed(df, ["k"], ["i"], "size", 5, 4).collect()} == batches
+        assert Q.shards_after_reach(df.limit(0), ["k"], ["i"], "size", 7).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_split(spark):
     df = spark.createDataFrame([(f"{g}{i}", g) for g, n in (("a", 40), ("b", 1), ("c", 5)) for i in range(n)], "audio_file string, g string")
     got = Q.train_validation(df, F.col("g"), "audio_file", 0.1)

@@ -5,9 +5,12 @@ Folds run per key on sorted Arrow batches, so a group streams through a task ins
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,22 +63,52 @@ def dedupe_by_time(words: DataFrame, epsilon: float = 0.06) -> DataFrame:
     return fold_sorted(named, ["video_id", "form_"], ["start", "end"], make, "keep_", "boolean").filter("keep_").drop("form_", "keep_")
 
 
-def collapse_rolling(forms: list[str], most: int = 40) -> list[bool]:
-    """Which words of a rolling track to keep: a block of 2 to ``most`` words equal to the end of what is kept goes.
+class RollingTrack:
+    """Fold over the words of a rolling track: a block of 2 to ``most`` words equal to the end of what is kept goes.
 
-    The longest such block goes first; single repeated words stay.
+    Of several such blocks the longest goes; single repeated words stay.  ``take`` is fed with forms as they come and
+    tells which to keep, as far as ``most`` words lie ahead, or all with ``final``.  The places of each form among the
+    last kept ones are known, so only blocks that begin alike are compared.
     """
-    keep, out, at = [False] * len(forms), [], 0
-    while at < len(forms):
-        for span in range(min(most, len(out), len(forms) - at), 1, -1):
-            if forms[at] == out[-span] and out[-span:] == forms[at : at + span]:
+
+    def __init__(self, most: int = 40):
+        self.most, self.kept, self.ahead, self.places = most, [], [], {}
+
+    def _restated(self, at: int) -> int:
+        """Length of the longest block at ``at`` that restates the end of the kept words; 0 without any."""
+        end = len(self.kept)
+        places = self.places.get(self.ahead[at], ())
+        for start in places[bisect.bisect_left(places, end - self.most) :]:  # ascending, so the longest first
+            span = end - start
+            if span > 1 and self.ahead[at : at + span] == self.kept[start:]:
+                return span
+        return 0
+
+    def take(self, forms: list[str], final: bool = False) -> list[bool]:
+        self.ahead += forms
+        told, at = [], 0
+        while at < len(self.ahead) and (final or len(self.ahead) - at > self.most):
+            if span := self._restated(at):
+                told += [False] * span
                 at += span
-                break
-        else:
-            keep[at] = True
-            out.append(forms[at])
+                continue
+            form = self.ahead[at]
+            self.places.setdefault(form, []).append(len(self.kept))
+            self.kept.append(form)
+            told.append(True)
             at += 1
-    return keep
+        del self.ahead[:at]
+        if len(self.kept) > 64 * self.most:  # only the last ones can be restated
+            self.kept = self.kept[-self.most :]
+            self.places = {}
+            for i, form in enumerate(self.kept):
+                self.places.setdefault(form, []).append(i)
+        return told
+
+
+def collapse_rolling(forms: list[str], most: int = 40) -> list[bool]:
+    """Which words of a rolling track to keep (see ``RollingTrack``)."""
+    return RollingTrack(most).take(forms, True)
 
 
 def dedupe_rolling(words: DataFrame, most: int = 40) -> DataFrame:
@@ -87,37 +120,31 @@ def dedupe_rolling(words: DataFrame, most: int = 40) -> DataFrame:
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in words.schema.fields)
 
     def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def drain(group: dict, final: bool) -> list[dict]:
-            rows, out, kept, at = group["rows"], group["out"], [], 0
-            while at < len(rows) and (final or len(rows) - at > most):
-                for span in range(min(most, len(out), len(rows) - at), 1, -1):
-                    if rows[at]["form_"] == out[-span] and out[-span:] == [r["form_"] for r in rows[at : at + span]]:
-                        at += span
-                        break
-                else:
-                    kept.append(rows[at])
-                    out.append(rows[at]["form_"])
-                    del out[: -2 * most]
-                    at += 1
-            group["rows"] = rows[at:]
-            return kept
-
-        group: dict | None = None
-        schema = None
+        track, video, waiting = RollingTrack(most), None, []
+
+        def told(flags: list[bool]) -> pa.Table:
+            """The kept rows among the first that wait; the others go on waiting."""
+            nonlocal waiting
+            table = pa.Table.from_batches(waiting) if waiting else None
+            waiting = table.slice(len(flags)).to_batches()
+            return table.slice(0, len(flags)).filter(pa.array(flags, pa.bool_())).drop_columns("form_")
+
         for batch in batches:
-            schema = pa.schema([f for f in batch.schema if f.name != "form_"])
-            done = []
-            for row in batch.to_pylist():
-                if group is None or row["video_id"] != group["key"]:
-                    if group:
-                        done += drain(group, True)
-                    group = {"key": row["video_id"], "rows": [], "out": []}
-                group["rows"].append(row)
-            if group:
-                done += drain(group, False)
-            yield pa.RecordBatch.from_pylist([{k: v for k, v in r.items() if k != "form_"} for r in done], schema)
-        if group and schema:
-            yield pa.RecordBatch.from_pylist([{k: v for k, v in r.items() if k != "form_"} for r in drain(group, True)], schema)
+            names = batch["video_id"].to_pylist()
+            cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if names[a] != video:
+                    if waiting:
+                        yield from told(track.take([], True)).to_batches()
+                    track, video, waiting = RollingTrack(most), names[a], []
+                waiting.append(batch.slice(a, b - a))
+                flags = track.take(batch["form_"].slice(a, b - a).to_pylist())
+                if flags:
+                    yield from told(flags).to_batches()
+        if waiting:
+            yield from told(track.take([], True)).to_batches()
 
     return named.repartition("video_id").sortWithinPartitions("video_id", "pos").mapInArrow(mapper, fields)
 
@@ -134,41 +161,81 @@ def dedupe_track(words: DataFrame, epsilon: float = 0.06, most: int = 40) -> Dat
     return dedupe_by_time(spoken.filter(timed), epsilon).unionByName(dedupe_rolling(spoken.filter(rolling), most)).unionByName(spoken.filter(~timed & ~rolling))
 
 
-def shards_after_reach(table: DataFrame, keys: list[str], order: list[str], size: str, target: float) -> DataFrame:
-    """Greedy shards: a shard closes once its sum reaches ``target``. Adds ``shard`` from 0 per key."""
-
-    def make() -> Callable[[dict], int]:
-        state = [0, 0.0]
+def _packed(table: DataFrame, keys: list[str], order: list[str], size: str, column: str, cut: Callable[[np.ndarray, tuple], tuple[np.ndarray, tuple]]) -> DataFrame:
+    """``table`` with the number of each row's pack from 0 per key, by ``cut`` of a key's sizes.
 
-        def step(row: dict) -> int:
-            shard = state[0]
-            state[1] += row[size] or 0
-            if state[1] >= target:
-                state[0], state[1] = shard + 1, 0.0
-            return shard
+    ``cut(sizes, state)`` numbers a stretch of one key's rows and gives the state to go on with.  Rows stream in
+    batches, and work within a stretch follows its packs, not its rows.
+    """
 
-        return step
+    def mapper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, state = None, ()
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            opens = np.zeros(n, bool)
+            for k in keys:
+                codes = batch[k].dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+                opens[1:] |= codes[1:] != codes[:-1]
+            first = [batch[k][0].as_py() for k in keys]
+            opens[0] = first != last
+            sizes = pc.fill_null(batch[size].cast(pa.float64()), 0.0).to_numpy(zero_copy_only=False)
+            numbers = np.empty(n, np.int64)
+            cuts = [*np.unique(np.append(0, np.flatnonzero(opens))).tolist(), n]
+            for a, b in zip(cuts, cuts[1:]):
+                numbers[a:b], state = cut(sizes[a:b], () if opens[a] else state)
+            last = [batch[k][n - 1].as_py() for k in keys]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers)], names=[*batch.schema.names, column])
 
-    return fold_sorted(table, keys, order, make, "shard", "long")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema.fields)
+    return table.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(mapper, f"{fields}, `{column}` long")
 
 
-def batches_before_exceed(table: DataFrame, keys: list[str], order: list[str], size: str, most: float, count: int) -> DataFrame:
-    """Greedy batches: a batch closes before its sum would exceed ``most`` or it has ``count`` rows. Adds ``batch``."""
+def shards_after_reach(table: DataFrame, keys: list[str], order: list[str], size: str, target: float) -> DataFrame:
+    """Greedy shards: a shard closes once its sum reaches ``target``. Adds ``shard`` from 0 per key; a null size is 0."""
+
+    def cut(sizes: np.ndarray, state: tuple) -> tuple[np.ndarray, tuple]:
+        shard, held = state or (0, 0.0)
+        out, start, at, window = np.empty(len(sizes), np.int64), 0, 0, 64
+        while at < len(sizes):
+            sums = np.cumsum(np.append(held, sizes[at : at + window]))[1:]
+            reached = np.flatnonzero(sums >= target)
+            if not len(reached):
+                held, at, window = float(sums[-1]), at + len(sums), 2 * window
+                continue
+            at += int(reached[0]) + 1
+            out[start:at] = shard
+            shard, held, start, window = shard + 1, 0.0, at, 64
+        out[start:] = shard
+        return out, (shard, held)
+
+    return _packed(table, keys, order, size, "shard", cut)
 
-    def make() -> Callable[[dict], int]:
-        state = [0, 0.0, 0]
 
-        def step(row: dict) -> int:
-            value = row[size] or 0.0
-            if state[2] and (state[1] + value > most or state[2] >= count):
-                state[0], state[1], state[2] = state[0] + 1, 0.0, 0
-            state[1] += value
-            state[2] += 1
-            return state[0]
+def batches_before_exceed(table: DataFrame, keys: list[str], order: list[str], size: str, most: float, count: int) -> DataFrame:
+    """Greedy batches: a batch closes before its sum would exceed ``most`` or it has ``count`` rows. Adds ``batch``.
 
-        return step
+    A null size is 0; a row larger than ``most`` is a batch of its own.
+    """
 
-    return fold_sorted(table, keys, order, make, "batch", "long")
+    def cut(sizes: np.ndarray, state: tuple) -> tuple[np.ndarray, tuple]:
+        batch, held, rows = state or (0, 0.0, 0)
+        out = np.empty(len(sizes), np.int64)
+        at = 0
+        while at < len(sizes):
+            ahead = sizes[at : at + count - rows]
+            over = np.flatnonzero(held + np.cumsum(ahead) > most)
+            fit = int(over[0]) if len(over) else len(ahead)
+            if not fit and not rows:
+                fit = 1
+            out[at : at + fit] = batch
+            held, rows, at = held + float(ahead[:fit].sum()), rows + fit, at + fit
+            if at < len(sizes):
+                batch, held, rows = batch + 1, 0.0, 0
+        return out, (batch, held, rows)
+
+    return _packed(table, keys, order, size, "batch", cut)
 
 
 def fixed_batches(table: DataFrame, keys: list[str], order: list[Column], size: int, column: str = "batch") -> DataFrame:

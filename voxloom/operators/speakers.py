@@ -44,35 +44,40 @@ def purity(table: DataFrame, keys: list[str], vector: str, order: list[str], mos
 
 
 def average_linkage(vectors: np.ndarray, threshold: float) -> np.ndarray:
-    """Cluster number per vector: clusters merge while their mean cosine distance is below ``threshold``.
+    """Cluster number per unit vector: clusters merge while their mean cosine distance is below ``threshold``.
 
-    Nearest-neighbour chain with the weighted update of average linkage, quadratic in the number of vectors; merges
-    are cut afterwards at the threshold, which average linkage allows as its merge distances never fall.
+    The mean distance of two clusters is 1 less the inner product of their sums over the product of their sizes, so
+    the sums stand for all pairs: memory follows the vectors and not their square.  A chain of nearest neighbours finds
+    the merges, which are cut afterwards at the threshold, as average linkage allows: its merge distances never fall.
     """
     n = len(vectors)
-    distance = np.clip(1.0 - vectors @ vectors.T, 0.0, 2.0)
-    np.fill_diagonal(distance, np.inf)
-    size, alive, merges, chain = np.ones(n), np.ones(n, bool), [], []
-    for _ in range(n - 1):
+    sums, size, name = np.array(vectors, np.float64), np.ones(n), np.arange(n)
+    merges, chain = [], []
+    alive = np.ones(n, bool)
+    left = n
+    while left > 1:
+        if 2 * left < len(name):  # what was merged away needn't be compared any more
+            place = np.cumsum(alive) - 1
+            chain = [int(place[c]) for c in chain]
+            sums, size, name, alive = sums[alive], size[alive], name[alive], np.ones(left, bool)
         if not chain:
             chain = [int(np.flatnonzero(alive)[0])]
-        while True:
-            a = chain[-1]
-            row = distance[a]
-            b = int(row.argmin())
-            if len(chain) > 1 and row[chain[-2]] <= row[b]:
-                b = chain[-2]
-            if len(chain) > 1 and b == chain[-2]:
-                break
+        a = chain[-1]
+        distance = np.clip(1.0 - sums @ sums[a] / (size * size[a]), 0.0, 2.0)
+        distance[~alive] = np.inf
+        distance[a] = np.inf
+        b = int(distance.argmin())
+        if len(chain) > 1 and distance[chain[-2]] <= distance[b]:
+            b = chain[-2]
+        if len(chain) < 2 or b != chain[-2]:
             chain.append(b)
-        a, b = chain.pop(), chain.pop()
-        merges.append((float(distance[a, b]), a, b))
-        merged = (size[a] * distance[a] + size[b] * distance[b]) / (size[a] + size[b])
-        distance[a], distance[:, a] = merged, merged
-        distance[a, a] = np.inf
-        distance[b], distance[:, b] = np.inf, np.inf
+            continue
+        del chain[-2:]
+        merges.append((float(distance[b]), int(name[a]), int(name[b])))
+        sums[a] += sums[b]
         size[a] += size[b]
         alive[b] = False
+        left -= 1
     parent = list(range(n))
 
     def find(x: int) -> int:
@@ -91,8 +96,8 @@ def link_speakers(centroids: DataFrame, threshold: float = 0.35, block: str | No
     """``(speaker, global_speaker)``: voices of all recordings clustered, labels numbered by pooled seconds, then size.
 
     ``centroids`` has ``speaker``, ``centroid`` and ``seconds``, a row per voice and recording.  Linkage needs all
-    pairs of a block at once: without ``block`` that is one task for all voices (some ten thousand); with it, voices
-    are linked within the blocks of that column and numbered over all.
+    voices of a block at once, whose vectors and not their pairs lie in memory: without ``block`` that is one task for
+    all voices; with it, voices are linked within the blocks of that column and numbered over all.
     """
     keyed = centroids.select("speaker", "centroid", F.coalesce("seconds", F.lit(0.0)).alias("seconds"), (F.col(block).cast("string") if block else F.lit("")).alias("block"))
 
