@@ -12,7 +12,7 @@ from voxloom.config import Config, Limits
 from voxloom.functions import sources as U
 from voxloom.functions import text as T
 from voxloom.functions import vectors as V
-from voxloom.functions.audio import signal_stats_udf
+from voxloom.functions.audio import signal_stats_udf, wav_bytes_udf, wav_samples_udf, wav_seconds_udf
 from voxloom.functions.labels import label_key
 from voxloom.operators import coverage, exports, gates, intervals, sequence, speakers, tables
 from voxloom.plans.sql import oracle_sql
@@ -119,7 +119,7 @@ def _centroids(s: SparkSession, d: str) -> DataFrame:
 
 def _records(s: SparkSession, d: str) -> DataFrame:
     out = tables.record(table(s, d, "chunks").withColumn("text_source", F.coalesce("text_source", F.lit("none"))), table(s, d, "videos"))
-    return out.select("audio_file", "video_id", "chunk_index", "channel", "upload_date", "language", "sample_rate", "text_source")
+    return out.select(*[F.col(c) for c in out.columns])
 
 
 def _manifest(s: SparkSession, d: str) -> DataFrame:
@@ -373,6 +373,42 @@ def _commit_batches(s: SparkSession, d: str) -> DataFrame:
     return writers.commit_batches(files, 40, 4_000_000).groupBy("folder", "batch").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
 
 
+def _overlay_marks(s: SparkSession, d: str) -> DataFrame:
+    clips = unique_clips(s, d).select("audio_file", "text", "text_source", "text_yt", "text_cohere")
+    verdicts = clips.select("audio_file", F.col("text_cohere").alias("text"), F.when(F.col("text_source") == "cohere", "ok").when(F.col("text_yt") == F.col("text"), "ok_orthography_fixed").otherwise("words_changed").alias("status"))
+    return tables.overlay_marks(clips.drop("text_yt", "text_cohere"), verdicts)
+
+
+def _label_runs(s: SparkSession, d: str) -> DataFrame:
+    path, scores = F.transform("embedding", lambda x: F.when(x > 0.1, 2).when(x > 0, 1).otherwise(0)), F.transform("embedding", lambda x: x.cast("double"))
+    runs = table(s, d, "embeddings").select("vec_id", path.alias("path"), scores.alias("scores")).select("vec_id", F.explode(intervals.label_runs(F.col("path"), F.col("scores"), 0)).alias("r"))
+    return runs.select("vec_id", F.col("r.start").alias("first"), F.col("r.end").alias("until"), "r.label", F.round("r.score", 6).alias("score"))
+
+
+def _means(s: SparkSession, d: str) -> DataFrame:
+    v = table(s, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.when(x > 0, x.cast("double")).when(x > -0.05, F.lit(0.0))).alias("x"), F.transform("embedding", lambda x: x.cast("double")).alias("y"), F.sequence(F.lit(0), F.size("embedding") - 1).alias("k"))
+    tokens = F.transform("k", lambda k: k % 5)
+    return v.select("vec_id", F.round(V.nonzero_mean(F.col("x")), 6).alias("mean"), F.round(V.mean_log_prob(F.col("y"), tokens, [0, 3]), 6).alias("confidence"))
+
+
+def _wav(s: SparkSession, d: str) -> DataFrame:
+    v = table(s, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double") * 4).alias("x"))
+    files = v.select("vec_id", wav_bytes_udf("x", F.lit(64)).alias("content"))
+    cut = files.select("vec_id", wav_seconds_udf("content").alias("seconds"), wav_samples_udf("content", F.lit(0.25), F.lit(0.75)).alias("part"))
+    return cut.select("vec_id", "seconds", F.size("part").alias("samples"), F.round(F.get("part", F.lit(0)), 6).alias("first"))
+
+
+def _feed(s: SparkSession, d: str) -> DataFrame:
+    path = scratch(s, "feed")
+    safe = lambda c: F.replace(F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
+    enclosure = F.when(F.col("video_url").isNotNull(), F.concat(F.lit('<enclosure length="7" url="'), safe("video_url"), F.lit('"/>'))).otherwise("")
+    item = F.concat(F.lit("<item>"), F.coalesce(F.concat(F.lit("<title>"), safe("title"), F.lit("</title>")), F.lit("")), F.lit("<guid>"), safe("video_id"), F.lit("</guid>"), enclosure, F.lit("</item>"))
+    edges = s.createDataFrame([("<rss><channel>", 0), ("</channel></rss>", 2)], "value string, o int")
+    lines = table(s, d, "videos").select(item.alias("value"), F.lit(1).alias("o")).unionByName(edges)
+    lines.repartition(1).sortWithinPartitions("o").select("value").write.text(path)  # a feed is one document
+    return readers.read_feed(s, path).select("guid", F.trim("title").alias("title"), "url", "length")
+
+
 def queries() -> dict[str, Query]:
     """Name to query."""
     t = table
@@ -500,4 +536,11 @@ def queries() -> dict[str, Query]:
         "q_shard_names": _shard_names,
         "q_commit_batches": _commit_batches,
         "q_to_upload": lambda s, d: writers.to_upload(t(s, d, "chunks").select(F.concat_ws("/", "video_id", "chunk_index").alias("path")), t(s, d, "metadata").select(F.concat_ws("/", "video_id", "chunk_index").alias("path"))),
+        "q_status_counts": lambda s, d: tables.status_counts(unique_clips(s, d), unique_clips(s, d).filter("text_source <> 'google'").select("audio_file", F.when(F.col("text_cohere") != "", "ok").otherwise("empty").alias("status"))),
+        "q_overlay_marks": _overlay_marks,
+        "q_outstanding_first": lambda s, d: tables.outstanding(unique_clips(s, d).select("audio_file", "video_id"), t(s, d, "metadata").select("audio_file", F.when(F.col("squim_mos") >= 3, "ok").otherwise("low").alias("status")), limit=25),
+        "q_label_runs": _label_runs,
+        "q_vector_means": _means,
+        "q_wav": _wav,
+        "q_feed": _feed,
     }

@@ -249,7 +249,8 @@ WHERE CASE WHEN u THEN label ELSE dialect END NOT IN ('ar', 'unclear') AND CASE
         "q_text_diffs": f"WITH {CLIPS} SELECT audio_file, text AS before, text_cohere AS after FROM clips WHERE text_cohere <> '' AND text IS NOT NULL AND {clean('text')} <> {clean('text_cohere')}",
         "q_overlay": f"""WITH {CLIPS}, c AS (SELECT *, CASE WHEN text_source <> 'google' THEN CASE WHEN text_cohere <> '' THEN 'ok' ELSE 'empty' END END AS st FROM clips)
 SELECT coalesce(st, 'not_sent') AS gate_status, count(*) AS rows, count(*) FILTER (CASE WHEN st = 'ok' THEN coalesce(text_cohere, '') ELSE text END = '') AS empty FROM c GROUP BY 1""",
-        "q_records": f"""SELECT coalesce(c.speaker, '_unassigned') || '/' || c.video_id || '_' || printf('%04d', chunk_index) || '.wav' AS audio_file, c.video_id, chunk_index, channel, upload_date, {LANG} AS language, 24000 AS sample_rate, coalesce(text_source, 'none') AS text_source FROM chunks c LEFT JOIN videos v USING (video_id)""",
+        "q_records": f"""SELECT c.* EXCLUDE (start, "end", text_source), round(start, 3) AS start, round("end", 3) AS "end", coalesce(text_source, 'none') AS text_source, video_url, title, channel, upload_date,
+  coalesce(c.speaker, '_unassigned') || '/' || c.video_id || '_' || printf('%04d', chunk_index) || '.wav' AS audio_file, round("end" - start, 3) AS duration, CAST(NULL AS VARCHAR) AS global_speaker, 24000 AS sample_rate, {LANG} AS language FROM chunks c LEFT JOIN videos v USING (video_id)""",
         "q_merge_rejections": "SELECT video_id, chunk_index, reject_code FROM chunks WHERE reject_code IS NOT NULL AND reject_code NOT LIKE 'text:%' UNION ALL SELECT video_id, chunk_index, 'text:empty' AS reject_code FROM chunks WHERE text_yt = ''",
         "q_drop_videos": "SELECT video_id, count(*) AS chunks FROM chunks WHERE video_id NOT IN (SELECT video_id FROM videos WHERE error IS NOT NULL AND video_id IS NOT NULL) GROUP BY 1",
         "q_speaker_seconds": f"WITH {CLIPS} SELECT speaker, {SECONDS} AS seconds, count(*) AS clips FROM clips GROUP BY speaker",
@@ -347,4 +348,16 @@ SELECT e.event_id, e.user_id FROM kept JOIN e USING (user_id, event_type, ts)"""
 g AS (SELECT vec_id, x, list_transform(range(0, len(x) // 8), lambda i: list_avg(list_transform(list_slice(x, i * 8 + 1, i * 8 + 8), lambda y: y * y))) AS e FROM f)
 SELECT vec_id, round(20 * log10(list_max(list_transform(x, lambda y: abs(y)))), 3) AS peak_dbfs, round(20 * log10(sqrt(list_avg(list_transform(x, lambda y: y * y)))), 3) AS rms_dbfs,
   round(len(list_filter(x, lambda y: abs(y) >= 0.999)) / len(x), 6) AS clipping_ratio, round(10 * log10(list_aggregate(e, 'quantile_cont', 0.9) / list_aggregate(e, 'quantile_cont', 0.1)), 3) AS snr_db FROM g""",
+        "q_status_counts": f"WITH {CLIPS} SELECT CASE WHEN text_source <> 'google' THEN CASE WHEN text_cohere <> '' THEN 'ok' ELSE 'empty' END ELSE 'not_sent' END AS status, count(*) AS rows FROM clips GROUP BY 1",
+        "q_overlay_marks": f"""WITH {CLIPS}, o AS (SELECT *, text_cohere IS NOT NULL AND (text_source = 'cohere' OR text_yt = text) AS ok FROM clips), n AS (SELECT audio_file, CASE WHEN coalesce(ok, false) THEN text_cohere ELSE text END AS text, coalesce(ok, false) AS ok, text_source AS ts FROM o)
+SELECT audio_file, text, CASE WHEN ok AND ts NOT LIKE '%+diacritized' THEN ts || '+diacritized' ELSE ts END AS text_source, CASE WHEN ok THEN 'diacritized' END AS tashkeel_source,
+  CASE WHEN len(regexp_extract_all({BARE}, {q(f'[{ARABIC}]')})) = 0 THEN 0.0 ELSE len(regexp_extract_all(coalesce(text, ''), {q(f'[{MARKS}]')})) / len(regexp_extract_all({BARE}, {q(f'[{ARABIC}]')})) END AS tashkeel_ratio FROM n""",
+        "q_outstanding_first": f"WITH {CLIPS} SELECT audio_file, video_id FROM clips WHERE audio_file NOT IN (SELECT audio_file FROM metadata WHERE squim_mos >= 3 AND audio_file IS NOT NULL) ORDER BY audio_file LIMIT 25",
+        "q_label_runs": """WITH e AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS k FROM embeddings), p AS (SELECT *, CASE WHEN x > 0.1 THEN 2 WHEN x > 0 THEN 1 ELSE 0 END AS label FROM e),
+o AS (SELECT *, CASE WHEN label = lag(label) OVER w THEN 0 ELSE 1 END AS opens FROM p WINDOW w AS (PARTITION BY vec_id ORDER BY k)), r AS (SELECT *, sum(opens) OVER (PARTITION BY vec_id ORDER BY k ROWS UNBOUNDED PRECEDING) AS run FROM o)
+SELECT vec_id, CAST(min(k) AS INTEGER) AS first, CAST(max(k) + 1 AS INTEGER) AS until, label, round(avg(CAST(x AS DOUBLE)), 6) AS score FROM r WHERE label <> 0 GROUP BY vec_id, run, label""",
+        "q_vector_means": """WITH e AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) - 1 AS k FROM embeddings)
+SELECT vec_id, round(avg(x) FILTER (x > 0), 6) AS mean, round(avg(x) FILTER (k % 5 NOT IN (0, 3)), 6) AS confidence FROM e GROUP BY vec_id""",
+        "q_wav": "SELECT vec_id, len(embedding) / 64.0 AS seconds, CAST(round_even(0.75 * 64, 0) - round_even(0.25 * 64, 0) AS INTEGER) AS samples, round(trunc(greatest(-1.0, least(1.0, CAST(embedding[17] AS DOUBLE) * 4)) * 32767) / 32768, 6) AS first FROM embeddings",
+        "q_feed": "SELECT video_id AS guid, trim(title) AS title, video_url AS url, CAST(7 AS BIGINT) AS length FROM videos WHERE video_url IS NOT NULL",
     }
