@@ -50,8 +50,8 @@ class SpamConfig:
     anchor: int = 8
 
 
-#: Packs of a task whose requests are summed before they leave it.
-BUNDLE = 16
+#: Packs of a task whose requests are summed before they leave it: some 16 MB of text, 200 MB of working memory.
+BUNDLE = 4
 #: Words whose requests go to one range of keys: a range's share of all requests stays within some ten megabytes.
 RANGE_WORDS = 4_000_000
 #: Text that was decoded from UTF-8 as Latin-1.
